@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import fact_overview
+from . import analytics, fact_overview
 
-MODULES = [fact_overview]
+MODULES = [fact_overview, analytics]
 
 
 def queries():
