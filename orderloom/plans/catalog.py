@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import analytics, fact_overview
+from . import analytics, fact_overview, intake
 
-MODULES = [fact_overview, analytics]
+MODULES = [fact_overview, analytics, intake]
 
 
 def queries():

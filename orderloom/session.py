@@ -36,13 +36,15 @@ def local_session(app: str = "orderloom", cpus: int | str = "*", **conf: str) ->
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder for materialised intermediate tables.
+    """Folder for checkpoints and materialised intermediate tables.
 
-    The cluster names it in ``spark.checkpoint.dir``; only a session without that setting (tests,
-    a laptop) gets a temporary one.
+    The cluster names it in ``spark.checkpoint.dir``; only a session without that setting (tests, a
+    laptop) gets a temporary one.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not folder:
         folder = tempfile.mkdtemp(prefix="orderloom-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(folder)
     return folder
