@@ -15,7 +15,7 @@ from pyspark.sql.types import StringType
 
 # Patterns of the order documents.
 ORDER_NUMBER = r"BH\d{2}\.\d{4}"
-DATE = r"(?iU)Ng[àa]y[:\s]+(\d{1,2})[/.\-](\d{1,2})[/.\-](\d{4})"
+DATE = r"(?iU)Ng[àa]y[:\s]+(\d{1,2}[/.\-]\d{1,2}[/.\-]\d{4})"
 TAX_CODE = r"(?iU)MST[:\s]+(\d{9,13})"
 BUYER = r"(?isU).{0,5}i\s*l[ýy][:\s]+(.+?)\s+MST[:\s]+\d{9,13}"
 ADDRESS = r"(?isU).{0,5}a\s*ch[ỉi■][:\s]+(.+?)(?=\n\s*(?:STT|M[aã]\s*h[aà]|\d+\s+\d{10})|\n\n)"
@@ -33,7 +33,7 @@ DEFAULT_UNIT = "Chiếc"
 HEADER_WORDS = ["mã", "stt"]
 LEGAL_FORMS = ["công ty cổ phần", "công ty tnhh", "công ty cp", "cty tnhh", "cty"]
 
-_NUMBER = r"^[+-]?(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?$"
+_NUMBER_CHARACTERS = "0123456789.+-eE"
 
 
 @F.pandas_udf(StringType())
@@ -47,8 +47,20 @@ def nfc(col: Column) -> Column:
     return F.coalesce(_compose(F.when(beyond_ascii, col)), col)
 
 
+# What counts as white space at the ends of a text.
+WHITE_SPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
+    "\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
+
+
 def strip(col: Column) -> Column:
-    return F.regexp_replace(col, r"(?U)^\s+|\s+$", "")
+    return F.trim(col, F.lit(WHITE_SPACE))
+
+
+def let(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once per row instead of once per mention."""
+    return F.transform(F.array(value), use)[0]
 
 
 def squeeze(col: Column) -> Column:
@@ -79,8 +91,7 @@ def doc_order_number(text: Column, pattern: str = ORDER_NUMBER) -> Column:
 
 def doc_date(text: Column) -> Column:
     """Order date; NULL for a day that does not exist."""
-    parts = F.concat_ws("/", *[F.regexp_extract(text, DATE, i) for i in (1, 2, 3)])
-    return F.try_to_date(parts, "d/M/yyyy")
+    return F.try_to_date(F.translate(found(text, DATE), ".-", "//"), "d/M/yyyy")
 
 
 def buyer_tax(text: Column, own: str) -> Column:
@@ -109,8 +120,10 @@ def is_product_code(col: Column) -> Column:
     return col.rlike(PRODUCT_CODE)
 
 
-def _as_number(col: Column) -> Column:
-    return F.when(col.rlike(_NUMBER), col.try_cast("double"))
+def _as_number(col: Column, kind: str = "double") -> Column:
+    """A plain decimal number; words a cast would accept (``NaN``, ``1d``) are not numbers."""
+    plain = (F.translate(col, _NUMBER_CHARACTERS, "") == "") & (col != "")
+    return F.when(plain, col.try_cast(kind))
 
 
 def _compact(col: Column) -> Column:
@@ -124,32 +137,39 @@ def to_int(col: Column, mode: str = "reference") -> Column:
     ``,`` whatever follows it. ``locale`` takes the last mark as the decimal one when both occur, and a
     single mark not followed by exactly three digits as decimal.
     """
-    text = _compact(col)
-    dot, comma = F.contains(text, F.lit(".")), F.contains(text, F.lit(","))
-    if mode == "reference":
-        plain = (
-            F.when(dot & comma, F.translate(F.translate(text, ".", ""), ",", "."))
-            .when(comma, F.translate(text, ",", ""))
-            .otherwise(F.translate(text, ".", ""))
-        )
-    elif mode == "locale":
-        comma_last = F.locate(",", F.reverse(text)) < F.locate(".", F.reverse(text))
-        decimal_tail = text.rlike(r"^[^.,]*[.,](?:\d{1,2}|\d{4,})$")
-        plain = (
-            F.when(dot & comma & comma_last, F.translate(F.translate(text, ".", ""), ",", "."))
-            .when(dot & comma, F.translate(text, ",", ""))
-            .when(decimal_tail, F.translate(text, ",", "."))
-            .otherwise(_digits_only(text))
-        )
-    else:
+    if mode not in _MONEY_READERS:
         raise ValueError(mode)
-    return F.coalesce(F.bround(_as_number(plain), 0).cast("bigint"), F.lit(0).cast("bigint"))
+    value = let(let(_compact(col), _MONEY_READERS[mode]), lambda t: F.bround(_as_number(t), 0))
+    return F.coalesce(value.cast("bigint"), F.lit(0).cast("bigint"))
+
+
+def _marks(text: Column) -> tuple[Column, Column]:
+    return F.contains(text, F.lit(".")), F.contains(text, F.lit(","))
+
+
+def _reference_money(text: Column) -> Column:
+    dot, comma = _marks(text)
+    return F.when(dot & comma, F.translate(text, ",.", ".")).otherwise(_digits_only(text))
+
+
+def _locale_money(text: Column) -> Column:
+    dot, comma = _marks(text)
+    comma_last = F.locate(",", F.reverse(text)) < F.locate(".", F.reverse(text))
+    decimal_tail = text.rlike(r"^[^.,]*[.,](?:\d{1,2}|\d{4,})$")
+    return (
+        F.when(dot & comma & comma_last, F.translate(text, ",.", "."))
+        .when(dot & comma, F.translate(text, ",", ""))
+        .when(decimal_tail, F.translate(text, ",", "."))
+        .otherwise(_digits_only(text))
+    )
+
+
+_MONEY_READERS = {"reference": _reference_money, "locale": _locale_money}
 
 
 def parse_qty(col: Column) -> Column:
     """Quantity text, decimal comma or point; 0 when unreadable."""
-    text = F.translate(_compact(col), ",", ".")
-    value = F.when(text.rlike(_NUMBER), text.try_cast("decimal(18,3)"))
+    value = let(F.translate(_compact(col), ",", "."), lambda t: _as_number(t, "decimal(18,3)"))
     return F.coalesce(value, F.lit(0).cast("decimal(18,3)"))
 
 
@@ -162,10 +182,8 @@ def strict_int(col: Column) -> Column:
 def strict_qty(col: Column) -> Column:
     """Validator's reading of a quantity: decimal comma, thousands point only next to a comma."""
     text = _compact(col)
-    dot, comma = F.contains(text, F.lit(".")), F.contains(text, F.lit(","))
-    plain = F.when(dot & comma, F.translate(F.translate(text, ".", ""), ",", ".")).otherwise(
-        F.translate(text, ",", ".")
-    )
+    dot, comma = _marks(text)
+    plain = F.when(dot & comma, F.translate(text, ",.", ".")).otherwise(F.translate(text, ",", "."))
     return F.coalesce(_as_number(plain), F.lit(0.0))
 
 

@@ -20,37 +20,50 @@ def cells_to_line(cells: Column) -> Column:
     hold the name, from which the unit is taken out.
     """
     trimmed = F.transform(cells, lambda c: tx.strip(F.coalesce(c, F.lit(""))))
-    staged = F.transform(F.array(trimmed), _line_from_cells)
-    return F.try_element_at(staged, F.lit(1))
+    return tx.let(trimmed, lambda t: tx.let(_marked(t), lambda m: _line_from(t, m)))
 
 
-def _line_from_cells(cells: Column) -> Column:
-    code_at = F.array_position(F.transform(cells, tx.is_product_code), F.lit(True)).cast("int")
-    numeric = F.filter(
-        F.transform(
-            cells,
-            lambda c, i: F.when(
-                (i >= code_at) & c.rlike(r"[\d.,]") & ~tx.is_product_code(c), i + 1
-            ),
+def _marked(cells: Column) -> Column:
+    """Per cell, 1-based: its position, whether it is a code, whether it holds a number."""
+    return F.transform(
+        cells,
+        lambda c, i: F.struct(
+            (i + 1).alias("at"),
+            c.rlike(tx.PRODUCT_CODE).alias("code"),
+            c.rlike(r"[\d.,]").alias("number"),
         ),
-        lambda i: i.isNotNull(),
     )
+
+
+def _line_from(cells: Column, marks: Column) -> Column:
+    first_code = F.array_min(F.transform(F.filter(marks, lambda m: m["code"]), lambda m: m["at"]))
+
+    def with_code(code_at: Column) -> Column:
+        right = F.filter(marks, lambda m: (m["at"] > code_at) & m["number"] & ~m["code"])
+        return tx.let(
+            F.transform(right, lambda m: m["at"]),
+            lambda numeric: F.when(F.size(numeric) >= 3, _fill(cells, code_at, numeric)),
+        )
+
+    return tx.let(first_code, lambda code_at: F.when(code_at.isNotNull(), with_code(code_at)))
+
+
+def _fill(cells: Column, code_at: Column, numeric: Column) -> Column:
     qty_at = F.try_element_at(numeric, F.lit(-3))
-    cell = lambda at: F.try_element_at(cells, at)
-    between = F.slice(cells, code_at + 1, F.greatest(qty_at - code_at - 1, F.lit(0)))
+    between = F.slice(cells, code_at + 1, qty_at - code_at - 1)
     is_unit = lambda c: F.lower(c).isin(tx.UNITS)
-    line = F.struct(
-        F.when(cell(F.lit(1)).rlike(r"^\d+$"), cell(F.lit(1))).alias("stt"),
-        cell(code_at).alias("product_code"),
-        tx.strip(F.array_join(F.filter(between, lambda c: ~is_unit(c)), " ")).alias("product_name"),
-        F.coalesce(
-            F.try_element_at(F.filter(between, is_unit), F.lit(-1)), F.lit(tx.DEFAULT_UNIT)
-        ).alias("unit"),
-        tx.parse_qty(cell(qty_at)).alias("quantity"),
-        tx.to_int(cell(F.try_element_at(numeric, F.lit(-2)))).alias("unit_price"),
-        tx.to_int(cell(F.try_element_at(numeric, F.lit(-1)))).alias("line_total"),
+    return tx.let(
+        between,
+        lambda b: F.struct(
+            F.when(cells[0].rlike(r"^\d+$"), cells[0]).alias("stt"),
+            F.try_element_at(cells, code_at).alias("product_code"),
+            tx.strip(F.array_join(F.filter(b, lambda c: ~is_unit(c)), " ")).alias("product_name"),
+            F.coalesce(F.try_element_at(F.filter(b, is_unit), F.lit(-1)), F.lit(tx.DEFAULT_UNIT)).alias("unit"),
+            tx.parse_qty(F.try_element_at(cells, qty_at)).alias("quantity"),
+            tx.to_int(F.try_element_at(cells, F.try_element_at(numeric, F.lit(-2)))).alias("unit_price"),
+            tx.to_int(F.try_element_at(cells, F.try_element_at(numeric, F.lit(-1)))).alias("line_total"),
+        ),
     )
-    return F.when((code_at > 0) & (F.size(numeric) >= 3), line)
 
 
 def table_rows(tables: Column) -> Column:
@@ -68,20 +81,27 @@ def table_rows(tables: Column) -> Column:
     return F.flatten(F.transform(F.coalesce(tables, F.array()), data_rows))
 
 
+_FIELD = "\x1f"  # unit separator: cannot occur inside a printed field
+
+
 def text_to_lines(text: Column) -> Column:
     """Line items printed as plain text rows."""
-    rows = F.filter(F.split(text, r"\R"), lambda r: r.rlike(tx.TEXT_LINE))
-    part = lambda r, i: F.regexp_extract(r, tx.TEXT_LINE, i)
+    one_break = F.translate(text, "\r\v\f", "\n\n\n")
+    rows = F.filter(F.split(one_break, "\n"), lambda r: r.rlike(tx.TEXT_LINE))
+    marked = _FIELD.join(f"${i}" for i in range(1, 8))
     return F.transform(
         rows,
-        lambda r: F.struct(
-            part(r, 1).alias("stt"),
-            part(r, 2).alias("product_code"),
-            tx.strip(part(r, 3)).alias("product_name"),
-            part(r, 4).alias("unit"),
-            tx.parse_qty(part(r, 5)).alias("quantity"),
-            tx.to_int(part(r, 6)).alias("unit_price"),
-            tx.to_int(part(r, 7)).alias("line_total"),
+        lambda r: tx.let(
+            F.split(F.regexp_replace(r, tx.TEXT_LINE, marked), _FIELD),
+            lambda part: F.struct(
+                part[0].alias("stt"),
+                part[1].alias("product_code"),
+                tx.strip(part[2]).alias("product_name"),
+                part[3].alias("unit"),
+                tx.parse_qty(part[4]).alias("quantity"),
+                tx.to_int(part[5]).alias("unit_price"),
+                tx.to_int(part[6]).alias("line_total"),
+            ),
         ),
     )
 
