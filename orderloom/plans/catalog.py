@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import analytics, fact_overview, intake
+from . import analytics, fact_overview, intake, rules
 
-MODULES = [fact_overview, analytics, intake]
+MODULES = [fact_overview, analytics, intake, rules]
 
 
 def queries():
