@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType
+from pyspark.sql.types import IntegerType
 
 from ..functions.ranking import order_globally
 from ..functions.text import normalize_name
@@ -19,6 +20,7 @@ CODE_PATTERN = r"^KH-\d+$"
 NEW_TIER = "STANDARD"
 
 _GRAM = 3
+_SALTS = 8
 
 
 def match_tax(orders: DataFrame, customer: DataFrame) -> DataFrame:
@@ -31,90 +33,119 @@ def match_tax(orders: DataFrame, customer: DataFrame) -> DataFrame:
     return orders.join(owners, "tax_code", "left")
 
 
-def _common_length(a: str, b: str) -> int:
-    """Length of the longest common subsequence, one machine-word step per character."""
-    where: dict[str, int] = {}
-    for i, ch in enumerate(a):
-        where[ch] = where.get(ch, 0) | (1 << i)
-    full = (1 << len(a)) - 1
-    row = full
-    for ch in b:
-        hit = row & where.get(ch, 0)
-        row = ((row + hit) | (row - hit)) & full
-    return len(a) - row.bit_count()
-
-
-def token_set_score(a: str, b: str) -> float:
-    """Similarity 0–100 of two names as sets of words.
+@F.pandas_udf(IntegerType())
+def common_length(a: pd.Series, b: pd.Series) -> pd.Series:
+    """Length of the longest common subsequence of each pair, all pairs of a batch in lock step."""
+    n = len(a)
+    if n == 0:
+        return pd.Series([], dtype="int32")
+    chars = []
+    for side in (a, b):
+        width = max(1, side.str.len().max())
+        flat = "".join(side.str.pad(width, side="right", fillchar="\0")).encode("utf-32-le")
+        chars.append(np.frombuffer(flat, dtype=np.uint32).reshape(n, width).T.copy())
+    left, right = chars
+    row = np.zeros((right.shape[0] + 1, n), dtype=np.int16)
+    for ch in left:
+        hits = (right == ch) & (ch != 0)
+        diagonal = row[0].copy()
+        for j in range(right.shape[0]):
+            above = row[j + 1].copy()
+            np.maximum(above, row[j], out=row[j + 1])
+            np.maximum(row[j + 1], diagonal + hits[j], out=row[j + 1])
+            diagonal = above
+    return pd.Series(row[-1].astype("int32"))
+
+
+def _words(name: str) -> Column:
+    return F.array_sort(F.filter(F.array_distinct(F.split(F.col(name), " ")), lambda x: x != ""))
+
+
+def score_pairs(pairs: DataFrame, threshold: float) -> DataFrame:
+    """Similarity 0–100 of the names ``a`` and ``b`` as sets of words, pairs under ``threshold`` dropped.
 
     100 when one set holds the other. Otherwise the best of: shared words plus either rest compared with
     each other, and the shared words alone against either whole, each as ``1 - edits / total length`` where
-    an edit inserts or deletes one character.
+    an edit inserts or deletes one character. Only the edits need Python, and only for pairs whose plain
+    edit distance (never larger) is small enough.
     """
-    left, right = set(a.split()), set(b.split())
-    if not left or not right:
-        return 0.0
-    shared = left & right
-    rest_a, rest_b = " ".join(sorted(left - shared)), " ".join(sorted(right - shared))
-    if shared and (not rest_a or not rest_b):
-        return 100.0
-    base = len(" ".join(sorted(shared)))
-    glue = 1 if base else 0
-    len_a, len_b = base + glue + len(rest_a), base + glue + len(rest_b)
-    edits = len(rest_a) + len(rest_b) - 2 * _common_length(rest_a, rest_b)
-    best = 1 - edits / (len_a + len_b)
-    if base:
-        best = max(best, *(1 - (n - base) / (base + n) for n in (len_a, len_b)))
-    return 100 * best
-
-
-@F.pandas_udf(DoubleType())
-def score_names(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([token_set_score(x, y) for x, y in zip(a, b)], dtype="float64")
+    text = lambda words: F.array_join(words, " ")
+    out = (
+        pairs.withColumn("_wa", _words("a")).withColumn("_wb", _words("b"))
+        .withColumn("_ra", text(F.array_except("_wa", "_wb")))
+        .withColumn("_rb", text(F.array_except("_wb", "_wa")))
+        .withColumn("_s", F.length(text(F.array_intersect("_wa", "_wb"))))
+    )
+    glue = F.when(F.col("_s") > 0, 1).otherwise(0)
+    out = out.withColumn("_la", F.col("_s") + glue + F.length("_ra")).withColumn(
+        "_lb", F.col("_s") + glue + F.length("_rb")
+    )
+    s, la, lb = F.col("_s"), F.col("_la"), F.col("_lb")
+    inside = (s > 0) & ((F.col("_ra") == "") | (F.col("_rb") == ""))
+    alone = F.when(s > 0, F.greatest(*[1 - (n - s) / (n + s) for n in (la, lb)])).otherwise(0.0)
+    allowed = F.floor((la + lb) * (1 - threshold / 100) + 1e-9).cast("int")
+    # an upper bound in whole edits, so that the built-in distance can stop early
+    near = F.levenshtein("_ra", "_rb") <= allowed
+    sure = F.when(inside, 1.0).otherwise(alone)
+    scored = out.withColumn("_sure", sure).where((F.col("_sure") >= threshold / 100) | near)
+    edits = F.length("_ra") + F.length("_rb") - 2 * common_length("_ra", "_rb")
+    both = 1 - edits / (la + lb)
+    score = 100 * F.when(F.col("_sure") == 1.0, 1.0).otherwise(F.greatest("_sure", both))
+    return scored.select("a", "b", score.alias("score")).where(F.col("score") >= threshold - 1e-9)
 
 
 def _grams(names: DataFrame, name: str) -> DataFrame:
-    """Distinct padded character 3-grams of every word of a name."""
-    words = F.filter(F.array_distinct(F.split(F.col(name), " ")), lambda x: x != "")
-    padded = F.transform(words, lambda x: F.concat(F.lit("  "), x, F.lit("  ")))
+    """``(id, name, grams)``: distinct 3-grams of every word of a name, padded by one blank."""
+    padded = F.transform(_words(name), lambda x: F.concat(F.lit(" "), x, F.lit(" ")))
     cut = lambda x: F.transform(
         F.sequence(F.lit(1), F.length(x) - (_GRAM - 1)), lambda i: F.substring(x, i, F.lit(_GRAM))
     )
-    return names.withColumn("grams", F.array_distinct(F.flatten(F.transform(padded, cut))))
+    # two names sharing an id only add candidates: names are joined back before scoring
+    return names.select(
+        F.xxhash64(name).alias(f"{name}_id"), name, F.array_distinct(F.flatten(F.transform(padded, cut))).alias("grams")
+    )
 
 
-def _rarest(names: DataFrame, key: str, frequency: DataFrame, threshold: float) -> DataFrame:
+def _rarest(names: DataFrame, name: str, frequency: DataFrame, threshold: float) -> DataFrame:
     """The rarest grams of each name, enough of them that a partner must share one.
 
     At score ``t`` two names of lengths ``m`` and ``n`` differ by ``e <= (1-t)(m+n)`` inserted or deleted
-    characters, and ``n <= m + e``, so ``e <= 2(1-t)/t * m``. One such edit spoils at most four padded grams
-    (a lost blank spoils two on either side). Keeping one gram more than that makes the candidates complete.
+    characters, and ``n <= m + e``, so ``e <= 2(1-t)/t * m``. One such edit spoils at most three grams.
+    Keeping one gram more than that makes the candidates complete.
     """
     loss = 2 * (1 - threshold / 100) / (threshold / 100)
-    exploded = names.select(key, F.length(key).alias("len"), F.explode("grams").alias("gram"))
-    keep = F.floor(F.col("len") * loss + 1e-9).cast("int") * 4 + 1
+    exploded = names.select(f"{name}_id", name, F.explode("grams").alias("gram"))
+    keep = F.floor(F.length(name) * loss + 1e-9).cast("int") * 3 + 1
     ranked = exploded.join(frequency, "gram", "left").withColumn(
         "r",
         # one window group per name, never longer than the name itself
-        F.row_number().over(Window.partitionBy(key).orderBy(F.coalesce("df", F.lit(0)), "gram")),
+        F.row_number().over(Window.partitionBy(name).orderBy(F.coalesce("df", F.lit(0)), "gram")),
     )
-    return ranked.where(F.col("r") <= keep).select(key, "gram")
+    return ranked.where(F.col("r") <= keep).select(f"{name}_id", "gram")
+
+
+def _sharing(rare: DataFrame, every: DataFrame, other: str) -> DataFrame:
+    """Id pairs sharing a gram. A gram held by very many names is split over ``_SALTS`` tasks."""
+    tasks = int(rare.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    salts = F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1)))
+    salted = rare.withColumn("salt", salts).repartition(tasks, "gram", "salt")
+    spread = every.withColumn("salt", F.pmod(other, F.lit(_SALTS)).cast("int")).repartition(tasks, "gram", "salt")
+    return salted.join(spread.hint("merge"), ["gram", "salt"]).select("a_id", "b_id")
 
 
 def similar_names(left: DataFrame, right: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """Pairs ``(a, b, score)`` of distinct names scoring at least ``threshold``.
 
     ``left`` has column ``a``, ``right`` column ``b``. Candidates share a gram that is among the rarest of
-    one of the two, so words that nearly every name holds never form pairs.
+    one of the two, so words that nearly every name holds do not bring names together.
     """
     a, b = _grams(left.select("a").distinct(), "a"), _grams(right.select("b").distinct(), "b")
     frequency = b.select(F.explode("grams").alias("gram")).groupBy("gram").agg(F.count("*").alias("df"))
-    all_a, all_b = (x.select(k, F.explode("grams").alias("gram")) for x, k in ((a, "a"), (b, "b")))
+    all_a, all_b = (x.select(f"{k}_id", F.explode("grams").alias("gram")) for x, k in ((a, "a"), (b, "b")))
     rare_a, rare_b = _rarest(a, "a", frequency, threshold), _rarest(b, "b", frequency, threshold)
-    pairs = (
-        rare_a.join(all_b, "gram").select("a", "b").union(rare_b.join(all_a, "gram").select("a", "b")).distinct()
-    )
-    return pairs.withColumn("score", score_names("a", "b")).where(F.col("score") >= threshold)
+    ids = _sharing(rare_a, all_b, "b_id").union(_sharing(rare_b, all_a, "a_id")).distinct()
+    pairs = ids.join(a.select("a_id", "a"), "a_id").join(b.select("b_id", "b"), "b_id")
+    return score_pairs(pairs.select("a", "b"), threshold)
 
 
 def match_fuzzy(orders: DataFrame, customer: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
