@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import analytics, fact_overview, intake, rules
+from . import analytics, checks, fact_overview, intake, rules
 
-MODULES = [fact_overview, analytics, intake, rules]
+MODULES = [fact_overview, analytics, intake, rules, checks]
 
 
 def queries():
