@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import analytics, checks, fact_overview, intake, predict, rules
+from . import analytics, checks, fact_overview, flows, intake, predict, rules
 
-MODULES = [fact_overview, analytics, intake, rules, checks, predict]
+MODULES = [fact_overview, analytics, intake, rules, checks, predict, flows]
 
 
 def queries():
