@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import fill_cores
 from .star import CENTS, LINE_KEY, QTY_INT, Warehouse
 
 OWN_TAX_CODE = "0100000001"
@@ -55,7 +56,8 @@ WITH_SLIP = f"WITH {SLIP_SQL}"
 
 def slips(w: Warehouse) -> DataFrame:
     """The values of every document, before rendering."""
-    lines = w.table("lineitem").selectExpr(*[f"{e} AS {n}" for n, e in SLIP.items()])
+    scan = w.table("lineitem")
+    lines = fill_cores(scan.selectExpr(*[f"{e} AS {n}" for n, e in SLIP.items()]), scan.select("l_orderkey"))
     heads = w.table("orders").selectExpr(*[f"{e} AS {n}" for n, e in HEAD.items()])
     return lines.join(heads, "order_key").withColumn("footer", F.col("total1") + F.col("total2"))
 

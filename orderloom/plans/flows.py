@@ -238,7 +238,7 @@ def _(w: Warehouse):
         )
         lines = raw.selectExpr(*select_list(ORDER_LINE))
         st.append_facts(lines, w.star, f"{path}/fact", f"{path}/checkpoint-{run}")
-    return w.spark.read.parquet(f"{path}/fact").drop("batch")
+    return w.spark.read.parquet(f"{path}/fact").drop("run", "batch")
 
 
 @reg.plan(

@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings that only change how a plan runs; a cluster's own values win.
 DEFAULTS = {
@@ -48,3 +48,12 @@ def shared_folder(spark: SparkSession) -> str:
     if not context.getCheckpointDir():
         context.setCheckpointDir(folder)
     return folder
+
+
+def fill_cores(df: DataFrame, scan: DataFrame) -> DataFrame:
+    """Spread rows before costly per-row work when the scan they come from has fewer splits than cores.
+
+    A table of many files is left as it is, so nothing is shuffled at cluster size.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if scan.rdd.getNumPartitions() < cores else df

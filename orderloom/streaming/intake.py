@@ -6,13 +6,14 @@ overwrites its own folder, so a lost executor or a restart never doubles rows.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.fact import Star, flatten
+from ..operators.fact import FACT_COLUMNS, Star, flatten
 from ..sources.mail import ingest_mail
 
 
@@ -60,7 +61,10 @@ def current_status(changes: DataFrame, key: str = "message_id") -> DataFrame:
 
 
 def to_folder(df: DataFrame, path: str, checkpoint: str, mode: str = "append") -> StreamingQuery:
-    """Run over everything available, one replaceable folder per micro-batch, then stop."""
+    """Run over everything available, one replaceable folder per micro-batch, then stop.
+
+    A folder belongs to one checkpoint: batch numbers start again under another one.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
@@ -78,16 +82,18 @@ def latest(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
 def append_facts(lines: DataFrame, star: Star, path: str, checkpoint: str) -> StreamingQuery:
     """Flatten newly validated lines and append those the fact folder does not hold yet.
 
-    The other batches' rows decide what is new; the batch's own folder is replaced, so a replay is a no-op.
+    Files lie under ``run=<checkpoint>/batch=<id>``. A replayed batch replaces its own folder; lines held by
+    any other batch, also of an earlier checkpoint, are not written again.
     """
+    run = f"r{hashlib.sha256(checkpoint.encode()).hexdigest()[:16]}"
 
     def write(batch: DataFrame, batch_id: int) -> None:
         fresh = flatten(Star(**{**star.__dict__, "order_line": batch.dropDuplicates(["line_id"])}))
         known = _existing(batch.sparkSession, path)
         if known is not None:
-            others = known.where(F.col("batch") != batch_id).select("line_id")
-            fresh = fresh.join(others, "line_id", "left_anti")
-        fresh.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+            other = (F.col("run") != run) | (F.col("batch") != batch_id)
+            fresh = fresh.join(known.where(other).select("line_id"), "line_id", "left_anti")
+        fresh.select(*FACT_COLUMNS).write.mode("overwrite").parquet(f"{path}/run={run}/batch={batch_id}")
 
     return _run(lines, write, checkpoint, "append")
 
@@ -95,7 +101,9 @@ def append_facts(lines: DataFrame, star: Star, path: str, checkpoint: str) -> St
 def _existing(spark: SparkSession, path: str) -> DataFrame | None:
     jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     files = jvm_path.getFileSystem(spark._jsc.hadoopConfiguration())
-    return spark.read.parquet(path) if files.exists(jvm_path) else None
+    if not files.exists(jvm_path):
+        return None
+    return spark.read.option("basePath", path).parquet(path)
 
 
 def _run(df: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str, mode: str) -> StreamingQuery:
