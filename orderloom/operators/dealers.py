@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import UNCLASSIFIED, as_double, labelled, nearest, ratio, total_of
 from ..functions.ranking import order_globally, tile
+from ..session import cut
 from .overview import dealer_revenue
 
 # Segment names in display order with the lowest total that earns them.
@@ -38,7 +39,7 @@ def rfm_scores(base: DataFrame, mode: str = "reference", key: str = "customer_co
         "f": -as_double("frequency"),
         "m": -F.col("monetary"),
     }
-    out = base
+    out = cut(base)  # one row per dealer, ordered three times below
     for name, value in measures.items():
         out = order_globally(out, value, key, prefix=f"{name}_")
         score = tile(F.col(f"{name}_position"), F.col(f"{name}_rows"), 5)

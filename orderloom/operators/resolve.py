@@ -10,7 +10,7 @@ from pyspark.sql.types import IntegerType
 
 from ..functions.ranking import order_globally
 from ..functions.text import normalize_name
-from ..session import shared_folder
+from ..session import cut
 
 THRESHOLD = 92
 # How a dealer is written who states no name, and the form of generated codes.
@@ -70,12 +70,13 @@ def score_pairs(pairs: DataFrame, threshold: float) -> DataFrame:
     edit distance (never larger) is small enough.
     """
     text = lambda words: F.array_join(words, " ")
-    out = (
-        pairs.withColumn("_wa", _words("a")).withColumn("_wb", _words("b"))
-        .withColumn("_ra", text(F.array_except("_wa", "_wb")))
-        .withColumn("_rb", text(F.array_except("_wb", "_wa")))
-        .withColumn("_s", F.length(text(F.array_intersect("_wa", "_wb"))))
-    )
+    parts = F.struct(
+        text(F.array_except("_wa", "_wb")).alias("_ra"),
+        text(F.array_except("_wb", "_wa")).alias("_rb"),
+        F.length(text(F.array_intersect("_wa", "_wb"))).alias("_s"),
+    )
+    # inlined as a generated row, so that the filters below see finished columns and do not repeat the set work
+    out = pairs.withColumns({"_wa": _words("a"), "_wb": _words("b")}).select("a", "b", F.inline(F.array(parts)))
     glue = F.when(F.col("_s") > 0, 1).otherwise(0)
     out = out.withColumn("_la", F.col("_s") + glue + F.length("_ra")).withColumn(
         "_lb", F.col("_s") + glue + F.length("_rb")
@@ -192,7 +193,7 @@ def new_customers(unmatched: DataFrame, customer: DataFrame) -> DataFrame:
         F.min("log_id").alias("log_id"),
         F.min_by(F.struct("name", "tax_code", "address"), "log_id").alias("d"),
     )
-    numbered = order_globally(first, F.col("log_id"), "dealer_key")
+    numbered = order_globally(cut(first), F.col("log_id"), "dealer_key")
     start = max_code(customer).scalar()
     return numbered.select(
         F.format_string(CODE_FORMAT, start + F.col("position")).alias("customer_code"),
@@ -221,9 +222,8 @@ def leaders(nodes: DataFrame, links: DataFrame) -> DataFrame:
     neighbours are all settled are settled together; the number of rounds is the longest chain of links.
     Returns ``(name, leader)``.
     """
-    shared_folder(nodes.sparkSession)
-    state = nodes.withColumn("leader", F.lit(None).cast("string")).withColumn("settled", F.lit(False)).checkpoint()
-    edges = links.checkpoint()
+    state = cut(nodes.withColumns({"leader": F.lit(None).cast("string"), "settled": F.lit(False)}))
+    edges = cut(links)
     while state.where("NOT settled").limit(1).count():
         seen = state.select(
             F.col("name").alias("earlier"), F.col("leader").alias("l"), F.col("settled").alias("s"),
@@ -237,15 +237,13 @@ def leaders(nodes: DataFrame, links: DataFrame) -> DataFrame:
             ).alias("target"),
         )
         ready = ~F.col("settled") & F.coalesce("ready", F.lit(True))
-        state = (
-            state.join(view, "name", "left")
-            .select(
+        state = cut(
+            state.join(view, "name", "left").select(
                 "name",
                 "seq",
                 F.when(ready, F.coalesce("target", "name")).otherwise(F.col("leader")).alias("leader"),
                 (F.col("settled") | ready).alias("settled"),
             )
-            .checkpoint()
         )
     return state.select("name", "leader")
 

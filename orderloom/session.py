@@ -57,3 +57,9 @@ def fill_cores(df: DataFrame, scan: DataFrame) -> DataFrame:
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if scan.rdd.getNumPartitions() < cores else df
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """The frame written once to the shared folder, for plans that read it several times."""
+    shared_folder(df.sparkSession)
+    return df.checkpoint()
