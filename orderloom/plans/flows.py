@@ -280,3 +280,43 @@ def _(w: Warehouse):
         "SELECT customer_code, sum(line_total) AS revenue FROM fact_sales GROUP BY customer_code"
         " ORDER BY revenue DESC, customer_code",
     )
+
+
+# ------------------------------------------------------------------------------------- whole intake
+
+DEALER_TAX = "CASE WHEN c_custkey % 50 = 1 THEN NULL ELSE lpad(CAST(c_custkey AS STRING), 10, '0') END"
+
+
+@reg.plan(
+    "ld_06_run_intake",
+    f"""{WITH_SLIP}, f AS (SELECT min(doc_id) AS doc_id FROM slip WHERE order_key % 400 <> 1 GROUP BY so_text),
+g AS (SELECT slip.*, tax_code::BIGINT AS c, row_number() OVER (ORDER BY doc_id) AS order_id FROM slip JOIN f USING (doc_id)),
+n AS (SELECT c, row_number() OVER (ORDER BY min(doc_id)) AS i FROM g WHERE c % 50 = 1 GROUP BY c),
+d AS (SELECT g.*, CASE WHEN n.c IS NULL THEN printf('KH-%05d', g.c) ELSE printf('KH-%05d', (SELECT max(c_custkey) FROM customer) + i) END
+ AS customer_code, CASE WHEN n.c IS NULL THEN c_name ELSE buyer END AS customer_name, CASE WHEN n.c IS NULL THEN n_name END AS province_name
+ FROM g LEFT JOIN n ON n.c = g.c JOIN customer ON c_custkey = g.c LEFT JOIN nation ON n_nationkey = c_nationkey),
+l AS (SELECT *, 1 AS line_no, code1 AS product_code, qty1 AS q, price1 AS p, total1 AS t FROM d UNION ALL
+ SELECT *, 2, code2, qty2, price2, total2 FROM d),
+pk AS (SELECT lpad(p_partkey::VARCHAR, 12, '0') AS product_code, p_name FROM part WHERE p_partkey % 400 <> 8)
+SELECT concat(order_id, '-', line_no) AS line_id, order_id, so_text AS so_number, strftime(order_date, '%Y-%m-%d') AS order_date,
+ customer_code, customer_name, province_name, l.product_code, coalesce(p_name, concat('San pham moi - ', l.product_code)) AS product_name,
+ q::DOUBLE AS quantity, p::DOUBLE AS unit_price, t::DOUBLE AS line_total FROM l LEFT JOIN pk ON pk.product_code = l.product_code""",
+)
+def _(w: Warehouse):
+    from ..operators.chain import run_intake
+    from ..operators.fact import Star
+    from .rules import loaded
+
+    docs = rendered(w).withColumnRenamed("doc_id", "log_id").withColumn("mail_name", F.lit(None).cast("string"))
+    dealers = w.table("customer").selectExpr(
+        "printf('KH-%05d', c_custkey) AS customer_code", "c_name AS customer_name", f"{DEALER_TAX} AS tax_code",
+        "c_nationkey AS province_id",
+    )
+    product = w.product.where("product_code % 400 <> 8").withColumn(
+        "product_code", F.lpad(F.col("product_code").cast("string"), 12, "0")
+    )
+    star = Star(w.order_line, loaded(w), dealers, w.province, product)
+    return run_intake(docs, star, OWN_TAX_CODE, pattern=NUMBER_PATTERN).facts.select(
+        "line_id", "order_id", "so_number", "order_date", "customer_code", "customer_name", "province_name",
+        "product_code", "product_name", "quantity", "unit_price", "line_total",
+    )
