@@ -14,19 +14,18 @@ from ..functions.columns import (
     ratio,
     total_of,
 )
+from ..functions.grains import orders_and_dealers
 from .timeline import yoy
 
 
 def _by_place(f: DataFrame, keys: list[str]) -> DataFrame:
-    return (
-        f.groupBy(*keys)
-        .agg(
-            F.sum("line_total").alias("revenue"),
-            F.countDistinct("so_number").alias("order_count"),
-            F.countDistinct("customer_code").alias("dealer_count"),
-            F.sum("quantity").alias("quantity"),
-        )
-        .withColumns({k: labelled(k, UNKNOWN_PLACE) for k in keys})
+    base = orders_and_dealers(f, keys)
+    return base.select(
+        *[labelled(k, UNKNOWN_PLACE) for k in keys],
+        "revenue",
+        F.col("orders").alias("order_count"),
+        F.col("dealers").alias("dealer_count"),
+        F.col("qty").alias("quantity"),
     )
 
 

@@ -19,22 +19,14 @@ from ..functions.columns import (
     ratio,
     total_of,
 )
+from ..functions.grains import orders_and_dealers
 from ..functions.ranking import order_globally
 
 
 def monthly_base(f: DataFrame) -> DataFrame:
     """Per month: revenue, distinct orders, quantity, lines, distinct dealers, mean unit price."""
-    return (
-        f.groupBy("fiscal_year", "fiscal_month")
-        .agg(
-            F.sum("line_total").alias("revenue"),
-            F.countDistinct("so_number").alias("orders"),
-            F.sum("quantity").alias("qty"),
-            F.count("*").alias("total_lines"),
-            F.countDistinct("customer_code").alias("dealers"),
-        )
-        .withColumn("avg_unit_price", F.round(ratio("revenue", "qty"), 0))
-    )
+    base = orders_and_dealers(f, ["fiscal_year", "fiscal_month"])
+    return base.withColumn("avg_unit_price", F.round(ratio("revenue", "qty"), 0))
 
 
 def last_order_dates(f: DataFrame) -> DataFrame:
