@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from statistics import fmean, pstdev
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -112,18 +113,25 @@ def _stages(trees: int) -> Pipeline:
     )
 
 
-def _training_table(labelled: DataFrame, *extra: str) -> DataFrame:
-    """The model inputs, held in as many partitions as their row count is worth.
+@contextmanager
+def _training_table(labelled: DataFrame, *extra: str):
+    """The model inputs, held while training, in as many partitions as their row count is worth.
 
     Boosting runs several short jobs per tree, so a small table in many partitions only pays scheduling.
+    Rows lie in key order: the seeded row sampling then repeats from run to run.
     """
-    data = labelled.select("is_churned", *FEATURES, *extra).persist()
-    return data.coalesce(max(1, data.count() // ROWS_PER_TASK))
+    data = labelled.select("customer_code", "is_churned", *FEATURES, *extra).persist()
+    try:
+        tasks = max(1, data.count() // ROWS_PER_TASK)
+        yield data.repartition(tasks, "customer_code").sortWithinPartitions("customer_code")
+    finally:
+        data.unpersist()
 
 
 def fit_churn(labelled: DataFrame, trees: int = TREES) -> PipelineModel:
     """Scaled gradient-boosted trees; training runs over the partitions of the feature table."""
-    return _stages(trees).fit(_training_table(labelled))
+    with _training_table(labelled) as data:
+        return _stages(trees).fit(data)
 
 
 def with_folds(labelled: DataFrame, folds: int = FOLDS) -> DataFrame:
@@ -135,14 +143,13 @@ def with_folds(labelled: DataFrame, folds: int = FOLDS) -> DataFrame:
 
 def churn_cv(labelled: DataFrame, trees: int = TREES, folds: int = FOLDS) -> DataFrame:
     """Mean and spread of the ROC area over the folds, with the label counts."""
-    data = _training_table(with_folds(labelled, folds), "fold")
     evaluator = BinaryClassificationEvaluator(labelCol="is_churned")
+    with _training_table(with_folds(labelled, folds), "fold") as data, ThreadPoolExecutor(folds) as pool:
 
-    def area(k: int) -> float:
-        model = _stages(trees).fit(data.where(F.col("fold") != k))
-        return evaluator.evaluate(model.transform(data.where(F.col("fold") == k)))
+        def area(k: int) -> float:
+            model = _stages(trees).fit(data.where(F.col("fold") != k))
+            return evaluator.evaluate(model.transform(data.where(F.col("fold") == k)))
 
-    with ThreadPoolExecutor(folds) as pool:
         areas = list(pool.map(area, range(folds)))
     return labelled.agg(F.sum("is_churned").alias("churn_count"), F.count("*").alias("total_dealers")).select(
         F.lit(round(fmean(areas), 3)).alias("roc_auc_mean"),

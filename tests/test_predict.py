@@ -70,6 +70,8 @@ def test_churn_scores(spark):
     priority = ch.churn_priority(scored)
     assert priority.where("priority_score BETWEEN 0 AND 100 AND prob_order_30d + churn_proba = 100").count() == n
     assert ch.high_risk(priority).where("churn_proba <= 70").count() == 0
+    again = ch.score_churn(ch.fit_churn(labelled, trees=5), labelled)
+    assert again.select("customer_code", "churn_proba").exceptAll(scored.select("customer_code", "churn_proba")).isEmpty()
     cv = ch.churn_cv(labelled, trees=3, folds=3).first()
     assert 0 <= cv.roc_auc_mean <= 1 and cv.total_dealers == n
 
