@@ -96,56 +96,88 @@ def score_pairs(pairs: DataFrame, threshold: float) -> DataFrame:
 
 
 def _grams(names: DataFrame, name: str) -> DataFrame:
-    """``(id, name, grams)``: distinct 3-grams of every word of a name, padded by one blank."""
-    padded = F.transform(_words(name), lambda x: F.concat(F.lit(" "), x, F.lit(" ")))
-    cut = lambda x: F.transform(
+    """``(id, name, len, gram)``: distinct 3-grams of the words of a name, each word padded by one blank.
+
+    ``len`` is the length of the distinct words written in one line.
+    """
+    words = _words(name)
+    cut_word = lambda x: F.transform(
         F.sequence(F.lit(1), F.length(x) - (_GRAM - 1)), lambda i: F.substring(x, i, F.lit(_GRAM))
     )
+    grams = F.flatten(F.transform(words, lambda x: cut_word(F.concat(F.lit(" "), x, F.lit(" ")))))
     # two names sharing an id only add candidates: names are joined back before scoring
     return names.select(
-        F.xxhash64(name).alias(f"{name}_id"), name, F.array_distinct(F.flatten(F.transform(padded, cut))).alias("grams")
+        F.xxhash64(name).alias(f"{name}_id"),
+        name,
+        F.length(F.array_join(words, " ")).alias("len"),
+        F.explode(F.array_distinct(grams)).alias("gram"),
     )
 
 
-def _rarest(names: DataFrame, name: str, frequency: DataFrame, threshold: float) -> DataFrame:
-    """The rarest grams of each name, enough of them that a partner must share one.
+def _by_rarity(grams: DataFrame, key: str, frequency: DataFrame) -> DataFrame:
+    """Grams numbered per name, the rarest first; a name has no more grams than characters."""
+    order = Window.partitionBy(key).orderBy(F.coalesce("df", F.lit(0)), "gram")
+    return grams.join(frequency, "gram", "left").withColumn("r", F.row_number().over(order)).drop("df")
+
 
-    At score ``t`` two names of lengths ``m`` and ``n`` differ by ``e <= (1-t)(m+n)`` inserted or deleted
-    characters, and ``n <= m + e``, so ``e <= 2(1-t)/t * m``. One such edit spoils at most three grams.
-    Keeping one gram more than that makes the candidates complete.
+def _nearly_contained(ranked: DataFrame, slack: float) -> DataFrame:
+    """Grams one of which every name holding nearly all words of this one must share.
+
+    With ``x`` characters outside the shared words (one of them a blank), ``x <= (1-t)(2n-x)``, and every
+    other of these characters costs one gram.
     """
-    loss = 2 * (1 - threshold / 100) / (threshold / 100)
-    exploded = names.select(f"{name}_id", name, F.explode("grams").alias("gram"))
-    keep = F.floor(F.length(name) * loss + 1e-9).cast("int") * 3 + 1
-    ranked = exploded.join(frequency, "gram", "left").withColumn(
-        "r",
-        # one window group per name, never longer than the name itself
-        F.row_number().over(Window.partitionBy(name).orderBy(F.coalesce("df", F.lit(0)), "gram")),
+    outside = F.floor(2 * F.col("len") * slack / (1 + slack) + 1e-9).cast("int")
+    return ranked.where(F.col("r") <= F.greatest(outside - 1, F.lit(0)) + 1)
+
+
+def _nearly_equal(ranked: DataFrame, slack: float) -> DataFrame:
+    """Per length ``m`` of a partner: grams one of which a partner of that length must share.
+
+    At most ``e = (1-t)(n+m)`` characters are deleted or inserted, of which deletions exceed insertions by
+    ``n-m``. A deletion spoils at most three grams of this name, an insertion at most two.
+    """
+    n, m = F.col("len"), F.col("other_len")
+    reach = F.floor(2 * n * slack / (1 - slack) + 1e-9).cast("int")
+    lengths = F.sequence(F.greatest(n - reach, F.lit(1)), n + reach)
+    edits = F.floor((n + m) * slack + 1e-9).cast("int")
+    edits = edits - F.pmod(edits - (n - m), F.lit(2))
+    spoiled = F.floor((3 * (edits + n - m) + 2 * (edits - n + m)) / 2)
+    return ranked.withColumn("other_len", F.explode(lengths)).where(
+        (edits >= F.abs(n - m)) & (F.col("r") <= spoiled + 1)
     )
-    return ranked.where(F.col("r") <= keep).select(f"{name}_id", "gram")
 
 
-def _sharing(rare: DataFrame, every: DataFrame, other: str) -> DataFrame:
-    """Id pairs sharing a gram. A gram held by very many names is split over ``_SALTS`` tasks."""
+def _sharing(rare: DataFrame, every: DataFrame, other: str, on: list[str]) -> DataFrame:
+    """Id pairs agreeing on ``on``. A gram held by very many names is split over ``_SALTS`` tasks."""
     tasks = int(rare.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keys = [*on, "salt"]
     salts = F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1)))
-    salted = rare.withColumn("salt", salts).repartition(tasks, "gram", "salt")
-    spread = every.withColumn("salt", F.pmod(other, F.lit(_SALTS)).cast("int")).repartition(tasks, "gram", "salt")
-    return salted.join(spread.hint("merge"), ["gram", "salt"]).select("a_id", "b_id")
+    salted = rare.withColumn("salt", salts).repartition(tasks, *keys)
+    spread = every.withColumn("salt", F.pmod(other, F.lit(_SALTS)).cast("int")).repartition(tasks, *keys)
+    return salted.join(spread.hint("merge"), keys).select("a_id", "b_id")
 
 
 def similar_names(left: DataFrame, right: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """Pairs ``(a, b, score)`` of distinct names scoring at least ``threshold``.
 
     ``left`` has column ``a``, ``right`` column ``b``. Candidates share a gram that is among the rarest of
-    one of the two, so words that nearly every name holds do not bring names together.
+    one of the two, so words that nearly every name holds do not bring names together. How many of the
+    rarest are needed follows from the threshold; no pair is missed.
     """
-    a, b = _grams(left.select("a").distinct(), "a"), _grams(right.select("b").distinct(), "b")
-    frequency = b.select(F.explode("grams").alias("gram")).groupBy("gram").agg(F.count("*").alias("df"))
-    all_a, all_b = (x.select(f"{k}_id", F.explode("grams").alias("gram")) for x, k in ((a, "a"), (b, "b")))
-    rare_a, rare_b = _rarest(a, "a", frequency, threshold), _rarest(b, "b", frequency, threshold)
-    ids = _sharing(rare_a, all_b, "b_id").union(_sharing(rare_b, all_a, "a_id")).distinct()
-    pairs = ids.join(a.select("a_id", "a"), "a_id").join(b.select("b_id", "b"), "b_id")
+    names_a, names_b = left.select("a").distinct(), right.select("b").distinct()
+    a, b = _grams(names_a, "a"), _grams(names_b, "b")
+    frequency = b.groupBy("gram").agg(F.count("*").alias("df"))
+    slack = 1 - threshold / 100
+    ranked_a, ranked_b = _by_rarity(a, "a", frequency), _by_rarity(b, "b", frequency)
+    by_length = b.select("b_id", "gram", F.col("len").alias("other_len"))
+    ids = (
+        _sharing(_nearly_equal(ranked_a, slack).select("a_id", "gram", "other_len"), by_length, "b_id", ["gram", "other_len"])
+        .union(_sharing(_nearly_contained(ranked_a, slack).select("a_id", "gram"), b.select("b_id", "gram"), "b_id", ["gram"]))
+        .union(_sharing(_nearly_contained(ranked_b, slack).select("b_id", "gram"), a.select("a_id", "gram"), "a_id", ["gram"]))
+        .distinct()
+    )
+    with_id = lambda names, k: names.select(F.xxhash64(k).alias(f"{k}_id"), k)
+    pairs = ids.join(with_id(names_a, "a"), "a_id").join(with_id(names_b, "b"), "b_id")
     return score_pairs(pairs.select("a", "b"), threshold)
 
 
