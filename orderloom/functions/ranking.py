@@ -1,10 +1,10 @@
 """Exact global positions, ranks and running sums without a single-task window.
 
-An unpartitioned window sorts every row in one task. Here rows are first spread over ordered
-buckets. The bucket borders come from a bounded set of evenly hashed keys; they only decide how even
-the buckets are, never the result. One small record per bucket (count, sum, first and last value)
-then turns in-bucket windows into global ones. The order key ends in a unique column, so borders may
-fall inside a run of equal values and one hot value is spread over several buckets.
+An unpartitioned window sorts every row in one task. Here rows are first written once in ordered ranges:
+Spark's own range exchange chooses the borders, their number follows the session's shuffle partitions.
+The borders only decide how even the ranges are, never the result. One small record per range (count,
+sums, first and last value) then turns in-range windows into global ones. The order key ends in a unique
+column, so borders may fall inside a run of equal values and one hot value is spread over several ranges.
 """
 
 from __future__ import annotations
@@ -12,12 +12,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BUCKETS = 64
-BORDER_CANDIDATES = 32  # per bucket
+from ..session import cut
 
 
-def _added(frame_array: str, keep, amount, start) -> Column:
-    return F.aggregate(F.filter(frame_array, keep), start, lambda acc, x: acc + amount(x))
+def _total(array: str, field: str, kind) -> Column:
+    return F.aggregate(array, F.lit(0).cast(kind), lambda acc, x: (acc + x[field]).cast(kind))
 
 
 def order_globally(
@@ -26,8 +25,7 @@ def order_globally(
     unique: str,
     *,
     prefix: str = "",
-    amount: str | None = None,
-    buckets: int = BUCKETS,
+    amount: str | list[str] | None = None,
 ) -> DataFrame:
     """Add, for ascending ``(value, unique)``:
 
@@ -35,41 +33,26 @@ def order_globally(
     ``{prefix}rank``      SQL RANK over ``value``
     ``{prefix}ties``      rows sharing ``value``
     ``{prefix}rows``      number of rows
-    ``{prefix}running``   running sum of ``amount`` (only when given)
+    ``{prefix}running``   running sum of ``amount`` (only when given); for a list of columns, one
+                          ``{prefix}running_{column}`` each
 
-    ``value`` must not be NULL and ``unique`` must identify a row. Unused outputs cost nothing:
-    the optimizer drops their windows.
+    ``value`` must not be NULL and ``unique`` must identify a row. The input is evaluated and stored once.
+    Unused outputs cost nothing: the optimizer drops their windows.
     """
     p = f"_{prefix}"
-    v, b, borders, summary, before = f"{p}v", f"{p}b", f"{p}borders", f"{p}summary", f"{p}before"
-    keyed = df.withColumn(v, value)
-
-    candidates = (
-        keyed.select(F.struct(F.col(v).alias("v"), F.col(unique).alias("u")).alias("k"))
-        .orderBy(F.xxhash64("k.u"))
-        .limit(BORDER_CANDIDATES * buckets)
-        .agg(F.array_sort(F.collect_list("k")).alias("a"))
+    v, b, summary, before = f"{p}v", f"{p}b", f"{p}summary", f"{p}before"
+    amounts = {f"{prefix}running": amount} if isinstance(amount, str) else {
+        f"{prefix}running_{a}": a for a in amount or []
+    }
+    keyed = cut(df.withColumn(v, value).repartitionByRange(v, unique).withColumn(b, F.spark_partition_id()))
+
+    per_value = keyed.groupBy(b, v).agg(
+        F.count("*").alias("n"), *(F.sum(a).alias(f"s{i}") for i, a in enumerate(amounts.values()))
     )
-    cuts = candidates.select(
-        F.transform(
-            F.sequence(F.lit(1), F.lit(buckets - 1)),
-            lambda i: F.try_element_at("a", (i * F.size("a") / buckets).cast("int") + 1),
-        ).alias("cuts")
-    )
-
-    def spread(frame: DataFrame) -> DataFrame:
-        key = F.struct(F.col(v).alias("v"), F.col(unique).alias("u"))
-        return (
-            frame.withColumn(borders, cuts.scalar())
-            .withColumn(b, F.size(F.filter(borders, lambda cut: cut < key)))
-            .drop(borders)
-        )
-
-    weight = F.col(amount) if amount else F.lit(0)
-    per_value = spread(keyed).groupBy(b, v).agg(F.count("*").alias("n"), F.sum(weight).alias("s"))
+    sums = [f"s{i}" for i in range(len(amounts))]
     per_bucket = per_value.groupBy(b).agg(
         F.sum("n").alias("n"),
-        F.sum("s").alias("s"),
+        *(F.sum(s).alias(s) for s in sums),
         F.min(F.struct(v, "n")).alias("lo"),
         F.max(F.struct(v, "n")).alias("hi"),
     )
@@ -77,7 +60,7 @@ def order_globally(
         F.struct(
             F.col(b).alias("b"),
             "n",
-            "s",
+            *sums,
             F.col(f"lo.{v}").alias("lo"),
             F.col("lo.n").alias("lo_n"),
             F.col(f"hi.{v}").alias("hi"),
@@ -85,7 +68,7 @@ def order_globally(
         ).alias("r")
     ).agg(F.array_sort(F.collect_list("r"), lambda x, y: x["b"] - y["b"]).alias("records"))
 
-    out = spread(keyed).withColumn(summary, records.scalar())
+    out = keyed.withColumn(summary, records.scalar())
     out = out.withColumn(before, F.filter(summary, lambda x: x["b"] < F.col(b)))
 
     in_bucket = Window.partitionBy(b).orderBy(v, unique)
@@ -114,13 +97,11 @@ def order_globally(
         .withColumn(f"{prefix}rows", F.aggregate(summary, zero, lambda acc, x: acc + x["n"]))
     )
     drop = [v, b, summary, before, f"{p}local"]
-    if amount:
-        total_type = records.schema["records"].dataType.elementType["s"].dataType
-        carried = F.aggregate(
-            before, F.lit(0).cast(total_type), lambda acc, x: (acc + x["s"]).cast(total_type)
-        )
-        inside = F.sum(amount).over(in_bucket.rowsBetween(Window.unboundedPreceding, 0))
-        out = out.withColumn(f"{prefix}running", (carried + inside).cast(total_type))
+    for s, (name, column) in zip(sums, amounts.items(), strict=True):
+        kind = records.schema["records"].dataType.elementType[s].dataType
+        carried = _total(before, s, kind)
+        inside = F.sum(column).over(in_bucket.rowsBetween(Window.unboundedPreceding, 0))
+        out = out.withColumn(name, (carried + inside).cast(kind))
     return out.drop(*drop)
 
 

@@ -173,7 +173,3 @@ def dealer_insights(segmented: DataFrame, pairs: DataFrame) -> DataFrame:
         *[best.select(c).scalar().alias(c) for c in ("group_a", "group_b", "co_count")],
         pairs.agg(F.count("*").alias("n")).scalar().alias("pair_count"),
     )
-
-
-def group_label() -> Column:
-    return labelled("group_name", UNCLASSIFIED)

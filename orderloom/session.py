@@ -3,9 +3,13 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import NullType
 
 # Settings that only change how a plan runs; a cluster's own values win.
 DEFAULTS = {
@@ -36,30 +40,29 @@ def local_session(app: str = "orderloom", cpus: int | str = "*", **conf: str) ->
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder for checkpoints and materialised intermediate tables.
+    """Folder for materialised intermediate tables, readable by every executor.
 
-    The cluster names it in ``spark.checkpoint.dir``; only a session without that setting (tests, a
-    laptop) gets a temporary one.
+    The cluster names it in ``spark.checkpoint.dir``. Only a session in one local process may do without
+    (tests, a laptop): it gets a temporary folder. Anywhere else a missing setting is an error, because
+    the driver's own disk is not the executors'.
     """
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not folder:
+        if not re.fullmatch(r"local(\[.*\])?", context.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="orderloom-")
-    if not context.getCheckpointDir():
         context.setCheckpointDir(folder)
-    return folder
+    return folder.rstrip("/")
 
 
-def fill_cores(df: DataFrame, scan: DataFrame) -> DataFrame:
-    """Spread rows before costly per-row work when the scan they come from has fewer splits than cores.
+def cut(df: DataFrame) -> DataFrame:
+    """The frame written once as Parquet to the shared folder, for plans that read it several times.
 
-    A table of many files is left as it is, so nothing is shuffled at cluster size.
+    Column pruning and filters still reach the stored table, and a lost executor costs nothing.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if scan.rdd.getNumPartitions() < cores else df
-
-
-def cut(df: DataFrame) -> DataFrame:
-    """The frame written once to the shared folder, for plans that read it several times."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint()
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/kept/{uuid.uuid4().hex}"
+    void = [f.name for f in df.schema.fields if isinstance(f.dataType, NullType)]
+    df.withColumns({c: F.col(f"`{c}`").cast("string") for c in void}).write.parquet(path)
+    return spark.read.schema(df.withColumns({c: F.lit(None).cast("string") for c in void}).schema).parquet(path)
