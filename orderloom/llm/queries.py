@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_dedup, mixing, quality_rules
+from . import language_id, line_dedup, mixing, pieces, quality_rules, resampling
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -113,3 +113,28 @@ def op6(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text", "source")
     return line_dedup.drop_boilerplate(docs).select(
         "doc_id", "n_lines", "n_dropped", F.md5("cleaned_text").alias("text_md5"))
+
+
+@query("op5_language_id")
+def op5(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    seen = docs.select("text", "lang", held_out(4, 2)).where(~F.coalesce("held_out", F.lit(False)))
+    judged = language_id.identify(docs.select("doc_id", "text"), seen)
+    return judged.select("doc_id", held_out(4, 2), "lang_pred", "score")
+
+
+@query("op9_quality_resampling")
+def op9(spark: SparkSession, folder: str) -> DataFrame:
+    good = table(spark, folder, "labels").where("quality = 1").select("doc_id").distinct().withColumn("good", F.lit(True))
+    docs = table(spark, folder, "documents").select("doc_id", "text").join(good, "doc_id", "left")
+    return resampling.resample(docs, F.col("good")).withColumnRenamed("id", "doc_id")
+
+
+@query("op10_piece_sampling")
+def op10(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    encoded = pieces.encode_texts(docs, F.xxhash64("doc_id", "text"))
+    back = pieces.decode_texts(encoded)
+    return back.select("doc_id", F.coalesce(F.size("token_ids"), F.lit(0)).cast("long").alias("n_pieces"),
+                       F.xxhash64("token_ids").alias("pieces_hash"),
+                       F.col("decoded").eqNullSafe(F.col("text")).alias("lossless"))
