@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language_id, line_dedup, mixing, pieces, quality_rules, resampling
+from . import language_id, line_dedup, mixing, pieces, quality_rules, resampling, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -115,6 +115,14 @@ def op6(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", "n_lines", "n_dropped", F.md5("cleaned_text").alias("text_md5"))
 
 
+@query("op3_toxicity")
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    usable = F.crc32(F.col("id").cast("string")) % 5 != 0
+    net = toxicity.fit(toxicity.labelled_sample(docs, table(spark, folder, "labels"), usable))
+    return toxicity.score(docs.select("doc_id", held_out(5, 0), "text"), net).select("doc_id", "held_out", "score", "predicted")
+
+
 @query("op5_language_id")
 def op5(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
