@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language_id, line_dedup, mixing, pieces, quality_rules, resampling, toxicity
+from . import html_text, language_id, line_dedup, mixing, pieces, quality_rules, resampling, toxicity, vector_search
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -131,6 +131,29 @@ def op5(spark: SparkSession, folder: str) -> DataFrame:
     return judged.select("doc_id", held_out(4, 2), "lang_pred", "score")
 
 
+@query("op7_html_text")
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    return html_text.render(table(spark, folder, "pages").select("page_id", "html")).select("page_id", "visible_text")
+
+
+@query("op8_vector_search", """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x : CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x : x IS NULL OR NOT isfinite(x))) = 0),
+scores AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+    CAST(list_sum(list_transform(list_zip(q.v, c.v), lambda p : p[1] * p[2])) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scores)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 5
+""")
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    found = vector_search.search(table(spark, folder, "embeddings"), F.col("id") % 50 == 0)
+    return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
+
+
 @query("op9_quality_resampling")
 def op9(spark: SparkSession, folder: str) -> DataFrame:
     good = table(spark, folder, "labels").where("quality = 1").select("doc_id").distinct().withColumn("good", F.lit(True))
