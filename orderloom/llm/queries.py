@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import html_text, language_id, line_dedup, mixing, pieces, quality_rules, resampling, toxicity, vector_search
+from . import html_text, language_id, line_dedup, mixing, near_dup, pieces, quality_rules, resampling, toxicity, vector_search
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -123,6 +123,33 @@ def op3(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.score(docs.select("doc_id", held_out(5, 0), "text"), net).select("doc_id", "held_out", "score", "predicted")
 
 
+@query("op4_near_dup", f"""
+WITH RECURSIVE worded AS (
+  SELECT doc_id, {_WORDS.format("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} AS w FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [w] ELSE
+    list_transform(range(1, len(w) - 3), lambda i : w[i : i + 4]) END) AS s
+  FROM worded),
+sized AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+pairs AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS shared
+  FROM shingles x JOIN shingles y ON x.s = y.s AND x.doc_id <> y.doc_id GROUP BY 1, 2),
+links AS (
+  SELECT a, b FROM pairs JOIN sized x ON a = x.doc_id JOIN sized y ON b = y.doc_id
+  WHERE 100 * shared >= 85 * (x.n + y.n - shared)),
+reach AS (
+  SELECT doc_id AS a, doc_id AS b FROM documents
+  UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a)
+SELECT d.doc_id, CAST(coalesce(any_value(s.n), 0) AS BIGINT) AS n_shingles, min(r.b) AS component_id,
+  d.doc_id = min(r.b) AS kept
+FROM documents d JOIN reach r ON r.a = d.doc_id LEFT JOIN sized s ON s.doc_id = d.doc_id
+GROUP BY d.doc_id
+""")
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    found = near_dup.group(table(spark, folder, "documents"), percent=85)
+    return found.select(F.col("id").alias("doc_id"), "n_shingles", "component_id", "kept")
+
+
 @query("op5_language_id")
 def op5(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
