@@ -35,7 +35,11 @@ BLOCK = 256
 AT_ONCE = 1 << 17  # shingles whose permutations are in memory together
 PERCENT = 80
 
-_GOLDEN = np.uint64(0x9E3779B97F4A7C15)
+_STEP = 0x9E3779B97F4A7C15
+
+
+def _seed(k: int) -> np.uint64:
+    return np.uint64(k * _STEP % 2**64)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -61,7 +65,7 @@ def shingles(words: list[bytes]) -> np.ndarray:
     n = len(h) - width + 1
     total = np.full(n, width, np.uint64)
     for k in range(width):
-        total += mix(h[k : k + n] + np.uint64(k + 1) * _GOLDEN)
+        total += mix(h[k : k + n] + _seed(k + 1))
     return np.unique(mix(total))
 
 
@@ -75,8 +79,8 @@ def superminhash(sets: list[np.ndarray], slots: int = SLOTS) -> np.ndarray:
     for level in range(slots):
         if not len(item):
             break
-        x = mix(item + np.uint64(level + 1) * _GOLDEN)
-        other = level + (mix(x + _GOLDEN) % np.uint64(slots - level)).astype(np.int64)
+        x = mix(item + _seed(level + 1))
+        other = level + (mix(x + _seed(1)) % np.uint64(slots - level)).astype(np.int64)
         at = np.arange(len(item))
         slot = order[at, other].copy()
         order[at, other] = order[:, level]
@@ -93,7 +97,7 @@ def superminhash(sets: list[np.ndarray], slots: int = SLOTS) -> np.ndarray:
 def band_buckets(signatures: np.ndarray, rows: int = ROWS) -> np.ndarray:
     """One bucket per band, as long integers; bands do not share buckets."""
     n, slots = signatures.shape
-    bands = mix(signatures + np.arange(1, slots + 1, dtype=np.uint64) * _GOLDEN).reshape(n, slots // rows, rows)
+    bands = mix(signatures + np.arange(1, slots + 1, dtype=np.uint64) * _seed(1)).reshape(n, slots // rows, rows)
     return mix(bands.sum(axis=2, dtype=np.uint64) + np.arange(slots // rows, dtype=np.uint64)).view(np.int64)
 
 
