@@ -32,7 +32,7 @@ SHINGLE = 5
 SLOTS, ROWS = 160, 5  # 32 bands of 5 slots
 SMALL = 64  # classes of a bucket that are compared pair by pair
 BLOCK = 256
-AT_ONCE = 1 << 17  # shingles whose permutations are in memory together
+AT_ONCE = 1 << 16  # shingles whose permutations are in memory together
 PERCENT = 80
 
 _STEP = 0x9E3779B97F4A7C15
@@ -105,26 +105,25 @@ def _sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     from xxhash import xxh3_64_intdigest
 
     for batch in batches:
-        start = 0
-        words = [split_words(t) for t in batch["text"]]
-        sets = [shingles(w) for w in words]
-        while start < len(sets):
-            end, load = start, 0
-            while end < len(sets) and (end == start or load + len(sets[end]) <= AT_ONCE):
-                load += len(sets[end])
-                end += 1
-            signatures = superminhash(sets[start:end])
+        start, sets, nodes, load = 0, [], [], 0
+        for end, text in enumerate(batch["text"], 1):
+            words = split_words(text)
+            sets.append(shingles(words))
+            nodes.append(xxh3_64_intdigest(b" ".join(words)))
+            load += len(sets[-1])
+            if load < AT_ONCE and end < len(batch):
+                continue
+            signatures = superminhash(sets)
             buckets = band_buckets(signatures)
             short = (mix(signatures) >> np.uint64(48)).astype(np.uint16)
             part = batch.iloc[start:end]
-            nodes = np.array([xxh3_64_intdigest(b" ".join(w)) for w in words[start:end]], np.uint64).view(np.int64)
             yield pd.DataFrame({
-                "id": part["id"], "row_key": part["row_key"], "node": nodes,
-                "n": [len(s) for s in sets[start:end]],
+                "id": part["id"], "row_key": part["row_key"], "node": np.array(nodes, np.uint64).view(np.int64),
+                "n": [len(s) for s in sets],
                 "sketch": [s.tobytes() for s in short],
-                "buckets": [b if len(s) else b[:0] for b, s in zip(buckets, sets[start:end], strict=True)],
+                "buckets": [b if len(s) else b[:0] for b, s in zip(buckets, sets, strict=True)],
             })
-            start = end
+            start, sets, nodes, load = end, [], [], 0
 
 
 def signed(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
