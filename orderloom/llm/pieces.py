@@ -161,7 +161,7 @@ def encode_texts(docs: DataFrame, key: Column, text_column: str = "text", model:
     def run(parts: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
         v, cache = Vocabulary(*shared.value), {}
         for texts, keys in parts:
-            yield pd.Series([None if t is None else encode(t, k, v, cache, seed)
+            yield pd.Series([None if t is None else np.array(encode(t, k, v, cache, seed), np.int32)
                              for t, k in zip(texts, keys.tolist(), strict=True)], dtype=object)
 
     return keep_columns(docs, {"token_ids": run(F.col(f"`{text_column}`"), key)})

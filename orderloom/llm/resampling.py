@@ -22,6 +22,7 @@ from .common import keep_columns, uniform
 BUCKETS = 10_000
 KEEP_PERCENT = 85
 SEED = 20240609
+AT_ONCE = 256  # texts whose words are in memory together
 
 
 def _hashed(texts: list[str | None], buckets: int) -> tuple[np.ndarray, np.ndarray]:
@@ -38,15 +39,17 @@ def _hashed(texts: list[str | None], buckets: int) -> tuple[np.ndarray, np.ndarr
 
 
 def bucket_counts(docs: DataFrame, text_column: str, target: Column, buckets: int = BUCKETS) -> DataFrame:
-    """``(bucket, n_raw, n_target)`` over all rows; at most ``buckets`` rows, summed per batch first."""
+    """``(bucket, n_raw, n_target)`` over all rows; at most ``buckets`` rows, summed per task first."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        raw, chosen = np.zeros(buckets, np.int64), np.zeros(buckets, np.int64)
         for batch in batches:
-            row, bucket = _hashed(batch["text"].tolist(), buckets)
-            raw = np.bincount(bucket, minlength=buckets)
-            chosen = batch["target"].to_numpy(bool)[row]
-            yield pd.DataFrame({"bucket": np.arange(buckets), "n_raw": raw,
-                                "n_target": np.bincount(bucket[chosen], minlength=buckets)})
+            for start in range(0, len(batch), AT_ONCE):
+                part = batch.iloc[start : start + AT_ONCE]
+                row, bucket = _hashed(part["text"].tolist(), buckets)
+                raw += np.bincount(bucket, minlength=buckets)
+                chosen += np.bincount(bucket[part["target"].to_numpy(bool)[row]], minlength=buckets)
+        yield pd.DataFrame({"bucket": np.arange(buckets), "n_raw": raw, "n_target": chosen})
 
     rows = docs.select(F.col(f"`{text_column}`").alias("text"), F.coalesce(target, F.lit(False)).alias("target"))
     parts = rows.mapInPandas(count, "bucket long, n_raw long, n_target long")
@@ -68,8 +71,12 @@ def log_weights(docs: DataFrame, ratios: np.ndarray, text_column: str = "text")
 
     @F.pandas_udf("double")
     def weigh(texts: pd.Series) -> pd.Series:
-        row, bucket = _hashed(texts.tolist(), len(shared.value))
-        return pd.Series(np.bincount(row, weights=shared.value[bucket], minlength=len(texts)))
+        out = np.zeros(len(texts))
+        for start in range(0, len(texts), AT_ONCE):
+            part = texts.iloc[start : start + AT_ONCE].tolist()
+            row, bucket = _hashed(part, len(shared.value))
+            out[start : start + len(part)] = np.bincount(row, weights=shared.value[bucket], minlength=len(part))
+        return pd.Series(out)
 
     return keep_columns(docs, {"log_weight": weigh(F.col(f"`{text_column}`"))})
 
