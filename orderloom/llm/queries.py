@@ -183,9 +183,9 @@ def op8(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("op9_quality_resampling")
 def op9(spark: SparkSession, folder: str) -> DataFrame:
-    good = table(spark, folder, "labels").where("quality = 1").select("doc_id").distinct().withColumn("good", F.lit(True))
-    docs = table(spark, folder, "documents").select("doc_id", "text").join(good, "doc_id", "left")
-    return resampling.resample(docs, F.col("good")).withColumnRenamed("id", "doc_id")
+    good = table(spark, folder, "labels").where("quality = 1").select("doc_id")
+    docs = resampling.marked_target(table(spark, folder, "documents").select("doc_id", "text"), good)
+    return resampling.resample(docs, F.col("_target")).withColumnRenamed("id", "doc_id")
 
 
 @query("op10_piece_sampling")

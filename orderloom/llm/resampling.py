@@ -22,6 +22,7 @@ from .common import keep_columns, uniform
 BUCKETS = 10_000
 KEEP_PERCENT = 85
 SEED = 20240609
+TARGET_ROWS = 50_000  # labelled rows at most that the target model is counted from
 AT_ONCE = 256  # texts whose words are in memory together
 
 
@@ -81,6 +82,19 @@ def log_weights(docs: DataFrame, ratios: np.ndarray, text_column: str = "text")
     return keep_columns(docs, {"log_weight": weigh(F.col(f"`{text_column}`"))})
 
 
+def marked_target(docs: DataFrame, ids: DataFrame, id_column: str = "doc_id", rows: int = TARGET_ROWS) -> DataFrame:
+    """``docs`` with ``_target``: true for at most ``rows`` of the ``ids`` (one column), chosen by hash.
+
+    The bound keeps the marks small enough to broadcast, so texts are not shuffled to meet their labels.
+    The raw model always counts every row.
+    """
+    name = ids.columns[0]
+    few = ids.select(F.col(f"`{name}`").alias("_target_id")).dropna().distinct().orderBy(F.xxhash64("_target_id"), "_target_id")
+    marks = F.broadcast(few.limit(rows).withColumn("_target", F.lit(True)))
+    joined = docs.join(marks, docs[f"`{id_column}`"] == marks["_target_id"], "left").drop("_target_id")
+    return joined.withColumn("_target", F.coalesce("_target", F.lit(False)))
+
+
 def resample(
     docs: DataFrame, target: Column, id_column: str = "doc_id", text_column: str = "text",
     keep_percent: int = KEEP_PERCENT, buckets: int = BUCKETS, seed: int = SEED,
