@@ -19,6 +19,7 @@ from .common import keep_columns
 
 TOP = 300  # n-grams per profile
 UNKNOWN = "und"
+AT_ONCE = 64  # texts whose n-grams are in memory together
 _NO_LETTERS = re.compile(r"[\W\d_]+")
 _SPACE = 32
 _BITS = 21  # of a code point
@@ -46,20 +47,29 @@ def _counts(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return grams[starts], np.diff(np.append(starts, len(grams)))
 
 
+def _added(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    grams, at = np.unique(np.concatenate([a[0], b[0]]), return_inverse=True)
+    return grams, np.bincount(at, weights=np.concatenate([a[1], b[1]])).astype(np.int64)
+
+
 def profiles(docs: DataFrame, text_column: str = "text", lang_column: str = "lang", top: int = TOP) -> DataFrame:
     """``(lang, gram, place)``: the ``top`` n-grams of each language over all rows with text and language.
 
-    Counts are summed per batch before they are shuffled. Equal counts are ordered by n-gram, so the result
+    Counts are summed per task before they are shuffled. Equal counts are ordered by n-gram, so the result
     does not depend on the order of rows.
     """
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        sums: dict[str, tuple[np.ndarray, np.ndarray]] = {}
         for batch in batches:
-            for lang, texts in batch.groupby("lang")["text"]:
-                codes = [c for c in map(_codes, texts) if len(c)]
-                if codes:
-                    grams, n = _counts(np.concatenate(codes))
-                    yield pd.DataFrame({"lang": lang, "gram": grams, "n": n})
+            for start in range(0, len(batch), AT_ONCE):
+                for lang, texts in batch.iloc[start : start + AT_ONCE].groupby("lang")["text"]:
+                    codes = [c for c in map(_codes, texts) if len(c)]
+                    if codes:
+                        more = _counts(np.concatenate(codes))
+                        sums[lang] = _added(sums[lang], more) if lang in sums else more
+        for lang, (grams, n) in sums.items():
+            yield pd.DataFrame({"lang": lang, "gram": grams, "n": n})
 
     rows = docs.select(F.col(f"`{text_column}`").alias("text"), F.col(f"`{lang_column}`").alias("lang")).dropna()
     sums = rows.mapInPandas(count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
