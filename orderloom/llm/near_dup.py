@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut
-from .common import same
+from .common import mix, same
 
 SHINGLE = 5
 SLOTS, ROWS = 160, 5  # 32 bands of 5 slots
@@ -42,13 +42,6 @@ def _seed(k: int) -> np.uint64:
     return np.uint64(k * _STEP % 2**64)
 
 
-def mix(x: np.ndarray) -> np.ndarray:
-    """The finaliser of splitmix64."""
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
 def split_words(text: str | None) -> list[bytes]:
     """Words between ASCII white space, A-Z in lower case."""
     return text.encode("utf-8", "replace").lower().split() if text else []

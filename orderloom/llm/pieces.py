@@ -4,16 +4,15 @@ A text is a lattice: nodes are its positions, edges the vocabulary's pieces. A f
 weights of all segmentations up to each node; a backward pass draws one, each with probability in
 proportion to its weight. Random numbers follow from seed and row key, so a row always gets the same pieces.
 
-No piece of such a vocabulary has a word mark after another character, so every segmentation breaks there
-and the lattice falls apart into units (one word with the marks before it) that are sampled one by one. The
-backward tables of recent units are kept per task, up to ``CACHE`` units.
+No piece of such a vocabulary has a word mark after another character or a line feed, so every segmentation
+breaks there and the lattice falls apart into units, mostly words. The lattices of the different units of a
+few texts are laid out in one array and worked on together in NumPy.
 """
 
 from __future__ import annotations
 
 import math
 import re
-from bisect import bisect_right
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -22,26 +21,50 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import keep_columns
+from .common import keep_columns, mix
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SEED = 20240610
 POWER = 1.0  # exponent of the weights: larger values stay closer to the best segmentation
-CACHE = 200_000
+AT_ONCE = 1 << 18  # characters whose lattices are in memory together; one text may be longer
 MARK = "▁"  # stands for a space
 LITERAL = "\ud800"  # stands for a MARK of the text itself; cannot occur in valid text
-_UNIT = re.compile(f"{MARK}+[^{MARK}]*")
+END = "\ud801"  # stands between units
+_UNIT = re.compile(f"{MARK}+[^{MARK}\n]*|\n|[^{MARK}\n]+")
+_BITS = 21  # of a code point
+_SLOT_BITS = 19  # of the hash table, for up to some 400,000 prefixes
 
 
 class Vocabulary(NamedTuple):
-    """``weights``: log weight per piece; ``bytes_``: ids of the 256 byte pieces; ``surface``: bytes per id."""
+    """Trie over pieces: a hash table from state and character to the next state; piece and log weight per state."""
 
-    ids: dict[str, int]
-    weights: dict[str, float]
-    prefixes: frozenset[str]
-    bytes_: list[int]
+    steps: np.ndarray  # -1 where free; an entry stands at its slot or in the next free one
+    targets: np.ndarray
+    piece: np.ndarray
+    weight: np.ndarray
+    bytes_: list[int]  # ids of the byte pieces
     byte_weight: float
-    surface: list[bytes]
+    surface: list[bytes]  # per id
+
+
+def _slot(key: np.ndarray) -> np.ndarray:
+    return ((key.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - _SLOT_BITS)).astype(np.int64)
+
+
+def _next(state: np.ndarray, character: np.ndarray, v: Vocabulary) -> np.ndarray:
+    """The state after a character, -1 if no piece goes on like that."""
+    key = (state << _BITS) | character
+    slot = _slot(key)
+    there = v.steps[slot]
+    out = np.where(there == key, v.targets[slot], -1)
+    look = np.flatnonzero((there != key) & (there >= 0))
+    while len(look):
+        slot[look] = (slot[look] + 1) & (len(v.steps) - 1)
+        there = v.steps[slot[look]]
+        hit = there == key[look]
+        out[look[hit]] = v.targets[slot[look[hit]]]
+        look = look[~hit & (there >= 0)]
+    return out
 
 
 def load(path: str = MODEL, power: float = POWER) -> Vocabulary:
@@ -56,13 +79,12 @@ def load(path: str = MODEL, power: float = POWER) -> Vocabulary:
     n = model.vocab_size()
     special = [model.is_control(i) or model.is_unknown(i) or model.is_unused(i) for i in range(n)]
     normal = {model.id_to_piece(i): i for i in range(n) if not special[i] and not model.is_byte(i)}
-    if any(MARK in p.lstrip(MARK) for p in normal):
-        raise ValueError("a piece has a word mark after another character")
+    if any(MARK in p.lstrip(MARK) or "\n" in p for p in normal):
+        raise ValueError("a piece has a word mark after another character, or a line feed")
     score = {p: model.get_score(i) for p, i in normal.items()}
     ranked = all(s <= 0 and s == int(s) for s in score.values())
     if ranked:
         score = {p: -math.log(1 + min(-s, n)) for p, s in score.items()}
-    weights = {p: power * s for p, s in score.items()}
     bytes_ = [0] * 256
     surface = [b""] * n
     for i in range(n):
@@ -71,76 +93,147 @@ def load(path: str = MODEL, power: float = POWER) -> Vocabulary:
             bytes_[value], surface[i] = i, bytes([value])
     for p, i in normal.items():
         surface[i] = p.replace(MARK, " ").encode()
-    prefixes = frozenset(p[:k] for p in normal for k in range(1, len(p) + 1))
-    return Vocabulary(normal, weights, prefixes, bytes_, min(weights.values()) - power, surface)
-
-
-def backward_table(unit: str, v: Vocabulary) -> list[tuple[list[float], list[int], list[tuple[int, ...]]] | None]:
-    """For each node but the first: cumulative probabilities, start nodes and ids of the edges into it."""
-    n = len(unit)
-    into: list[list[tuple[float, int, tuple[int, ...]]]] = [[] for _ in range(n + 1)]
-    forward = [0.0] * (n + 1)
-    table: list = [None] * (n + 1)
-    for i in range(n + 1):
-        if i:
-            edges = into[i]
-            top = max(e[0] for e in edges)
-            odds = [math.exp(e[0] - top) for e in edges]
-            total = math.fsum(odds)
-            forward[i] = top + math.log(total)
-            part, cumulative = 0.0, []
-            for o in odds:
-                part += o / total
-                cumulative.append(part)
-            table[i] = (cumulative[:-1], [e[1] for e in edges], [e[2] for e in edges])
-            into[i] = []
-        if i == n:
-            break
-        here = forward[i]
-        if unit[i] not in v.ids:  # only then bytes
-            raw = (MARK if unit[i] == LITERAL else unit[i]).encode()
-            into[i + 1].append((here + v.byte_weight * len(raw), i, tuple(v.bytes_[b] for b in raw)))
-        j = i + 1
-        while j <= n and (piece := unit[i:j]) in v.prefixes:
-            if piece in v.ids:
-                into[j].append((here + v.weights[piece], i, (v.ids[piece],)))
-            j += 1
-    return table
-
-
-def _random(seed: int, key: int, n: int) -> list[float]:
-    """``n`` numbers in [0, 1) from seed and row key."""
-    x = (np.arange(1, n + 1, dtype=np.uint64) + np.uint64(key & (2**64 - 1))) * np.uint64(0x9E3779B97F4A7C15)
-    x += np.uint64(seed)
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return (((x ^ (x >> np.uint64(31))) >> np.uint64(11)) * 2.0**-53).tolist()
-
-
-def encode(text: str, key: int, v: Vocabulary, cache: dict, seed: int = SEED) -> list[int]:
-    """Ids of one sampled segmentation."""
-    if not text:
-        return []
-    marked = MARK + text.replace(MARK, LITERAL).replace(" ", MARK)
-    numbers = iter(_random(seed, key, len(marked)))
-    out: list[int] = []
-    for unit in _UNIT.findall(marked):
-        table = cache.get(unit)
-        if table is None:
-            table = backward_table(unit, v)
-            if len(unit) <= 64:
-                if len(cache) >= CACHE:
-                    cache.clear()
-                cache[unit] = table
-        node, drawn = len(unit), []
-        while node:
-            cumulative, starts, ids = table[node]
-            edge = bisect_right(cumulative, next(numbers)) if cumulative else 0
-            drawn.append(ids[edge])
-            node = starts[edge]
-        for ids in reversed(drawn):
-            out += ids
-    return out
+
+    # a trie: state 0 is the root, every other prefix of a piece has a state of its own
+    states = {"": 0} | {p: i for i, p in enumerate(sorted({p[:k] for p in normal for k in range(1, len(p) + 1)}), 1)}
+    steps, targets = np.full(1 << _SLOT_BITS, -1, np.int64), np.zeros(1 << _SLOT_BITS, np.int64)
+    for p, i in states.items():
+        if p:
+            key = (states[p[:-1]] << _BITS) | ord(p[-1])
+            slot = int(_slot(np.array([key]))[0])
+            while steps[slot] >= 0:
+                slot = (slot + 1) % len(steps)
+            steps[slot], targets[slot] = key, i
+    piece, weight = np.full(len(states), -1, np.int32), np.zeros(len(states))
+    for p, i in normal.items():
+        piece[states[p]], weight[states[p]] = i, power * score[p]
+    return Vocabulary(steps, targets, piece, weight, bytes_, float(weight.min()) - power, surface)
+
+
+class _Lattice(NamedTuple):
+    """Edges in the order of the nodes they end at. Nodes are positions in the row of units."""
+
+    first: np.ndarray  # edge per node, and one more
+    start: np.ndarray
+    piece: np.ndarray  # -1 - character for a character that is spelled in bytes
+    chance: np.ndarray  # running sum over all edges, 1 for each node reached
+    unit_start: np.ndarray
+    unit_end: np.ndarray
+
+
+def _edges(codes: np.ndarray, v: Vocabulary):
+    """Start, end, piece and log weight of all edges."""
+    starts, ends, pieces_, weights = [], [], [], []
+    inside = codes != ord(END)
+    at, state = np.flatnonzero(inside), np.zeros(int(inside.sum()), np.int64)
+    length, single = 0, np.zeros(len(codes), bool)
+    while len(at):
+        state = _next(state, codes[at + length], v)
+        ok = state >= 0
+        at, state = at[ok], state[ok]
+        length += 1
+        whole = v.piece[state] >= 0
+        starts.append(at[whole])
+        ends.append(at[whole] + length)
+        pieces_.append(v.piece[state[whole]].astype(np.int64))
+        weights.append(v.weight[state[whole]])
+        if length == 1:
+            single[at[whole]] = True
+    spelled = np.flatnonzero(inside & ~single)
+    c = np.where(codes[spelled] == ord(LITERAL), ord(MARK), codes[spelled])
+    starts.append(spelled)
+    ends.append(spelled + 1)
+    pieces_.append(-1 - c)
+    weights.append(v.byte_weight * (1 + (c > 0x7F) + (c > 0x7FF) + (c > 0xFFFF)))
+    return tuple(map(np.concatenate, (starts, ends, pieces_, weights)))
+
+
+def lattice(units: list[str], v: Vocabulary) -> _Lattice:
+    """The forward pass over all units at once, node after node of every unit."""
+    codes = np.frombuffer((END.join(units) + END).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+    unit_end = np.flatnonzero(codes == ord(END))
+    unit_start = np.concatenate([[0], unit_end[:-1] + 1])
+    depth = np.arange(len(codes)) - np.repeat(unit_start, unit_end - unit_start + 1)
+    start, end, piece, weight = _edges(codes, v)
+    order = np.argsort(end, kind="stable")
+    start, end, piece, weight = start[order], end[order], piece[order], weight[order]
+    first = np.concatenate([[0], np.cumsum(np.bincount(end, minlength=len(codes)))])
+    forward, chance = np.zeros(len(codes)), np.zeros(len(end))
+    # nodes by depth; all edges into a node come from smaller depths
+    nodes = np.argsort(depth, kind="stable")
+    nodes = nodes[depth[nodes] > 0]
+    cuts = np.flatnonzero(np.diff(depth[nodes])) + 1
+    for level in np.split(nodes, cuts) if len(nodes) else []:
+        count = first[level + 1] - first[level]
+        begin = np.concatenate([[0], np.cumsum(count)[:-1]])
+        edge = np.repeat(first[level] - begin, count) + np.arange(int(count.sum()))
+        value = forward[start[edge]] + weight[edge]
+        top = np.maximum.reduceat(value, begin)
+        odds = np.exp(value - np.repeat(top, count))
+        total = np.add.reduceat(odds, begin)
+        forward[level] = top + np.log(total)
+        chance[edge] = odds / np.repeat(total, count)
+    return _Lattice(first, start, piece, np.cumsum(chance), unit_start, unit_end)
+
+
+def _uniform(key: np.ndarray, step: int) -> np.ndarray:
+    return (mix(key + np.uint64(step * 0x9E3779B97F4A7C15 % 2**64)) >> np.uint64(11)) * 2.0**-53
+
+
+def sample(graph: _Lattice, unit: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """One segmentation per entry of ``unit``: pieces one after the other, and how many each entry has."""
+    node, who = graph.unit_end[unit], np.arange(len(unit))
+    goal, drawn = graph.unit_start[unit], []
+    count = np.zeros(len(unit), np.int64)
+    step = 0
+    while len(who):
+        a, b = graph.first[node], graph.first[node + 1] - 1
+        before = np.where(a > 0, graph.chance[a - 1], 0.0)
+        edge = np.clip(np.searchsorted(graph.chance, before + _uniform(key, step), side="right"), a, b)
+        drawn.append((who, graph.piece[edge]))
+        count[who] += 1
+        node = graph.start[edge]
+        go_on = node > goal
+        who, node, goal, key = who[go_on], node[go_on], goal[go_on], key[go_on]
+        step += 1
+    last = np.cumsum(count) - 1
+    out = np.empty(int(count.sum()), np.int64)
+    for k, (w, piece) in enumerate(drawn):
+        out[last[w] - k] = piece
+    return out, count
+
+
+def encode(texts: list[str], keys: list[int], v: Vocabulary, seed: int = SEED) -> list[np.ndarray]:
+    """Ids of one sampled segmentation per text."""
+    units: list[str] = []
+    sizes = []
+    for text in texts:
+        marked = MARK + text.replace(MARK, LITERAL).replace(" ", MARK) if text else ""
+        found = _UNIT.findall(marked)
+        units += found
+        sizes.append(len(found))
+    if not units:
+        return [np.zeros(0, np.int32) for _ in texts]
+    known = {u: i for i, u in enumerate(dict.fromkeys(units))}
+    unit = np.fromiter(map(known.__getitem__, units), np.int64, len(units))
+    place = np.concatenate([np.arange(n, dtype=np.uint64) for n in sizes])
+    key = np.repeat(np.array([(k + seed) % 2**64 for k in keys], np.uint64), sizes)
+    pieces_, count = sample(lattice(list(known), v), unit, mix(mix(key) + place))
+    # characters that are spelled in bytes
+    width = np.ones(len(pieces_), np.int64)
+    spelled = np.flatnonzero(pieces_ < 0)
+    raw = {c: chr(-1 - c).encode() for c in np.unique(pieces_[spelled]).tolist()}
+    for c, b in raw.items():
+        width[spelled[pieces_[spelled] == c]] = len(b)
+    at = np.cumsum(width) - width
+    ids = np.repeat(pieces_, width).astype(np.int32)
+    for c, b in raw.items():
+        here = at[spelled[pieces_[spelled] == c]]
+        for k, value in enumerate(b):
+            ids[here + k] = v.bytes_[value]
+    per_unit = np.add.reduceat(width, np.cumsum(count) - count)
+    ends = np.concatenate([[0], np.cumsum(per_unit)])[np.concatenate([[0], np.cumsum(sizes)])]
+    return [ids[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)]
 
 
 def decode(ids: list[int], v: Vocabulary) -> str:
@@ -159,10 +252,18 @@ def encode_texts(docs: DataFrame, key: Column, text_column: str = "text", model:
 
     @F.pandas_udf("array<int>")
     def run(parts: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-        v, cache = Vocabulary(*shared.value), {}
+        v = Vocabulary(*shared.value)
         for texts, keys in parts:
-            yield pd.Series([None if t is None else np.array(encode(t, k, v, cache, seed), np.int32)
-                             for t, k in zip(texts, keys.tolist(), strict=True)], dtype=object)
+            out, todo, load = [None] * len(texts), [], 0
+            for i, text in enumerate(texts):
+                if text is not None:
+                    todo.append(i)
+                    load += len(text)
+                if load >= AT_ONCE or i == len(texts) - 1:
+                    for k, ids in zip(todo, encode(texts.iloc[todo].tolist(), keys.iloc[todo].tolist(), v, seed), strict=True):
+                        out[k] = ids.copy()
+                    todo, load = [], 0
+            yield pd.Series(out, dtype=object)
 
     return keep_columns(docs, {"token_ids": run(F.col(f"`{text_column}`"), key)})
 
