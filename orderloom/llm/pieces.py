@@ -17,7 +17,8 @@ from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -26,7 +27,7 @@ from .common import keep_columns, mix
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SEED = 20240610
 POWER = 1.0  # exponent of the weights: larger values stay closer to the best segmentation
-AT_ONCE = 1 << 18  # characters whose lattices are in memory together; one text may be longer
+AT_ONCE = 1 << 19  # bytes of text whose lattices are in memory together; one text may be longer
 MARK = "▁"  # stands for a space
 LITERAL = "\ud800"  # stands for a MARK of the text itself; cannot occur in valid text
 END = "\ud801"  # stands between units
@@ -116,7 +117,7 @@ class _Lattice(NamedTuple):
     first: np.ndarray  # edge per node, and one more
     start: np.ndarray
     piece: np.ndarray  # -1 - character for a character that is spelled in bytes
-    chance: np.ndarray  # running sum over all edges, 1 for each node reached
+    chance: np.ndarray  # running sum over the edges of a node
     unit_start: np.ndarray
     unit_end: np.ndarray
 
@@ -155,12 +156,12 @@ def lattice(units: list[str], v: Vocabulary) -> _Lattice:
     unit_start = np.concatenate([[0], unit_end[:-1] + 1])
     depth = np.arange(len(codes)) - np.repeat(unit_start, unit_end - unit_start + 1)
     start, end, piece, weight = _edges(codes, v)
-    order = np.argsort(end, kind="stable")
+    order = np.argsort((end << 32) | start)  # no two edges have the same ends
     start, end, piece, weight = start[order], end[order], piece[order], weight[order]
     first = np.concatenate([[0], np.cumsum(np.bincount(end, minlength=len(codes)))])
     forward, chance = np.zeros(len(codes)), np.zeros(len(end))
     # nodes by depth; all edges into a node come from smaller depths
-    nodes = np.argsort(depth, kind="stable")
+    nodes = np.argsort((depth << 32) | np.arange(len(codes)))
     nodes = nodes[depth[nodes] > 0]
     cuts = np.flatnonzero(np.diff(depth[nodes])) + 1
     for level in np.split(nodes, cuts) if len(nodes) else []:
@@ -173,7 +174,9 @@ def lattice(units: list[str], v: Vocabulary) -> _Lattice:
         total = np.add.reduceat(odds, begin)
         forward[level] = top + np.log(total)
         chance[edge] = odds / np.repeat(total, count)
-    return _Lattice(first, start, piece, np.cumsum(chance), unit_start, unit_end)
+    total = np.concatenate([[0.0], np.cumsum(chance)])
+    chance = total[1:] - np.repeat(total[first[:-1]], np.diff(first))
+    return _Lattice(first, start, piece, chance, unit_start, unit_end)
 
 
 def _uniform(key: np.ndarray, step: int) -> np.ndarray:
@@ -187,9 +190,11 @@ def sample(graph: _Lattice, unit: np.ndarray, key: np.ndarray) -> tuple[np.ndarr
     count = np.zeros(len(unit), np.int64)
     step = 0
     while len(who):
-        a, b = graph.first[node], graph.first[node + 1] - 1
-        before = np.where(a > 0, graph.chance[a - 1], 0.0)
-        edge = np.clip(np.searchsorted(graph.chance, before + _uniform(key, step), side="right"), a, b)
+        edge, last_edge, u = graph.first[node], graph.first[node + 1] - 1, _uniform(key, step)
+        look = np.flatnonzero((edge < last_edge) & (graph.chance[edge] <= u))
+        while len(look):
+            edge[look] += 1
+            look = look[(edge[look] < last_edge[look]) & (graph.chance[edge[look]] <= u[look])]
         drawn.append((who, graph.piece[edge]))
         count[who] += 1
         node = graph.start[edge]
@@ -249,33 +254,48 @@ def encode_texts(docs: DataFrame, key: Column, text_column: str = "text", model:
     NULL, an empty one an empty array. Whole texts are encoded. The model file is read by the driver only.
     """
     shared = docs.sparkSession.sparkContext.broadcast(tuple(load(model, power)))  # a vocabulary has a fixed size
+    slim = keep_columns(docs, {"token_ids": F.lit(None).cast("array<int>")})
+    names, at = slim.columns, slim.columns.index(text_column)
 
-    @F.pandas_udf("array<int>")
-    def run(parts: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = Vocabulary(*shared.value)
-        for texts, keys in parts:
-            out, todo, load = [None] * len(texts), [], 0
-            for i, text in enumerate(texts):
-                if text is not None:
-                    todo.append(i)
-                    load += len(text)
-                if load >= AT_ONCE or i == len(texts) - 1:
-                    for k, ids in zip(todo, encode(texts.iloc[todo].tolist(), keys.iloc[todo].tolist(), v, seed), strict=True):
-                        out[k] = ids.copy()
-                    todo, load = [], 0
-            yield pd.Series(out, dtype=object)
-
-    return keep_columns(docs, {"token_ids": run(F.col(f"`{text_column}`"), key)})
+        for batch in batches:
+            for part in _parts(batch, at):
+                texts = part.column(at).to_pylist()
+                ids = encode([t or "" for t in texts], part.column(part.num_columns - 1).to_pylist(), v, seed)
+                lists = pa.ListArray.from_arrays(
+                    pa.array(np.cumsum([0, *map(len, ids)]), pa.int32()), pa.array(np.concatenate(ids)),
+                    mask=pa.array([t is None for t in texts]),
+                )
+                columns = part.columns[:-2] + [lists]
+                yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    return slim.withColumn("_piece_key", key).mapInArrow(run, slim.schema)
+
+
+def _parts(batch: pa.RecordBatch, at: int) -> Iterator[pa.RecordBatch]:
+    """Slices of about AT_ONCE bytes of text in column ``at``."""
+    sizes = np.cumsum(np.array(pc.fill_null(pc.binary_length(batch.column(at)), 0), np.int64))
+    start = 0
+    while start < batch.num_rows:
+        done = sizes[start - 1] if start else 0
+        end = max(start + 1, int(np.searchsorted(sizes, done + AT_ONCE)))
+        yield batch.slice(start, end - start)
+        start = end
 
 
 def decode_texts(docs: DataFrame, ids_column: str = "token_ids", model: str = MODEL) -> DataFrame:
-    """``docs`` with ``decoded``, the text of the ids; NULL ids give NULL."""
+    """``docs`` with ``decoded``, the text of the ids; NULL ids give NULL. An existing ``decoded`` is replaced."""
     shared = docs.sparkSession.sparkContext.broadcast(tuple(load(model)))
+    slim = keep_columns(docs, {"decoded": F.lit(None).cast("string")})
+    names, at = slim.columns, slim.columns.index(ids_column)
 
-    @F.pandas_udf("string")
-    def run(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = Vocabulary(*shared.value)
-        for ids in parts:
-            yield pd.Series([None if x is None else decode(x.tolist(), v) for x in ids], dtype=object)
+        for batch in batches:
+            for start in range(0, batch.num_rows, 256):
+                part = batch.slice(start, 256)
+                texts = [None if x is None else decode(x, v) for x in part.column(at).to_pylist()]
+                yield pa.RecordBatch.from_arrays(part.columns[:-1] + [pa.array(texts, pa.string())], names=names)
 
-    return keep_columns(docs, {"decoded": run(F.col(f"`{ids_column}`"))})
+    return slim.mapInArrow(run, slim.schema)
