@@ -105,6 +105,8 @@ def judge(docs: DataFrame, text_column: str = "text") -> DataFrame:
 def keep_good(docs: DataFrame, text_column: str = "text") -> DataFrame:
     """The documents that pass, with the columns of ``docs`` and cleaned text."""
     judged = judge(docs.select(*[F.col(f"`{c}`").alias(f"in_{c}") for c in docs.columns]), f"in_{text_column}")
-    return judged.where("kept").select(
+    # a filter is not pushed below a row number; pushed down, it would work out all counts once per mention
+    numbered = judged.withColumn("_row", F.monotonically_increasing_id())
+    return numbered.where(F.col("kept") & (F.col("_row") >= 0)).select(
         *[F.col("cleaned_text" if c == text_column else f"`in_{c}`").alias(c) for c in docs.columns]
     )
