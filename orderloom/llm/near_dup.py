@@ -307,7 +307,7 @@ def group(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
              F.first("buckets").alias("buckets"))
     )
     roots = link_classes(classes, docs, id_column, text_column, percent)
-    least = rows.where("n > 0").groupBy("node").agg(F.min(F.struct("id", "row_key")).alias("least"),
+    least = rows.where("n > 0").groupBy("node").agg(F.min_by(F.struct("id", "row_key"), F.struct(F.col("id").isNull(), "id", "row_key")).alias("least"),
                                                     F.min("id").alias("id"))
     placed = cut(_with_component(least, roots))
     whole = placed.groupBy("comp").agg(F.min("id").alias("component_id"), F.min_by("least", F.struct(F.col("least.id").isNull(), "least")).alias("keeper"))
