@@ -19,7 +19,7 @@ def without_zone(df: DataFrame) -> DataFrame:
 
 
 def export_csv(tables: dict[str, DataFrame], folder: str) -> None:
-    """One CSV folder per table with a header; a table without rows writes no data file."""
+    """One CSV folder per table with a header."""
     for name, df in tables.items():
         without_zone(df).write.mode("overwrite").option("header", True).option("emptyValue", '""').csv(
             f"{folder}/{name}"
@@ -36,11 +36,11 @@ def export_manifest(tables: dict[str, DataFrame]) -> DataFrame:
 
 
 def read_export(spark: SparkSession, folder: str, name: str, schema: T.StructType | str) -> DataFrame:
-    """An exported table with its declared schema; the first name starting with ``name`` is taken."""
+    """The exported table of exactly that name, with its declared schema."""
     return (
         spark.read.schema(schema)
         .option("header", True)
         .option("emptyValue", "")
         .option("mode", "FAILFAST")
-        .csv(f"{folder}/{name}*")
+        .csv(f"{folder}/{name}")
     )
