@@ -131,6 +131,7 @@ def validate(
     *,
     tol: int = TOLERANCE,
     strict: bool = False,
+    pattern: str = ORDER_NUMBER,
     window: tuple[str, str] | None = None,
     in_batch: bool = False,
 ) -> DataFrame:
@@ -139,7 +140,7 @@ def validate(
     def of_line(line: Column, i: Column) -> Column:
         return F.concat(line_v4(line, i), line_v5(line, i, tol))
 
-    errors = F.concat(rule_v1(strict), F.col("v7"), rule_v2(window), rule_nonempty(), over_lines(of_line))
+    errors = F.concat(rule_v1(strict, pattern), F.col("v7"), rule_v2(window), rule_nonempty(), over_lines(of_line))
     return (
         mark_duplicates(records, loaded, in_batch)
         .withColumn("errors", errors)
@@ -150,8 +151,8 @@ def validate(
 
 
 def discover_products(codes: DataFrame, product: DataFrame, label: str = "") -> DataFrame:
-    """Rows to add to the product table for codes it does not know."""
-    new = codes.select("product_code").distinct().join(product.select("product_code"), "product_code", "left_anti")
+    """Rows to add to the product table for codes it does not know; a NULL code is not one."""
+    new = codes.select("product_code").dropna().distinct().join(product.select("product_code"), "product_code", "left_anti")
     name = F.concat(F.lit(f"{PLACEHOLDER_NAME}{' ' + label if label else ''} - "), F.col("product_code").cast("string"))
     return new.select(
         "product_code",
