@@ -39,8 +39,7 @@ _SLOT_BITS = 19  # of the hash table, for up to some 400,000 prefixes
 class Vocabulary(NamedTuple):
     """Trie over pieces: a hash table from state and character to the next state; piece and log weight per state."""
 
-    steps: np.ndarray  # -1 where free; an entry stands at its slot or in the next free one
-    targets: np.ndarray
+    steps: np.ndarray  # state, character and next state in one number, -1 where free; stands at its slot or the next free one
     piece: np.ndarray
     weight: np.ndarray
     bytes_: list[int]  # ids of the byte pieces
@@ -49,7 +48,7 @@ class Vocabulary(NamedTuple):
 
 
 def _slot(key: np.ndarray) -> np.ndarray:
-    return ((key.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - _SLOT_BITS)).astype(np.int64)
+    return ((key.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - _SLOT_BITS)).view(np.int64)
 
 
 def _next(state: np.ndarray, character: np.ndarray, v: Vocabulary) -> np.ndarray:
@@ -57,13 +56,13 @@ def _next(state: np.ndarray, character: np.ndarray, v: Vocabulary) -> np.ndarray
     key = (state << _BITS) | character
     slot = _slot(key)
     there = v.steps[slot]
-    out = np.where(there == key, v.targets[slot], -1)
-    look = np.flatnonzero((there != key) & (there >= 0))
+    out = np.where(there >> _SLOT_BITS == key, there & ((1 << _SLOT_BITS) - 1), -1)
+    look = np.flatnonzero((out < 0) & (there >= 0))
     while len(look):
         slot[look] = (slot[look] + 1) & (len(v.steps) - 1)
         there = v.steps[slot[look]]
-        hit = there == key[look]
-        out[look[hit]] = v.targets[slot[look[hit]]]
+        hit = there >> _SLOT_BITS == key[look]
+        out[look[hit]] = there[hit] & ((1 << _SLOT_BITS) - 1)
         look = look[~hit & (there >= 0)]
     return out
 
@@ -97,86 +96,87 @@ def load(path: str = MODEL, power: float = POWER) -> Vocabulary:
 
     # a trie: state 0 is the root, every other prefix of a piece has a state of its own
     states = {"": 0} | {p: i for i, p in enumerate(sorted({p[:k] for p in normal for k in range(1, len(p) + 1)}), 1)}
-    steps, targets = np.full(1 << _SLOT_BITS, -1, np.int64), np.zeros(1 << _SLOT_BITS, np.int64)
+    if len(states) > 0.8 * (1 << _SLOT_BITS):
+        raise ValueError("too many pieces for the table")
+    steps = np.full(1 << _SLOT_BITS, -1, np.int64)
     for p, i in states.items():
         if p:
             key = (states[p[:-1]] << _BITS) | ord(p[-1])
             slot = int(_slot(np.array([key]))[0])
             while steps[slot] >= 0:
                 slot = (slot + 1) % len(steps)
-            steps[slot], targets[slot] = key, i
+            steps[slot] = key << _SLOT_BITS | i
     piece, weight = np.full(len(states), -1, np.int32), np.zeros(len(states))
     for p, i in normal.items():
         piece[states[p]], weight[states[p]] = i, power * score[p]
-    return Vocabulary(steps, targets, piece, weight, bytes_, float(weight.min()) - power, surface)
+    return Vocabulary(steps, piece, weight, bytes_, float(weight.min()) - power, surface)
 
 
 class _Lattice(NamedTuple):
-    """Edges in the order of the nodes they end at. Nodes are positions in the row of units."""
+    """Nodes level by level, level d holding position d of every unit that long; edges by the node they end at."""
 
     first: np.ndarray  # edge per node, and one more
     start: np.ndarray
     piece: np.ndarray  # -1 - character for a character that is spelled in bytes
-    chance: np.ndarray  # running sum over the edges of a node
-    unit_start: np.ndarray
-    unit_end: np.ndarray
+    running: np.ndarray  # sum of the odds of all edges before an edge, and one more
+    last: np.ndarray  # node per unit
 
 
-def _edges(codes: np.ndarray, v: Vocabulary):
-    """Start, end, piece and log weight of all edges."""
-    starts, ends, pieces_, weights = [], [], [], []
-    inside = codes != ord(END)
-    at, state = np.flatnonzero(inside), np.zeros(int(inside.sum()), np.int64)
-    length, single = 0, np.zeros(len(codes), bool)
+def lattice(units: list[str], v: Vocabulary) -> _Lattice:
+    """The forward pass over all units, longest first, at once, level after level."""
+    line = np.frombuffer((END.join(units) + END).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+    ends = np.flatnonzero(line == ord(END))
+    begins = np.concatenate([[0], ends[:-1] + 1])
+    size = ends - begins
+    # units of a level are a prefix of all units, so unit u has node level[d] + u
+    wide = len(units) - np.searchsorted(size[::-1], np.arange(size[0] + 1))
+    level = np.concatenate([[0], np.cumsum(wide)])
+    n = int(level[-1])
+    codes, onward = np.empty(n, np.int64), np.empty(n, np.int64)
+    for d, (k, base) in enumerate(zip(wide.tolist(), level.tolist(), strict=False)):
+        codes[base : base + k] = line[begins[:k] + d]
+        onward[base : base + k] = np.arange(base + k, base + 2 * k)
+
+    # all edges, one array per length of their pieces
+    inside = np.flatnonzero(codes != ord(END))
+    at, end, state = inside, inside, np.zeros(len(inside), np.int64)
+    found, count, single = [], np.zeros(n, np.int64), np.zeros(n, bool)
     while len(at):
-        state = _next(state, codes[at + length], v)
-        ok = state >= 0
-        at, state = at[ok], state[ok]
-        length += 1
-        whole = v.piece[state] >= 0
-        starts.append(at[whole])
-        ends.append(at[whole] + length)
-        pieces_.append(v.piece[state[whole]].astype(np.int64))
-        weights.append(v.weight[state[whole]])
-        if length == 1:
+        state = _next(state, codes[end], v)
+        ok = np.flatnonzero(state >= 0)
+        at, end, state = at[ok], onward[end[ok]], state[ok]
+        piece = v.piece[state]
+        whole = np.flatnonzero(piece >= 0)
+        if not found:
             single[at[whole]] = True
-    spelled = np.flatnonzero(inside & ~single)
+        found.append((at[whole], end[whole], piece[whole], v.weight[state[whole]]))
+        count[end[whole]] += 1
+    spelled = inside[~single[inside]]
     c = np.where(codes[spelled] == ord(LITERAL), ord(MARK), codes[spelled])
-    starts.append(spelled)
-    ends.append(spelled + 1)
-    pieces_.append(-1 - c)
-    weights.append(v.byte_weight * (1 + (c > 0x7F) + (c > 0x7FF) + (c > 0xFFFF)))
-    return tuple(map(np.concatenate, (starts, ends, pieces_, weights)))
-
-
-def lattice(units: list[str], v: Vocabulary) -> _Lattice:
-    """The forward pass over all units at once, node after node of every unit."""
-    codes = np.frombuffer((END.join(units) + END).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
-    unit_end = np.flatnonzero(codes == ord(END))
-    unit_start = np.concatenate([[0], unit_end[:-1] + 1])
-    depth = np.arange(len(codes)) - np.repeat(unit_start, unit_end - unit_start + 1)
-    start, end, piece, weight = _edges(codes, v)
-    order = np.argsort((end << 32) | start)  # no two edges have the same ends
-    start, end, piece, weight = start[order], end[order], piece[order], weight[order]
-    first = np.concatenate([[0], np.cumsum(np.bincount(end, minlength=len(codes)))])
-    forward, chance = np.zeros(len(codes)), np.zeros(len(end))
-    # nodes by depth; all edges into a node come from smaller depths
-    nodes = np.argsort((depth << 32) | np.arange(len(codes)))
-    nodes = nodes[depth[nodes] > 0]
-    cuts = np.flatnonzero(np.diff(depth[nodes])) + 1
-    for level in np.split(nodes, cuts) if len(nodes) else []:
-        count = first[level + 1] - first[level]
-        begin = np.concatenate([[0], np.cumsum(count)[:-1]])
-        edge = np.repeat(first[level] - begin, count) + np.arange(int(count.sum()))
-        value = forward[start[edge]] + weight[edge]
+    width = 1 + (c > 0x7F) + (c > 0x7FF) + (c > 0xFFFF)
+    found.append((spelled, onward[spelled], -1 - c, v.byte_weight * width))
+    count[onward[spelled]] += 1
+
+    # no two edges of one length end at the same node; longer pieces come first
+    first = np.concatenate([[0], np.cumsum(count)])
+    place, total = first[:-1].copy(), int(first[-1])
+    start, piece, weight = np.empty(total, np.int64), np.empty(total, np.int32), np.empty(total)
+    for at, end, which, w in reversed(found):
+        slot = place[end]
+        start[slot], piece[slot], weight[slot] = at, which, w
+        place[end] = slot + 1
+
+    forward, odds = np.zeros(n), np.empty(total)
+    for a, b in zip(level[1:-1].tolist(), level[2:].tolist(), strict=True):
+        x, y = first[a], first[b]
+        begin = first[a:b] - x
+        value = forward[start[x:y]] + weight[x:y]
         top = np.maximum.reduceat(value, begin)
-        odds = np.exp(value - np.repeat(top, count))
-        total = np.add.reduceat(odds, begin)
-        forward[level] = top + np.log(total)
-        chance[edge] = odds / np.repeat(total, count)
-    total = np.concatenate([[0.0], np.cumsum(chance)])
-    chance = total[1:] - np.repeat(total[first[:-1]], np.diff(first))
-    return _Lattice(first, start, piece, chance, unit_start, unit_end)
+        value -= np.repeat(top, count[a:b])
+        np.exp(value, out=odds[x:y])
+        forward[a:b] = top + np.log(np.add.reduceat(odds[x:y], begin))
+    running = np.concatenate([[0.0], np.cumsum(odds)])
+    return _Lattice(first, start, piece, running, level[size] + np.arange(len(units)))
 
 
 def _uniform(key: np.ndarray, step: int) -> np.ndarray:
@@ -185,21 +185,23 @@ def _uniform(key: np.ndarray, step: int) -> np.ndarray:
 
 def sample(graph: _Lattice, unit: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """One segmentation per entry of ``unit``: pieces one after the other, and how many each entry has."""
-    node, who = graph.unit_end[unit], np.arange(len(unit))
-    goal, drawn = graph.unit_start[unit], []
+    node, who, roots = graph.last[unit], np.arange(len(unit)), len(graph.last)
+    drawn = []
     count = np.zeros(len(unit), np.int64)
     step = 0
     while len(who):
-        edge, last_edge, u = graph.first[node], graph.first[node + 1] - 1, _uniform(key, step)
-        look = np.flatnonzero((edge < last_edge) & (graph.chance[edge] <= u))
+        edge, last_edge = graph.first[node], graph.first[node + 1] - 1
+        low, high = graph.running[edge], graph.running[last_edge + 1]
+        goal = low + _uniform(key, step) * (high - low)
+        look = np.flatnonzero((edge < last_edge) & (graph.running[edge + 1] <= goal))
         while len(look):
             edge[look] += 1
-            look = look[(edge[look] < last_edge[look]) & (graph.chance[edge[look]] <= u[look])]
+            look = look[(edge[look] < last_edge[look]) & (graph.running[edge[look] + 1] <= goal[look])]
         drawn.append((who, graph.piece[edge]))
         count[who] += 1
         node = graph.start[edge]
-        go_on = node > goal
-        who, node, goal, key = who[go_on], node[go_on], goal[go_on], key[go_on]
+        go_on = np.flatnonzero(node >= roots)
+        who, node, key = who[go_on], node[go_on], key[go_on]
         step += 1
     last = np.cumsum(count) - 1
     out = np.empty(int(count.sum()), np.int64)
@@ -219,7 +221,7 @@ def encode(texts: list[str], keys: list[int], v: Vocabulary, seed: int = SEED) -
         sizes.append(len(found))
     if not units:
         return [np.zeros(0, np.int32) for _ in texts]
-    known = {u: i for i, u in enumerate(dict.fromkeys(units))}
+    known = {u: i for i, u in enumerate(sorted(dict.fromkeys(units), key=len, reverse=True))}
     unit = np.fromiter(map(known.__getitem__, units), np.int64, len(units))
     place = np.concatenate([np.arange(n, dtype=np.uint64) for n in sizes])
     key = np.repeat(np.array([(k + seed) % 2**64 for k in keys], np.uint64), sizes)
@@ -227,23 +229,35 @@ def encode(texts: list[str], keys: list[int], v: Vocabulary, seed: int = SEED) -
     # characters that are spelled in bytes
     width = np.ones(len(pieces_), np.int64)
     spelled = np.flatnonzero(pieces_ < 0)
-    raw = {c: chr(-1 - c).encode() for c in np.unique(pieces_[spelled]).tolist()}
-    for c, b in raw.items():
-        width[spelled[pieces_[spelled] == c]] = len(b)
-    at = np.cumsum(width) - width
+    c = -1 - pieces_[spelled]
+    n_bytes = 1 + (c > 0x7F) + (c > 0x7FF) + (c > 0xFFFF)
+    width[spelled] = n_bytes
+    at = (np.cumsum(width) - width)[spelled]
     ids = np.repeat(pieces_, width).astype(np.int32)
-    for c, b in raw.items():
-        here = at[spelled[pieces_[spelled] == c]]
-        for k, value in enumerate(b):
-            ids[here + k] = v.bytes_[value]
+    byte_ids = np.array(v.bytes_, np.int32)
+    for k in range(4):
+        here = n_bytes > k
+        value = c[here] >> 6 * (n_bytes[here] - 1 - k)
+        lead = np.array([0, 0, 0xC0, 0xE0, 0xF0])[n_bytes[here]]
+        ids[at[here] + k] = byte_ids[value | lead if k == 0 else value & 0x3F | 0x80]
     per_unit = np.add.reduceat(width, np.cumsum(count) - count)
     ends = np.concatenate([[0], np.cumsum(per_unit)])[np.concatenate([[0], np.cumsum(sizes)])]
     return [ids[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)]
 
 
-def decode(ids: list[int], v: Vocabulary) -> str:
-    """The text of ``ids``: inverse of ``encode`` for every text and sample."""
-    return b"".join([v.surface[i] for i in ids])[1:].decode()
+def decode(ids: pa.Array, v: Vocabulary) -> pa.Array:
+    """The texts of a list array of ids: inverse of ``encode`` for every text and sample."""
+    sizes = np.array(pc.fill_null(pc.list_value_length(ids), 0), np.int64)
+    flat = np.array(ids.flatten(), np.int64)
+    begin = (np.cumsum(sizes) - sizes)[sizes > 0]
+    flat[begin] += len(v.surface)  # the space before a text is not its own
+    surface = pa.array(v.surface + [s[1:] for s in v.surface], pa.large_binary())
+    joined = surface.take(pa.array(flat))
+    ends = np.cumsum(np.array(pc.binary_length(joined), np.int64)) if len(flat) else np.zeros(0, np.int64)
+    edges = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(sizes)])]
+    gone = pa.py_buffer(np.packbits(np.array(ids.is_valid()), bitorder="little").tobytes()) if ids.null_count else None
+    whole = pa.Array.from_buffers(pa.large_string(), len(ids), [gone, pa.py_buffer(edges.tobytes()), joined.buffers()[2]])
+    return whole.cast(pa.string())
 
 
 def encode_texts(docs: DataFrame, key: Column, text_column: str = "text", model: str = MODEL, seed: int = SEED,
@@ -295,7 +309,6 @@ def decode_texts(docs: DataFrame, ids_column: str = "token_ids", model: str = MO
         for batch in batches:
             for start in range(0, batch.num_rows, 256):
                 part = batch.slice(start, 256)
-                texts = [None if x is None else decode(x, v) for x in part.column(at).to_pylist()]
-                yield pa.RecordBatch.from_arrays(part.columns[:-1] + [pa.array(texts, pa.string())], names=names)
+                yield pa.RecordBatch.from_arrays(part.columns[:-1] + [decode(part.column(at), v)], names=names)
 
     return slim.mapInArrow(run, slim.schema)

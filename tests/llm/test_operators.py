@@ -6,6 +6,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -194,7 +195,11 @@ def test_pieces_round_trip(vocabulary):
     a = pieces.encode(texts, list(range(8)), vocabulary)
     b = pieces.encode(texts[::-1], list(range(8))[::-1], vocabulary)[::-1]
     assert all((x == y).all() for x, y in zip(a, b, strict=True))
-    assert [pieces.decode(x.tolist(), vocabulary) for x in a] == texts
+    lists = pa.array([*a, None], pa.list_(pa.int32()))
+    assert pieces.decode(lists, vocabulary).to_pylist() == [*texts, None]
+    assert pieces.decode(lists.slice(3, 4), vocabulary).to_pylist() == texts[3:7]
+    assert pieces.decode(lists.slice(0, 1), vocabulary).to_pylist() == [""]
+    assert pieces.decode(lists.slice(8), vocabulary).to_pylist() == [None]
 
 
 def test_pieces_follow_their_weights(vocabulary):
