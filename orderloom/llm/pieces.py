@@ -27,7 +27,7 @@ from .common import keep_columns, mix
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SEED = 20240610
 POWER = 1.0  # exponent of the weights: larger values stay closer to the best segmentation
-AT_ONCE = 1 << 21  # bytes of text whose lattices are in memory together; one text may be longer
+AT_ONCE = 1 << 20  # bytes of text whose lattices are in memory together; one text may be longer
 MARK = "▁"  # stands for a space
 LITERAL = "\ud800"  # stands for a MARK of the text itself; cannot occur in valid text
 END = "\ud801"  # stands between units
