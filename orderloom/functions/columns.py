@@ -20,6 +20,14 @@ def labelled(name: str, text: str) -> Column:
     return F.coalesce(F.col(name), F.lit(text)).alias(name)
 
 
+def code_order(code) -> Column:
+    """Order of generated codes: by what stands before the last digits, then by their number, then as text."""
+    text = (F.col(code) if isinstance(code, str) else code).cast("string")
+    digits = F.regexp_extract(text, r"(\d{1,18})$", 1)
+    number = F.coalesce(F.nullif(digits, F.lit("")).cast("long"), F.lit(-1))
+    return F.when(text.isNotNull(), F.struct(F.regexp_replace(text, r"\d{1,18}$", ""), number, text))
+
+
 def as_double(value) -> Column:
     return (F.col(value) if isinstance(value, str) else value).cast("double")
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.columns import in_month, ratio, total_of
+from ..functions.columns import code_order, in_month, ratio, total_of
 from .fact import with_calendar
 
 # Fragments that betray a name printed with a broken font.
@@ -192,9 +192,9 @@ def fact_in_step(lines: DataFrame, orders: DataFrame, fact: DataFrame, year: int
 
 
 def new_without_tax(customer: DataFrame, last_old_code: str) -> DataFrame:
-    """Dealers coded above ``last_old_code`` (compared as text) without a tax code."""
+    """Dealers coded above ``last_old_code`` (by number) without a tax code."""
     no_tax = F.col("tax_code").isNull() | (F.col("tax_code") == "")
-    return customer.where((F.col("customer_code") > last_old_code) & no_tax).select("customer_code", "customer_name")
+    return customer.where((code_order("customer_code") > code_order(F.lit(last_old_code))) & no_tax).select("customer_code", "customer_name")
 
 
 def repeated_orders(orders: DataFrame) -> DataFrame:

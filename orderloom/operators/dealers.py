@@ -76,13 +76,10 @@ def rfm_segment_counts(segmented: DataFrame) -> DataFrame:
     )
 
 
-def churn_list(activity: DataFrame, threshold: int = 45, n: int = 200) -> DataFrame:
-    """Dealers silent for more than ``threshold`` days, longest first; the report holds ``n`` rows."""
-    return (
-        activity.where(F.col("days_since_last_order") > threshold)
-        .orderBy(F.desc("days_since_last_order"), "customer_code")
-        .limit(n)
-    )
+def churn_list(activity: DataFrame, threshold: int = 45, n: int | None = 200) -> DataFrame:
+    """Dealers silent for more than ``threshold`` days; the report holds the ``n`` longest first, ``None`` all."""
+    silent = activity.where(F.col("days_since_last_order") > threshold)
+    return silent if n is None else silent.orderBy(F.desc("days_since_last_order"), "customer_code").limit(n)
 
 
 def top_dealers(f: DataFrame, n: int = 10) -> DataFrame:

@@ -156,7 +156,11 @@ def explode_lines(records: DataFrame, key: str) -> DataFrame:
 
 
 def match_document(log: DataFrame, docs: DataFrame) -> DataFrame:
-    """The staged document of each mail: by order number, else by attachment name."""
+    """The staged document of each mail: by order number, else by attachment name.
+
+    A later document replaces an earlier one of the same file name, so a mail has one row.
+    """
+    docs = docs.groupBy("file_name").agg(F.max("doc_id").alias("doc_id"))
     by_number = F.concat(F.translate("so_number", ".", "_"), F.lit(".pdf"))
     first = docs.select(F.col("file_name").alias("_n"), F.col("doc_id").alias("_d1"))
     second = docs.select(F.col("file_name").alias("_a"), F.col("doc_id").alias("_d2"))

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType
 
+from ..functions.columns import code_order
 from ..functions.ranking import order_globally
 from ..functions.text import normalize_name
 from ..session import cut
@@ -28,7 +29,7 @@ def match_tax(orders: DataFrame, customer: DataFrame) -> DataFrame:
     owners = (
         customer.where("tax_code IS NOT NULL AND tax_code <> ''")
         .groupBy("tax_code")
-        .agg(F.max("customer_code").alias("customer_code"))
+        .agg(F.max_by("customer_code", code_order("customer_code")).alias("customer_code"))
     )
     return orders.join(owners, "tax_code", "left")
 
@@ -190,7 +191,7 @@ def match_fuzzy(orders: DataFrame, customer: DataFrame, threshold: float = THRES
         customer.select("customer_code", normalize_name(F.col("customer_name")).alias("b"))
         .where("b <> ''")
         .groupBy("b")
-        .agg(F.max("customer_code").alias("code"), F.min("customer_code").alias("first_code"))
+        .agg(F.max_by("customer_code", code_order("customer_code")).alias("code"), F.min("customer_code").alias("first_code"))
     )
     asked = orders.withColumn("_a", normalize_name(F.col("clean_name")))
     pairs = similar_names(asked.select(F.col("_a").alias("a")).where("a <> ''"), names.select("b"), threshold)

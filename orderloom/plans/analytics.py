@@ -307,17 +307,25 @@ def _(w: Warehouse):
     return de.rfm_segment_counts(de.rfm_segment(rfm(w)))
 
 
-CHURN_SQL = f"""{ACTIVITY_SQL}, silent AS (SELECT customer_code, customer_name, province_name, region, total_orders,
+SILENT_SQL = f"""{ACTIVITY_SQL}, silent AS (SELECT customer_code, customer_name, province_name, region, total_orders,
  total_revenue::DOUBLE AS total_revenue, strftime(first_order_date, '%Y-%m-%d') AS first_order_date,
  strftime(last_order_date, '%Y-%m-%d') AS last_order_date, days_since_last_order FROM activity
- WHERE days_since_last_order > 45 ORDER BY days_since_last_order DESC, customer_code LIMIT 200)"""
+ WHERE days_since_last_order > 45)"""
 
 
-def silent(w: Warehouse):
-    return de.churn_list(fa.customer_activity(w.fact(*ACTIVITY_COLS), AS_OF))
+def silent(w: Warehouse, n: int | None = None):
+    return de.churn_list(fa.customer_activity(w.fact(*ACTIVITY_COLS), AS_OF), n=n)
 
 
-@reg.plan("cst_05_churn_list", f"{WITH_FACT}, {CHURN_SQL} SELECT * FROM silent")
+@reg.plan(
+    "cst_05_churn_list",
+    f"{WITH_FACT}, {SILENT_SQL} SELECT * FROM silent ORDER BY days_since_last_order DESC, customer_code LIMIT 200",
+)
+def _(w: Warehouse):
+    return silent(w, 200)
+
+
+@reg.plan("cst_05_churn_list_all", f"{WITH_FACT}, {SILENT_SQL} SELECT * FROM silent")
 def _(w: Warehouse):
     return silent(w)
 
@@ -383,7 +391,7 @@ def _(w: Warehouse):
 
 @reg.plan(
     "cst_10_churn_value",
-    f"""{WITH_FACT}, {CHURN_SQL} SELECT count(*) AS dealers, sum(total_revenue) AS revenue_at_risk,
+    f"""{WITH_FACT}, {SILENT_SQL} SELECT count(*) AS dealers, sum(total_revenue) AS revenue_at_risk,
  round(avg(total_revenue), 2) AS mean_revenue, (SELECT sum(total_revenue) FROM (SELECT total_revenue FROM silent
  ORDER BY total_revenue DESC, customer_code LIMIT 10)) AS top10_revenue FROM silent""",
 )

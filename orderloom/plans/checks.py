@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators import audit as au
 from ..operators import reconcile as rc
 from ..operators import repair as fx
+from ..sources.warehouse import export_csv, read_export
+from .flows import run_folder
 from .registry import Registry
 from .rules import DEALER, DEALER_SQL
 from .star import FACT_SQL, FAULTY_SQL, LOG_SQL, MONTH, YEAR, Warehouse, select_list
@@ -428,9 +430,17 @@ def _(w: Warehouse):
     return rc.body_vs_loaded(bodies, w.sales_order, dealer)
 
 
-LINE_ISSUES = """li AS (SELECT d.so_number, d.line_id, d.product_code <> o.product_code AS p, abs(d.quantity - o.quantity) > 0.01 AS q,
+# Lines by their position in the order. In documents % 50 = 11 stand in reverse, and totals % 60 = 7 are 500 off.
+POSITIONS = "SELECT *, row_number() OVER (PARTITION BY so_number ORDER BY line_id) AS i, count(*) OVER (PARTITION BY so_number) AS n"
+DOC_POSITION = "CASE WHEN so_number % 50 = 11 THEN n + 1 - i ELSE i END"
+DOC_TOTAL = "line_total + CASE WHEN so_number % 60 = 7 THEN 500 ELSE 0 END"
+
+LINE_ISSUES = f"""pd AS (SELECT so_number, product_code, quantity, unit_price, {DOC_TOTAL} AS line_total, {DOC_POSITION} AS pos
+ FROM ({POSITIONS} FROM dline)),
+po AS (SELECT *, i AS pos FROM ({POSITIONS} FROM line)),
+li AS (SELECT d.so_number, d.product_code <> o.product_code AS p, abs(d.quantity - o.quantity) > 0.01 AS q,
  abs(d.unit_price - o.unit_price) > 200 AS pr, abs(d.line_total - o.line_total) > 200 AS t
- FROM dline d JOIN line o ON o.so_number = d.so_number AND o.line_id = d.line_id),
+ FROM pd d JOIN po o ON o.so_number = d.so_number AND o.pos = d.pos),
 lc AS (SELECT so_number, count(*) FILTER (p) AS p, count(*) FILTER (q) AS q, count(*) FILTER (pr) AS pr, count(*) FILTER (t) AS t
  FROM li GROUP BY so_number),
 cmp AS (SELECT d.so_number, concat_ws(',', CASE WHEN d.order_date IS DISTINCT FROM o.order_date THEN 'ORDER_DATE' END,
@@ -444,7 +454,11 @@ cmp AS (SELECT d.so_number, concat_ws(',', CASE WHEN d.order_date IS DISTINCT FR
 
 
 def compared(w: Warehouse) -> DataFrame:
-    return rc.deep_compare(doc_heads(w), doc_lines(w), order_heads(w), w.order_line, "line_id")
+    order = Window.partitionBy("so_number")
+    at = {"i": F.row_number().over(order.orderBy("line_id")), "n": F.count("*").over(order)}
+    docs = doc_lines(w).withColumns(at).withColumns({"line_total": F.expr(DOC_TOTAL), "pos": F.expr(DOC_POSITION)})
+    lines = w.order_line.withColumns(at).withColumn("pos", F.col("i"))
+    return rc.deep_compare(doc_heads(w), docs, order_heads(w), lines, "pos")
 
 
 @plan("dq_31_deep_compare", f", {DOC_SQL}, {LINE_ISSUES} SELECT * FROM cmp")
@@ -531,27 +545,42 @@ def _(w: Warehouse):
 
 
 EXPORT_GAP = "order_id % 1000 <> 3"
-
-
-def export_pairs(w: Warehouse):
-    lines, orders = w.order_line, w.sales_order
-    f = w.fact("line_id", "order_id", "quantity", "line_total")
-    return {
-        "sales_order": (orders, orders.where(EXPORT_GAP)),
-        "order_line": (lines, lines.where(EXPORT_GAP)),
-        "fact_sales": (f, f),
-        "customer": (w.customer, w.customer),
-        "product": (w.product, w.product),
-        "province": (w.province, w.province),
+FACT_DAMAGE = "CASE WHEN order_id % 700 = 5 THEN 1 ELSE 0 END"
+
+
+def export_pairs(w: Warehouse, *names: str):
+    """Tables and what is read back from their CSV export; the exported rows were damaged before."""
+    tables = {
+        "sales_order": w.sales_order,
+        "order_line": w.order_line,
+        "fact_sales": w.fact("line_id", "order_id", "quantity", "line_total"),
+        "customer": w.customer.select("customer_code"),
+        "product": w.product.select("product_code"),
+        "product_line": w.product.select("line_id").distinct(),  # shares its prefix with another table
+        "province": w.province.select("province_id"),
+    }
+    tables = {n: df for n, df in tables.items() if not names or n in names}
+    damage = {
+        "sales_order": lambda df: df.where(EXPORT_GAP),
+        "order_line": lambda df: df.where(EXPORT_GAP),
+        "fact_sales": lambda df: df.withColumn("line_total", F.expr(f"line_total + {FACT_DAMAGE}").cast("decimal(18,2)")),
+        "customer": lambda df: df.where("customer_code % 90 <> 4"),
+        "product": lambda df: df.where("product_code % 500 <> 9"),
     }
+    path = run_folder(w)
+    export_csv({n: damage.get(n, lambda x: x)(df) for n, df in tables.items()}, path)
+    return {n: (df, read_export(w.spark, path, n, df.schema)) for n, df in tables.items()}
 
 
 @plan(
     "dq_39_rows_vs_export",
     f"""SELECT *, table_rows = export_rows AS equal FROM (SELECT 'sales_order' AS table_name, count(*) AS table_rows,
  count(*) FILTER ({EXPORT_GAP}) AS export_rows FROM so UNION ALL SELECT 'order_line', count(*), count(*) FILTER ({EXPORT_GAP}) FROM line
- UNION ALL SELECT 'fact_sales', count(*), count(*) FROM fact UNION ALL SELECT 'customer', count(*), count(*) FROM cust
- UNION ALL SELECT 'product', count(*), count(*) FROM prod UNION ALL SELECT 'province', count(*), count(*) FROM prov)""",
+ UNION ALL SELECT 'fact_sales', count(*), count(*) FROM fact
+ UNION ALL SELECT 'customer', count(*), count(*) FILTER (customer_code % 90 <> 4) FROM cust
+ UNION ALL SELECT 'product', count(*), count(*) FILTER (product_code % 500 <> 9) FROM prod
+ UNION ALL SELECT 'product_line', n, n FROM (SELECT count(*) AS n FROM (SELECT DISTINCT line_id FROM prod))
+ UNION ALL SELECT 'province', count(*), count(*) FROM prov)""",
 )
 def _(w: Warehouse):
     return rc.table_vs_export(export_pairs(w))
@@ -564,11 +593,11 @@ def _(w: Warehouse):
  sum(total_amount) FILTER ({EXPORT_GAP})::DOUBLE AS export_sum FROM so UNION ALL
  SELECT 'order_line', 'line_total', sum(line_total)::DOUBLE, sum(line_total) FILTER ({EXPORT_GAP})::DOUBLE FROM line UNION ALL
  SELECT 'order_line', 'quantity', sum(quantity)::DOUBLE, sum(quantity) FILTER ({EXPORT_GAP})::DOUBLE FROM line UNION ALL
- SELECT 'fact_sales', 'line_total', sum(line_total)::DOUBLE, sum(line_total)::DOUBLE FROM fact UNION ALL
+ SELECT 'fact_sales', 'line_total', sum(line_total)::DOUBLE, sum(line_total + {FACT_DAMAGE})::DOUBLE FROM fact UNION ALL
  SELECT 'fact_sales', 'quantity', sum(quantity)::DOUBLE, sum(quantity)::DOUBLE FROM fact)""",
 )
 def _(w: Warehouse):
-    pairs = export_pairs(w)
+    pairs = export_pairs(w, "sales_order", "order_line", "fact_sales")
     columns = {"sales_order": ["total_amount"], "order_line": ["line_total", "quantity"], "fact_sales": ["line_total", "quantity"]}
     return rc.sums_vs_export({n: (*pairs[n], c) for n, c in columns.items()})
 
@@ -611,7 +640,7 @@ def _(w: Warehouse):
     """SELECT order_id, CASE order_id % 1000 WHEN 3 THEN 'missing' ELSE 'extra' END AS side FROM so WHERE order_id % 1000 IN (3, 4)""",
 )
 def _(w: Warehouse):
-    export = w.sales_order.where(EXPORT_GAP)
+    export = export_pairs(w, "sales_order")["sales_order"][1]
     return rc.key_differences(w.sales_order.where("order_id % 1000 <> 4"), export, "order_id")
 
 

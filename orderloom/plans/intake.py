@@ -267,5 +267,7 @@ def _(w: Warehouse):
     docs = heads.where(kind < 2).select(
         F.when(kind == 0, named).otherwise(own).alias("file_name"), F.col("log_id").alias("doc_id")
     )
+    # every eighth was staged before under the same name
+    docs = docs.unionByName(docs.where("doc_id % 8 < 2").withColumn("doc_id", -F.col("doc_id")))
     log = heads.select("log_id", F.when(kind != 3, F.col("so_text")).alias("so_number"), own.alias("attachment_name"))
     return ex.match_document(log, docs).select("log_id", "doc_id", "error")

@@ -9,6 +9,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -83,13 +84,16 @@ def append_facts(lines: DataFrame, star: Star, path: str, checkpoint: str) -> St
     """Flatten newly validated lines and append those the fact folder does not hold yet.
 
     Files lie under ``run=<checkpoint>/batch=<id>``. A replayed batch replaces its own folder; lines held by
-    any other batch, also of an earlier checkpoint, are not written again.
+    any other batch, also of an earlier checkpoint, are not written again. Of lines with one id in a batch
+    the largest, column by column, is taken, so a replay writes the same row.
     """
     run = f"r{hashlib.sha256(checkpoint.encode()).hexdigest()[:16]}"
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        fresh = flatten(Star(**{**star.__dict__, "order_line": batch.dropDuplicates(["line_id"])}))
-        known = _existing(batch.sparkSession, path)
+        rest = F.struct(*[c for c in batch.columns if c != "line_id"])
+        single = batch.groupBy("line_id").agg(F.max(rest).alias("r")).select("line_id", "r.*").select(*batch.columns)
+        fresh = flatten(Star(**{**star.__dict__, "order_line": single}))
+        known = _existing(fresh.select("line_id"), path)
         if known is not None:
             other = (F.col("run") != run) | (F.col("batch") != batch_id)
             fresh = fresh.join(known.where(other).select("line_id"), "line_id", "left_anti")
@@ -98,12 +102,15 @@ def append_facts(lines: DataFrame, star: Star, path: str, checkpoint: str) -> St
     return _run(lines, write, checkpoint, "append")
 
 
-def _existing(spark: SparkSession, path: str) -> DataFrame | None:
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    files = jvm_path.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not files.exists(jvm_path):
+def _existing(keys: DataFrame, path: str) -> DataFrame | None:
+    """``(line_id, run, batch)`` of the stored facts; folders that a failed batch left without files hold none."""
+    schema = keys.schema.add("run", "string").add("batch", "long")
+    try:
+        return keys.sparkSession.read.schema(schema).option("basePath", path).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
         return None
-    return spark.read.option("basePath", path).parquet(path)
 
 
 def _run(df: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str, mode: str) -> StreamingQuery:

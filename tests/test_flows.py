@@ -4,9 +4,13 @@ from email.message import EmailMessage
 from pyspark.sql import functions as F
 
 from orderloom import adhoc
+from orderloom.operators import audit as au
+from orderloom.operators import load as ld
+from orderloom.operators import resolve as rs
 from orderloom.plans.star import AS_OF, Warehouse
 from orderloom.sources import mail as ml
 from orderloom.sources import records as rc
+from orderloom.sources import warehouse as wh
 from orderloom.streaming import intake as st
 
 from conftest import SMALL
@@ -97,6 +101,34 @@ def test_facts_survive_a_new_checkpoint(spark, tmp_path):
     assert run("b") == (total, total)  # a lost checkpoint: everything is delivered again
 
 
+def test_facts_restart_after_a_failed_first_batch(spark, tmp_path):
+    w = Warehouse(spark, SMALL)
+    path, source = tmp_path / "fact", str(tmp_path / "lines")
+    (path / "run=r0" / "batch=0").mkdir(parents=True)  # a folder without files
+    few = w.order_line.limit(20)
+    few.unionByName(few.withColumn("quantity", (F.col("quantity") + 1).cast("decimal(18,3)"))).write.parquet(source)
+    stream = spark.readStream.schema(w.order_line.schema).parquet(source)
+    st.append_facts(stream, w.star, str(path), str(tmp_path / "c"))
+    facts = {r.line_id: r.quantity for r in spark.read.parquet(f"{path}/run=*/batch=*").collect()}
+    wanted = {r.line_id: r.quantity for r in spark.read.parquet(source).groupBy("line_id").agg(F.max("quantity").alias("quantity")).collect()}
+    assert facts == wanted
+
+
+def test_export_is_read_by_its_exact_name(spark, tmp_path):
+    a, b = spark.range(3), spark.range(10, 15)
+    wh.export_csv({"product": a, "product_line": b}, str(tmp_path))
+    assert [r.id for r in wh.read_export(spark, str(tmp_path), "product", a.schema).orderBy("id").collect()] == [0, 1, 2]
+
+
+def test_codes_compare_by_number(spark):
+    dealers = spark.createDataFrame([(c, "Ten", "1") for c in ("KH-99999", "KH-100000", "KH-00002")], "customer_code string, customer_name string, tax_code string")
+    asked = spark.createDataFrame([("1",)], "tax_code string")
+    assert rs.match_tax(asked, dealers).first().customer_code == "KH-100000"
+    bare = dealers.withColumn("tax_code", F.lit(None).cast("string"))
+    assert [r.customer_code for r in au.new_without_tax(bare, "KH-99999").collect()] == ["KH-100000"]
+    assert sorted(r.customer_code for r in ld.unload({"customer": dealers}, (2001, 1), "x", "KH-99999", "2001-01-01")["customer"].collect()) == ["KH-00002", "KH-99999"]
+
+
 def test_corrupt_json_is_kept(spark, tmp_path):
     (tmp_path / "r.json").write_text('{"doc_id": "1", "footer_total": 5}\n{"doc_id": \n')
     got = rc.read_extracted(spark, str(tmp_path)).cache()
