@@ -20,6 +20,11 @@ def labelled(name: str, text: str) -> Column:
     return F.coalesce(F.col(name), F.lit(text)).alias(name)
 
 
+def first_rows(df: DataFrame, n: int | None) -> DataFrame:
+    """The first ``n`` rows of an ordered report, ``None`` for all."""
+    return df if n is None else df.limit(n)
+
+
 def code_order(code) -> Column:
     """Order of generated codes: by what stands before the last digits, then by their number, then as text."""
     text = (F.col(code) if isinstance(code, str) else code).cast("string")

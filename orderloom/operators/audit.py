@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.columns import code_order, in_month, ratio, total_of
+from ..functions.columns import code_order, first_rows, in_month, ratio, total_of
 from .fact import with_calendar
 
 # Fragments that betray a name printed with a broken font.
@@ -91,13 +91,13 @@ def not_loaded(log: DataFrame, orders: DataFrame, n: int | None = 30) -> DataFra
     return out.orderBy("so_number", "log_id").limit(n) if n else out
 
 
-def failures_by_reason(log: DataFrame, n: int = 20) -> DataFrame:
+def failures_by_reason(log: DataFrame, n: int | None = 20) -> DataFrame:
     return (
         log.where("processing_status = 'FAILED'")
         .groupBy("error_stage", F.left("error_message", F.lit(80)).alias("reason"))
         .agg(F.count("*").alias("cnt"))
         .orderBy(F.desc("cnt"), "error_stage", "reason")
-        .limit(n)
+        .transform(first_rows, n)
     )
 
 
@@ -239,7 +239,7 @@ def period_totals(orders: DataFrame, lines: DataFrame, year: int, month: int) ->
     )
 
 
-def top_period_dealers(orders: DataFrame, customer: DataFrame, year: int, month: int, n: int = 10) -> DataFrame:
+def top_period_dealers(orders: DataFrame, customer: DataFrame, year: int, month: int, n: int | None = 10) -> DataFrame:
     per_dealer = (
         with_calendar(orders)
         .where(in_month(year, month))
@@ -249,7 +249,7 @@ def top_period_dealers(orders: DataFrame, customer: DataFrame, year: int, month:
     return (
         per_dealer.join(customer.select("customer_code", "customer_name"), "customer_code")
         .orderBy(F.desc("revenue"), "customer_code")
-        .limit(n)
+        .transform(first_rows, n)
     )
 
 
@@ -275,11 +275,11 @@ def orphan_lines(lines: DataFrame, product: DataFrame) -> DataFrame:
     )
 
 
-def last_failures(log: DataFrame, n: int = 5) -> DataFrame:
+def last_failures(log: DataFrame, n: int | None = 5) -> DataFrame:
     return (
         log.where("processing_status = 'FAILED'")
         .orderBy(F.desc("log_id"))
-        .limit(n)
+        .transform(first_rows, n)
         .select("log_id", "so_number", "error_stage", F.left("error_message", F.lit(120)).alias("error"))
     )
 

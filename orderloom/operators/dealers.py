@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import UNCLASSIFIED, as_double, labelled, nearest, ratio, total_of
+from ..functions.columns import UNCLASSIFIED, as_double, first_rows, labelled, nearest, ratio, total_of
 from ..functions.ranking import order_globally, tile
 from ..session import cut
 from .overview import dealer_revenue
@@ -143,9 +143,9 @@ def pareto_cut(curve: DataFrame, share: float = 80) -> DataFrame:
     )
 
 
-def pareto_points(curve: DataFrame, n: int = 200) -> DataFrame:
+def pareto_points(curve: DataFrame, n: int | None = 200) -> DataFrame:
     """The first ``n`` points, which is what the chart draws."""
-    return curve.orderBy("rnk", "customer_code").limit(n).select("dealer_pct", "cumulative_pct")
+    return curve.orderBy("rnk", "customer_code").transform(first_rows, n).select("dealer_pct", "cumulative_pct")
 
 
 def churn_value(silent: DataFrame) -> DataFrame:

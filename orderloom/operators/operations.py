@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import as_double, in_month, nearest, ratio
+from ..functions.columns import as_double, first_rows, in_month, nearest, ratio
 
 # Intake stages shown in the funnel, in order.
 FUNNEL_STAGES = ["EXTRACTED", "VALIDATED", "LOADED"]
@@ -66,12 +66,12 @@ def daily_stats(days: DataFrame, first: str, last: str) -> DataFrame:
     )
 
 
-def recent_errors(log: DataFrame, n: int = 100) -> DataFrame:
+def recent_errors(log: DataFrame, n: int | None = 100) -> DataFrame:
     """The ``n`` latest mails that are not loaded; unprocessed ones come first."""
     return (
         log.where(~F.col("processing_status").isin(DONE_STATES))
         .orderBy(F.desc_nulls_first("processed_at"), "log_id")
-        .limit(n)
+        .transform(first_rows, n)
         .select(
             "log_id", "so_number", "from_address", F.col("processing_status").alias("status"), "processed_at"
         )
