@@ -27,7 +27,7 @@ NO_INTERVAL = 999.0
 TREES, STEP, DEPTH, SUBSAMPLE, SEED, FOLDS = 200, 0.05, 3, 0.8, 42, 5
 BANDS = [(0.3, "Ổn định"), (0.5, "Theo dõi"), (0.7, "Cảnh báo"), (1.0, "Nguy hiểm")]
 HIGH_RISK_PCT = 70
-ROWS_PER_TASK = 50_000
+PARTITIONS = 8  # of the training table, at every size
 
 
 def dealer_days(f: DataFrame) -> DataFrame:
@@ -114,23 +114,22 @@ def _stages(trees: int) -> Pipeline:
 
 
 @contextmanager
-def _training_table(labelled: DataFrame, *extra: str):
-    """The model inputs, held while training, in as many partitions as their row count is worth.
+def _training_table(labelled: DataFrame, partitions: int, *extra: str):
+    """The model inputs, held while training, dealt out by dealer over a fixed number of partitions.
 
-    Boosting runs several short jobs per tree, so a small table in many partitions only pays scheduling.
-    Rows lie in key order: the seeded row sampling then repeats from run to run.
+    The seeded row sampling draws per partition, so ``partitions`` is part of the model: it never follows
+    from the row count or from how the input lies. Rows lie in key order, so the sampling repeats.
     """
     data = labelled.select("customer_code", "is_churned", *FEATURES, *extra).persist()
     try:
-        tasks = max(1, data.count() // ROWS_PER_TASK)
-        yield data.repartition(tasks, "customer_code").sortWithinPartitions("customer_code")
+        yield data.repartition(partitions, "customer_code").sortWithinPartitions("customer_code")
     finally:
         data.unpersist()
 
 
-def fit_churn(labelled: DataFrame, trees: int = TREES) -> PipelineModel:
-    """Scaled gradient-boosted trees; training runs over the partitions of the feature table."""
-    with _training_table(labelled) as data:
+def fit_churn(labelled: DataFrame, trees: int = TREES, partitions: int = PARTITIONS) -> PipelineModel:
+    """Scaled gradient-boosted trees, trained in ``partitions`` tasks; another number gives another model."""
+    with _training_table(labelled, partitions) as data:
         return _stages(trees).fit(data)
 
 
@@ -141,10 +140,10 @@ def with_folds(labelled: DataFrame, folds: int = FOLDS) -> DataFrame:
     return numbered.select(*keep, F.pmod(F.col("position"), F.lit(folds)).cast("int").alias("fold"))
 
 
-def churn_cv(labelled: DataFrame, trees: int = TREES, folds: int = FOLDS) -> DataFrame:
+def churn_cv(labelled: DataFrame, trees: int = TREES, folds: int = FOLDS, partitions: int = PARTITIONS) -> DataFrame:
     """Mean and spread of the ROC area over the folds, with the label counts."""
     evaluator = BinaryClassificationEvaluator(labelCol="is_churned")
-    with _training_table(with_folds(labelled, folds), "fold") as data, ThreadPoolExecutor(folds) as pool:
+    with _training_table(with_folds(labelled, folds), partitions, "fold") as data, ThreadPoolExecutor(folds) as pool:
 
         def area(k: int) -> float:
             model = _stages(trees).fit(data.where(F.col("fold") != k))

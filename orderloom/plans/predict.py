@@ -269,19 +269,13 @@ def _(w: Warehouse):
     return ch.churn_label(features(w)).select("customer_code", *ch.FEATURES, "is_churned")
 
 
-_models: dict[str, object] = {}
-
-
 def model(w: Warehouse):
-    """Trained once per data folder and session."""
-    key = f"{w.spark.sparkContext.applicationId}:{w.folder}"
-    if key not in _models:
-        _models[key] = ch.fit_churn(ch.churn_label(features(w)))
-    return _models[key]
+    """Trained on the data as it is at the call."""
+    return ch.fit_churn(ch.churn_label(features(w)))
 
 
-def scored(w: Warehouse):
-    return ch.score_churn(model(w), ch.churn_label(features(w)))
+def scored(w: Warehouse, model):
+    return ch.score_churn(model, ch.churn_label(features(w)))
 
 
 # models have no SQL form: rows only here, invariants in the tests
@@ -299,12 +293,12 @@ def _(w: Warehouse):
 
 @reg.plan("chn_06_score_churn")
 def _(w: Warehouse):
-    return scored(w).select("customer_code", "is_churned", "churn_proba", "churn_segment")
+    return scored(w, model(w)).select("customer_code", "is_churned", "churn_proba", "churn_segment")
 
 
 @reg.plan("chn_07_churn_priority")
 def _(w: Warehouse):
-    return ch.churn_priority(scored(w))
+    return ch.churn_priority(scored(w, model(w)))
 
 
 @reg.plan(
@@ -323,9 +317,9 @@ def _(w: Warehouse):
 
 @reg.plan("chn_08_churn_bands")
 def _(w: Warehouse):
-    return ch.churn_bands(scored(w))
+    return ch.churn_bands(scored(w, model(w)))
 
 
 @reg.plan("src_11_high_risk_export")
 def _(w: Warehouse):
-    return ch.high_risk(ch.churn_priority(scored(w)))
+    return ch.high_risk(ch.churn_priority(scored(w, model(w))))

@@ -76,6 +76,27 @@ def test_churn_scores(spark):
     assert 0 <= cv.roc_auc_mean <= 1 and cv.total_dealers == n
 
 
+def test_churn_model_ignores_input_partitions_and_size(spark):
+    labelled = ch.churn_label(pp.features(Warehouse(spark, SMALL))).cache()
+    small, large = (ch.fit_churn(labelled.repartition(n), trees=5) for n in (1, 8))
+    nodes = [[t.toDebugString.split("\n")[1:] for t in m.stages[-1].trees] for m in (small, large)]  # without the name
+    assert nodes[0] == nodes[1]
+    for rows in (1, 100_000, 200_000):  # the old switch gave 1, 2 and 4 partitions
+        keys = spark.range(rows).selectExpr("id AS customer_code", "0 AS is_churned", *[f"0D AS {c}" for c in ch.FEATURES])
+        with ch._training_table(keys, ch.PARTITIONS) as data:
+            assert data.rdd.getNumPartitions() == ch.PARTITIONS
+
+
+def test_churn_model_follows_changed_data(spark, monkeypatch):
+    w, seen = Warehouse(spark, SMALL), []
+    monkeypatch.setattr(ch, "fit_churn", lambda labelled: seen.append(labelled.count()) or len(seen))
+    first = pp.features(w).limit(50)
+    for f in (first, first.limit(20)):  # one path, other data
+        monkeypatch.setattr(pp, "features", lambda _, f=f: f)
+        pp.model(w)
+    assert seen == [50, 20]
+
+
 def test_folds_are_stratified(spark):
     df = spark.range(103).selectExpr("id AS customer_code", "CAST(id % 4 = 0 AS INT) AS is_churned")
     counts = ch.with_folds(df).groupBy("is_churned", "fold").count().collect()
