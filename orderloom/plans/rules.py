@@ -229,10 +229,23 @@ inc AS (SELECT concat('<', k, '@mail>') AS message_id, concat('f', lpad(event_id
  CASE WHEN no_pdf THEN 'NO_PDF_ATTACHMENT' END FROM inc0)"""
 
 
+# every mail, the odd ones under a new message id
+ALL_INCOMING_SQL = INCOMING_SQL.replace("event_id % 10 = 5", "event_id % 2 = 1").replace(" WHERE event_id % 5 = 0", "")
+
+
 def incoming(w: Warehouse) -> DataFrame:
     """Every fifth mail scanned twice, half of them with a new message id; the second copy counts."""
-    base = w.table("events").where("event_id % 5 = 0").selectExpr(
-        "CASE WHEN event_id % 10 = 5 THEN event_id + 100000000 ELSE event_id END AS k", "event_id", "user_id",
+    return scanned(w.table("events").where("event_id % 5 = 0"), "event_id % 10 = 5")
+
+
+def all_incoming(w: Warehouse) -> DataFrame:
+    """Every mail scanned twice, half of them with a new message id; the second copy counts."""
+    return scanned(w.table("events"), "event_id % 2 = 1")
+
+
+def scanned(events: DataFrame, renamed: str) -> DataFrame:
+    base = events.selectExpr(
+        f"CASE WHEN {renamed} THEN event_id + 100000000 ELSE event_id END AS k", "event_id", "user_id",
         "event_type = 'error' AND event_id % 3 = 0 AS no_pdf", "explode(array(1, 2)) AS copy",
     )
     return base.selectExpr(
@@ -251,8 +264,8 @@ def base_log(w: Warehouse) -> DataFrame:
     )
 
 
-def upsert_sql(status: str) -> str:
-    return f"""WITH {LOG_SQL}, {INCOMING_SQL},
+def upsert_sql(status: str, mails: str = INCOMING_SQL) -> str:
+    return f"""WITH {LOG_SQL}, {mails},
 last AS (SELECT message_id, min(file_name) AS seen, arg_max(from_address, file_name) AS from_address,
  max(CASE WHEN file_name LIKE '%-2' THEN error END) AS error FROM inc GROUP BY message_id),
 fresh AS (SELECT message_id, (SELECT max(log_id) FROM mail) + row_number() OVER (ORDER BY seen, message_id) AS log_id
@@ -272,14 +285,24 @@ def _(w: Warehouse):
     return il.upsert(base_log(w), incoming(w)).drop("processed_at")
 
 
-@reg.plan(
-    "ing_01_upsert_log_retry",
-    upsert_sql("CASE WHEN taken AND st = 'FAILED' AND error IS NULL THEN 'PENDING' ELSE st END"),
-)
+RETRIED = "CASE WHEN taken AND st = 'FAILED' AND error IS NULL THEN 'PENDING' ELSE st END"
+
+
+@reg.plan("ing_01_upsert_log_retry", upsert_sql(RETRIED))
 def _(w: Warehouse):
     return il.upsert(base_log(w), incoming(w), retry=True).drop("processed_at")
 
 
+@reg.plan("ing_01_upsert_log_all", upsert_sql("st", ALL_INCOMING_SQL))
+def _(w: Warehouse):
+    return il.upsert(base_log(w), all_incoming(w)).drop("processed_at")
+
+
+@reg.plan("ing_01_upsert_log_retry_all", upsert_sql(RETRIED, ALL_INCOMING_SQL))
+def _(w: Warehouse):
+    return il.upsert(base_log(w), all_incoming(w), retry=True).drop("processed_at")
+
+
 def results(w: Warehouse) -> DataFrame:
     return w.email_log.where("log_id % 4 <> 0").selectExpr(
         "log_id", "CASE WHEN log_id % 4 = 1 THEN repeat('reason ', 100) END AS error"
@@ -386,6 +409,17 @@ def _(w: Warehouse):
     return rs.match_fuzzy(asked(w).where("log_id % 4 < 2"), dealers(w)).select("log_id", "customer_code", "score")
 
 
+# by construction: case and form change nothing, a lost letter is one edit of both lengths, the rest is unknown
+@reg.plan(
+    "cus_03_match_fuzzy_all",
+    """SELECT c_custkey AS log_id, CASE WHEN c_custkey % 4 < 3 THEN printf('KH-%05d', c_custkey) END AS customer_code,
+ CASE WHEN c_custkey % 4 < 2 THEN 100::DOUBLE WHEN c_custkey % 4 = 2
+ THEN 100::DOUBLE * (1 - 1::DOUBLE / (2 * length(c_name) - 1)) END AS score FROM customer""",
+)
+def _(w: Warehouse):
+    return rs.match_fuzzy(asked(w), dealers(w)).select("log_id", "customer_code", "score")
+
+
 NEW_SQL = f"""WITH {DEALER_SQL}, o AS (SELECT o_orderkey AS log_id,
  CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE lpad(CAST(o_custkey AS VARCHAR), 10, '7') END AS tax_code,
  CASE WHEN o_orderkey % 3 = 0 THEN CASE WHEN o_custkey % 9 = 0 THEN NULL ELSE concat('Cua hang ', o_custkey % 40) END

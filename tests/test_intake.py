@@ -7,6 +7,10 @@ from pyspark.sql import functions as F
 from orderloom.operators import intake_log as il
 from orderloom.operators import resolve as rs
 from orderloom.operators import validation as va
+from orderloom.plans.star import Warehouse
+
+from __spark_entry__ import queries
+from conftest import SMALL
 
 RECORD = (
     "log_id long, header struct<so_number:string,order_date:date,customer_name:string,tax_code:string,address:string>,"
@@ -170,3 +174,13 @@ def test_rejects_unknown_mode(spark):
         from orderloom.functions.text import to_int
 
         to_int(F.lit("1"), "other")
+
+
+def test_queries_over_all_names_and_mails(spark):
+    w = Warehouse(spark, SMALL)
+    for name in ("ing_01_upsert_log_all", "ing_01_upsert_log_retry_all"):
+        new = queries()[name](spark, SMALL).join(w.email_log.select("message_id"), "message_id", "left_anti")
+        assert new.count() == w.email_log.where("log_id % 2 = 1").count()
+    matched = queries()["cus_03_match_fuzzy_all"](spark, SMALL)
+    assert matched.count() == w.table("customer").count()
+    assert matched.where("log_id % 4 = 2 AND customer_code IS NOT NULL").count() == w.table("customer").where("c_custkey % 4 = 2").count()
