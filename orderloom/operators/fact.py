@@ -52,18 +52,18 @@ def with_calendar(df: DataFrame, date: str = "order_date") -> DataFrame:
     )
 
 
-def flatten(star: Star, columns: list[str] | None = None, keep_orphans: bool | None = None) -> DataFrame:
+def flatten(star: Star, columns: list[str] | None = None, keep_orphans: bool = False) -> DataFrame:
     """Lines ⋈ orders ⋈ customers ⟕ province ⋈ product ⟕ line ⟕ group.
 
-    With ``columns`` only the joins those columns need are planned. The dropped joins could only
-    remove orphan lines; the load never writes such lines (unknown products and dealers are created
-    first) and the orphan checks watch it. ``keep_orphans=False`` keeps the filtering joins anyway.
+    The rows are the same whatever ``columns`` are asked for: the joins that drop lines without order,
+    dealer or product are always planned, the outer ones only where a column needs them.
+    ``keep_orphans=True`` plans only the joins the columns need, so orphan lines stay where it can.
     No side is forced to broadcast: the planner does so for a dimension it measures as small and
     sort-merge joins the rest.
     """
     wanted = list(columns) if columns else FACT_COLUMNS
     need = set(wanted)
-    everything = columns is None if keep_orphans is None else not keep_orphans
+    everything = not keep_orphans
     out = star.order_line
     if need & (_ORDER | _CUSTOMER) or everything:
         orders = star.sales_order.select("order_id", "order_date", "customer_code")
