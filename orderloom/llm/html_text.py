@@ -18,10 +18,13 @@ from pyspark.sql import functions as F
 
 from .common import keep_columns
 
+# a quote counts only where a value starts; any other is part of a name or value, and so is one that never closes
+_NAME_VALUE = r"""([^\s/>][^\s/>=]*+)(?:\s*+=\s*+("[^"]*"|'[^']*'|[^\s>"'][^\s>]*+)?+)?+"""
 _TOKEN = re.compile(
-    r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*"|'[^']*')*+)>""", re.S
-)
-_ATTRIBUTE = re.compile(r"""([^\s=/>"']+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>"']+))?""")
+    r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)(?=[^>]*+>)((?:[\s/]++|"
+    + re.sub(r"\((?=\[|\")", "(?:", _NAME_VALUE) + ")*+)>", re.S
+)
+_ATTRIBUTE = re.compile(_NAME_VALUE)
 _SPACES = re.compile(r"[ \t\n\r\f]+")
 _UNSEEN_STYLE = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.I)
 # fixed values: element classes of the HTML standard

@@ -181,6 +181,17 @@ def test_html_layout():
     assert html_text.visible_text("<div>" * 5000 + "deep < x") == "deep < x"
 
 
+@pytest.mark.parametrize("page, text", [
+    ("<p title=don't>It's visible</p> rest", "It's visible\n\nrest"),
+    ('<a href="x"">Click</a> on', "Click on"),
+    ('<a href="x>Click</a> on', "Click on"),
+    ("<p a\"b=c'd>one \"two\"</p>", 'one "two"'),
+    ('<a title = "1>2" b>t</a><p style="display: none">no</p>', "t"),
+])
+def test_html_stray_quotes(page, text):
+    assert html_text.visible_text(page) == text
+
+
 def test_search_equals_brute_force(spark):
     rng = np.random.default_rng(3)
     vectors = [(i, rng.integers(-3, 4, 8) / 7) for i in range(300)]
