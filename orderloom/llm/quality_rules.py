@@ -20,19 +20,31 @@ MARKED_PERCENT = 20  # punctuation rule: words with marks
 SEPARATOR_PERCENT = 20  # navigation rule: words that are separators
 DISTINCT_PERCENT = 40  # boilerplate rule: fewer different words than that, from REPEAT_WORDS words on
 REPEAT_WORDS = 10
+WINDOW_WORDS = 200  # a longer line is judged window by window, as the share of different words falls with length
 LOST_PERCENT = 30  # a document may lose that share of its words
 
 
+def _few_distinct(w: Column) -> Column:
+    return 100 * F.size(F.array_distinct(w)) < DISTINCT_PERCENT * F.size(w)
+
+
+def _repeats(w: Column) -> Column:
+    """Whether most windows of the line have too few different words; the last window ends with the line."""
+    n = F.size(w)
+    starts = F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0)), F.lit(WINDOW_WORDS))
+    bad = F.filter(starts, lambda i: _few_distinct(F.slice(w, F.least(i, n - WINDOW_WORDS) + 1, WINDOW_WORDS)))
+    return F.when(n <= WINDOW_WORDS, _few_distinct(w)).otherwise(2 * F.size(bad) > F.size(starts))
+
+
 def fails(w: Column, line: Column) -> Column:
     """Whether a line with words ``w`` breaks the punctuation, navigation or boilerplate rule."""
     n = F.size(w)
     marked = F.size(F.filter(w, lambda x: x.rlike(MARKS)))
     separators = F.size(F.filter(w, lambda x: x.isin(*SEPARATORS)))
-    distinct = F.size(F.array_distinct(w))
     return (
         (100 * marked > MARKED_PERCENT * n)
         | (100 * separators > SEPARATOR_PERCENT * n)
-        | ((n >= REPEAT_WORDS) & (100 * distinct < DISTINCT_PERCENT * n))
+        | ((n >= REPEAT_WORDS) & _repeats(w))
         | line.rlike(PHRASES)
     )
 

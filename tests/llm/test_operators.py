@@ -85,6 +85,16 @@ def test_quality_lines(spark):
     assert {r.doc_id for r in quality_rules.keep_good(frame(spark, rows)).collect()} == {1, 2}
 
 
+def test_quality_of_one_long_line(spark):
+    rng = random.Random(2)
+    clean = " ".join(f"word{int(4000 * rng.random() ** 2)}" for _ in range(50_000))
+    loop = " ".join(f"word{i % 11}" for i in range(50_000))
+    half = " ".join(["same"] * 25_300 + clean.split()[:24_700])
+    got = {r.doc_id: r for r in quality_rules.judge(frame(spark, [(1, clean, "a"), (2, loop, "a"), (3, half, "a")])).collect()}
+    assert got[1].kept and got[1].n_failed_words == 0 and got[1].cleaned_text == clean
+    assert got[2].n_failed_words == 50_000 and got[3].n_failed_words == 50_000
+
+
 def jaccard_components(rows, percent):
     sets = {i: {tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} for i, t in rows if (w := (t or "").lower().split())}
     up = {i: i for i, _ in rows}
