@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import html_text, language_id, line_dedup, mixing, near_dup, pieces, quality_rules, resampling, toxicity, vector_search
+from . import (
+    html_text, language_id, line_dedup, merkle, mixing, near_dup, packing, pieces, quality_rules, resampling, toxicity,
+    vector_search, whitening,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -196,3 +199,69 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
     return back.select("doc_id", F.coalesce(F.size("token_ids"), F.lit(0)).cast("long").alias("n_pieces"),
                        F.xxhash64("token_ids").alias("pieces_hash"),
                        F.col("decoded").eqNullSafe(F.col("text")).alias("lossless"))
+
+
+@query("op11_whitening")
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whiten(table(spark, folder, "embeddings")).withColumnRenamed("id", "vec_id")
+
+
+@query("op12_packing")
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    pieces_ = packing.pack(table(spark, folder, "documents"))
+    return pieces_.select(F.col("id").alias("doc_id"), "start", "length", F.crc32("ids").alias("ids_crc32"),
+                          "doc_tokens", "sequence_id", "offset")
+
+
+def _merkle_sql(levels: int = 8, top_levels: int = 3) -> str:
+    """The trees level by level: enough for 8 ** levels rows of a language and 8 ** top_levels languages."""
+    field = "CASE WHEN {0} IS NULL THEN '-' ELSE strlen(CAST({0} AS VARCHAR)) || ':' || {0} END"
+    leaf = " || ".join(field.format(c) for c in ("doc_id", "source", "lang", "n_chars", "{0}"))
+    # CRC-32 bit by bit: each character's code, then eight steps marked -1
+    steps = "flatten(list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c : [ascii(c), -1, -1, -1, -1, -1, -1, -1, -1]))"
+    crc = (f"xor(list_reduce(list_concat([4294967295], {steps}), lambda a, x : CASE WHEN x >= 0 THEN xor(a, x) "
+           "ELSE xor(a >> 1, 3988292384 * (a & 1)) END), 4294967295)")
+    lower = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    parts = [
+        f"texts AS (SELECT *, CASE WHEN {crc} % 3 = 0 THEN {lower} ELSE text END AS other FROM documents)",
+        f"hashed AS (SELECT doc_id, lang, sha256({leaf.format('text')}) AS leaf, sha256({leaf.format('other')}) AS changed FROM texts)",
+        "placed AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place, "
+        "count(*) OVER (PARTITION BY lang) AS width FROM hashed)",
+        "langs AS (SELECT lang, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS tree FROM (SELECT DISTINCT lang FROM hashed))",
+        "leaves AS (SELECT p.*, g.tree FROM placed p JOIN langs g ON p.lang IS NOT DISTINCT FROM g.lang)",
+        "n0 AS (SELECT tree, place, leaf AS h, width FROM leaves)",
+    ]
+
+    def tree(name: str, n: int) -> None:
+        for k in range(n):
+            parts.append(
+                f"{name}s{k} AS (SELECT a.tree, a.place, any_value(a.width) AS width, "
+                "coalesce(string_agg(b.h, '' ORDER BY b.place) FILTER (b.place < a.place), '') AS l, "
+                "coalesce(string_agg(b.h, '' ORDER BY b.place) FILTER (b.place > a.place), '') AS r "
+                f"FROM {name}{k} a JOIN {name}{k} b ON a.tree = b.tree AND a.place // 8 = b.place // 8 GROUP BY 1, 2)")
+            parts.append(
+                f"{name}{k + 1} AS (SELECT tree, place // 8 AS place, CASE WHEN any_value(width) = 1 THEN any_value(h) "
+                "ELSE sha256(string_agg(h, '' ORDER BY place)) END AS h, (any_value(width) + 7) // 8 AS width "
+                f"FROM {name}{k} GROUP BY 1, 2)")
+
+    tree("n", levels)
+    parts.append(f"t0 AS (SELECT 0 AS tree, tree AS place, h, (SELECT count(*) FROM langs) AS width FROM n{levels})")
+    tree("t", top_levels)
+    parts.append("f0 AS (SELECT doc_id, leaf, tree, place, changed AS h, '' AS siblings FROM leaves)")
+    step = ("f{to} AS (SELECT f.doc_id, f.leaf, f.tree, f.place, CASE WHEN s.width = 1 THEN f.h ELSE sha256(s.l || f.h || s.r) END AS h, "
+            "f.siblings || s.l || s.r AS siblings FROM f{at} f JOIN {name}s{k} s ON {on})")
+    for k in range(levels):
+        parts.append(step.format(to=k + 1, at=k, name="n", k=k, on=f"f.tree = s.tree AND f.place // {8**k} = s.place"))
+    for k in range(top_levels):
+        parts.append(step.format(to=levels + k + 1, at=levels + k, name="t", k=k, on=f"f.tree // {8**k} = s.place"))
+    return (
+        "WITH " + ",\n".join(parts) + f"""
+SELECT f.doc_id, f.leaf, g.h AS subroot, r.h AS root, sha256(f.siblings) AS proof_sha256, f.h AS folded_root, f.h = r.h AS verified
+FROM f{levels + top_levels} f JOIN n{levels} g ON f.tree = g.tree CROSS JOIN t{top_levels} r
+""")
+
+
+@query("op13_merkle_manifest", _merkle_sql())
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    found = merkle.verify_documents(table(spark, folder, "documents"))
+    return found.withColumnsRenamed({"id": "doc_id", "proof": "proof_sha256"})
