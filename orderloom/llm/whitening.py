@@ -177,10 +177,12 @@ def whitened(vectors: DataFrame, models: dict[int, Model]) -> DataFrame:
     return vectors.mapInArrow(run, schema)
 
 
-def identity_errors(distinct: DataFrame, models: dict[int, Model]) -> dict[int, float]:
+def identity_errors(distinct: DataFrame, models: dict[int, Model]) -> dict[int, float | None]:
     """Per vector length: the largest absolute entry of the whitened vectors' covariance minus the identity."""
+    if not models:
+        return {}
     rows = whitened(distinct, models)
-    most = max((len(m.values) for m in models.values()), default=0)
+    most = max(len(m.values) for m in models.values())
     w = [F.get("w", F.lit(k)) for k in range(most)]
     means = {r.dim: r for r in rows.groupBy("dim").agg(*[F.avg(c).alias(f"m{k}") for k, c in enumerate(w)]).collect()}
     out = {}
