@@ -8,12 +8,15 @@ The order of the stream is the order in which the rows are read. It is fixed in
 executor changes nothing. Only the end of the stream is shorter than a window: it is cut into windows of
 falling powers of two, which need no padding.
 
-A text is tokenised in runs between spaces and line feeds, each distinct run of a slice once. No token
-of a vocabulary that drops white space crosses one, so the ids are those of the whole text (tested).
+A text is tokenised in runs between spaces and line feeds, each distinct run once as long as a worker remembers
+it; marks at the end of a word are a run of their own, and a run of Latin-1 has the ids of its lower-case
+form. The vocabulary drops white space, lower-cases, and tokenises words and marks apart, so the ids are those
+of the whole text (tested on all texts of a table and on odd ones).
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from itertools import accumulate
 
@@ -31,6 +34,7 @@ LENGTH = 2048
 END_ID = 1
 AT_ONCE = 1 << 22  # bytes of text that are split together; one text may be longer
 KNOWN = 1_000_000  # a worker forgets its runs when it would know more than that
+MARKS = ".,;:!?#$%&*()[]{}\"/@^_+=~-"  # no apostrophe, which may belong to the word, and none of a special token
 BETWEEN = "0"  # a digit is a token of its own
 
 
@@ -41,19 +45,32 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.model = Tokenizer.from_str(tokenizer)
-        between = self.model.encode(BETWEEN, add_special_tokens=False).ids
-        self.between = between[0] if len(between) == 1 else None
+        if any(self.model.encode(t, add_special_tokens=False).ids != 2 * self.model.encode("a", add_special_tokens=False).ids
+               for t in ("a a", "a\n a ")):
+            raise ValueError("the tokenizer must drop white space")
+        ids = [self.model.encode(t, add_special_tokens=False).ids for t in (BETWEEN, "A", "a")]
+        self.between = ids[0][0] if len(ids[0]) == 1 else None
+        self.any_case = ids[1] == ids[2]
+        # a word and the marks after it are tokenised apart
+        self.word_ends = all(self.model.encode(f"a{m}", add_special_tokens=False).ids
+                             == self.model.encode(f"a {m}", add_special_tokens=False).ids for m in MARKS)
         self.forget()
 
     def forget(self) -> None:
         self.known: dict[str, int] = {}
         self.table, self.begin = np.zeros(0, np.uint32), np.zeros(1, np.int64)
 
+    def _plain(self, run: str) -> str:
+        """A run with the same ids, for runs of Latin-1. A special token's name has "<" and keeps its case."""
+        return run.lower() if self.any_case and (run.isascii() or max(run) <= "ÿ") and "<" not in run else run
+
     def _learn(self, new: list[str]) -> None:
         """Runs without the separator are encoded as one text that it divides, the others by themselves."""
-        joint = [r for r in new if BETWEEN not in r] if self.between is not None else []
-        alone = [r for r in new if BETWEEN in r] if self.between is not None else new
-        tables, sizes = [self.table], []
+        plain = [self._plain(r) for r in new]
+        open_ = [r for r in dict.fromkeys(plain) if r not in self.known]
+        joint = [r for r in open_ if BETWEEN not in r] if self.between is not None else []
+        alone = [r for r in open_ if BETWEEN in r] if self.between is not None else open_
+        tables, sizes = [self.table], [np.zeros(0, np.int64)]
         if joint:
             ids = np.array(self.model.encode_batch_fast([f" {BETWEEN} ".join(joint)], add_special_tokens=False)[0].ids, np.uint32)
             border = np.flatnonzero(ids == self.between)
@@ -63,22 +80,28 @@ class Encoder:
             found = [e.ids for e in self.model.encode_batch_fast(alone, add_special_tokens=False)]
             sizes.append(np.array([len(i) for i in found], np.int64))
             tables += [np.array(i, np.uint32) for i in found]
-        self.known.update(zip(joint + alone, range(len(self.known), len(self.known) + len(new)), strict=True))
+        self.known.update(zip(joint + alone, range(len(self.begin) - 1, len(self.begin) - 1 + len(open_)), strict=True))
+        self.known.update([(r, self.known[p]) for r, p in zip(new, plain, strict=True) if r != p])
         self.table = np.concatenate(tables)
         self.begin = np.concatenate([self.begin, self.begin[-1] + np.cumsum(np.concatenate(sizes))])
 
     def texts(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """All ids one after the other, and how many each text has; NULL is an empty text."""
         spaced = pc.replace_substring(pc.fill_null(texts, "").cast(pa.large_string()), "\n", " ")
+        if self.word_ends:
+            spaced = pc.replace_substring_regex(spaced, f"([A-Za-zÀ-ÖØ-öø-ÿ])([{re.escape(MARKS)}]+) ", r"\1 \2 ")
         runs = pc.split_pattern(spaced, " ")
         coded = runs.flatten().dictionary_encode()
-        distinct = coded.dictionary.to_pylist()
-        if len(self.known) + len(distinct) > KNOWN:
+        distinct = coded.dictionary.to_numpy(zero_copy_only=False)
+        if len(self.known) > KNOWN:
             self.forget()
-        new = [r for r in distinct if r not in self.known]
-        if new:
+        number = np.fromiter((self.known.get(r, -1) for r in distinct), np.int64, len(distinct))
+        fresh = np.flatnonzero(number < 0)
+        if len(fresh):
+            new = distinct[fresh].tolist()
             self._learn(new)
-        number = np.fromiter(map(self.known.__getitem__, distinct), np.int64, len(distinct))[np.asarray(coded.indices)]
+            number[fresh] = [self.known[r] for r in new]
+        number = number[np.asarray(coded.indices)]
         size = self.begin[number + 1] - self.begin[number]
         upto = np.concatenate([[0], np.cumsum(size)])
         first = np.asarray(runs.offsets) - runs.offsets[0].as_py()

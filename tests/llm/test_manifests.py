@@ -170,7 +170,7 @@ def test_packing_long_runs_and_lengths(spark):
 
 def test_encoder_forgets_and_splits_alike(monkeypatch):
     rng = random.Random(4)
-    texts = ["".join(rng.choice("aAzJ0 .,;:!?'\n\t<|>sStTÉé́̌Σς日🎉ſK") for _ in range(rng.randint(0, 40))) for _ in range(3000)]
+    texts = ["".join(rng.choice("aAzJ0 .,;:!?#&*([\"/_-'\n\t<|>sStTÉé́̌Σς日🎉ſK") for _ in range(rng.randint(0, 40))) for _ in range(3000)]
     monkeypatch.setattr(packing, "KNOWN", 500)
     with open(packing.TOKENIZER, encoding="utf-8") as f:
         encoder = packing.Encoder(f.read())
