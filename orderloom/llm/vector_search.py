@@ -7,7 +7,8 @@ read best bound first: the k best-bounded ones in a first round, and in a second
 still reaches the k-th exact score. Nothing is approximate in the result.
 
 Query blocks meet vector blocks in an equi-join on numbered parts of the vectors; both sides are cut into
-blocks of bounded size.
+blocks of bounded size. Of equal vectors only the k + 1 smallest ids can be in an answer; the others are no
+candidates, so a vector that fills a third of the table is no hot spot.
 """
 
 from __future__ import annotations
@@ -25,20 +26,21 @@ SCALE = 256
 BLOCK = 4096  # vectors in a block of cells
 QUERY_BLOCK = 1024
 BLOCKS_PER_PART = 64  # blocks of cells that one copy of the queries serves, once there are many
-LARGEST = 2.0**20  # a larger component counts as not finite: products would leave the long range
+LIMB = 2**32  # scores are compared as multiples of this and a rest, so none leaves its range
 
 
 def integer_vectors(df: DataFrame, id_column: str = "vec_id", vector_column: str = "embedding") -> DataFrame:
-    """``(id, v, dim)`` with ``floor(256 * x)`` for each component.
+    """``(id, v, dim)`` with ``floor(256 * x)`` as long for each component, beyond the long range its ends.
 
     Rows with a NULL id, a NULL or empty vector, or a NULL or non-finite component are left out. Of several
     rows with one id the smallest vector counts.
     """
     vector = F.col(f"`{vector_column}`").cast("array<double>")
-    usable = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < LARGEST))
+    usable = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     id_ = F.col(f"`{id_column}`").cast("long").alias("id")
     rows = df.select(id_, F.when(usable, vector).alias("x")).where("id IS NOT NULL AND x IS NOT NULL AND size(x) > 0")
-    ints = F.transform("x", lambda x: F.floor(x * SCALE).cast("int"))
+    ends = F.lit(-(2.0**63)), F.lit(2.0**63)
+    ints = F.transform("x", lambda x: F.floor(F.least(F.greatest(x * SCALE, ends[0]), ends[1])).cast("long"))
     return rows.select("id", ints.alias("v")).groupBy("id").agg(F.min("v").alias("v")).withColumn("dim", F.size("v"))
 
 
@@ -114,13 +116,30 @@ def scan(pairs: DataFrame, k: int) -> DataFrame:
     return pairs.mapInPandas(run, "query_id long, id long, lower double, upper double")
 
 
+def _product(a: str, b: str) -> Column:
+    """The exact inner product as ``(high, low)``: ``high * LIMB + low`` with ``0 <= low < LIMB``."""
+    wide, zero = "decimal(38,0)", F.lit(0).cast("decimal(38,0)")
+    largest = lambda v: F.aggregate(v, F.lit(0.0), lambda m, x: F.greatest(m, F.abs(x.cast("double"))))
+    short = F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0).cast("long"), lambda s, x: s + x)
+    limb = F.lit(LIMB).cast("long")
+
+    def total(part):
+        return F.aggregate(F.zip_with(a, b, lambda x, y: (part(x).cast("decimal(19,0)") * y.cast("decimal(19,0)")).cast(wide)),
+                           zero, lambda s, x: (s + x).cast(wide))
+
+    low = total(lambda x: F.pmod(x, limb))
+    carry = F.floor(low / F.lit(LIMB).cast("decimal(11,0)"))
+    high = (total(lambda x: F.floor((x - F.pmod(x, limb)) / limb)) + carry).cast(wide)
+    rest = (low - carry * F.lit(LIMB).cast("decimal(11,0)")).cast("long")
+    fits = largest(a) * largest(b) * F.size(a) < 2.0**62
+    return F.when(fits, F.struct(F.shiftright(short, 32).cast(wide).alias("high"), short.bitwiseAND(limb - 1).alias("low"))).otherwise(
+        F.struct(high.alias("high"), rest.alias("low")))
+
+
 def _exact(candidates: DataFrame, vectors: DataFrame, queries: DataFrame) -> DataFrame:
     v = vectors.select("id", F.col("v").alias("_v"))
     q = queries.select(F.col("id").alias("query_id"), F.col("v").alias("_q"))
-    product = F.aggregate(
-        F.zip_with("_v", "_q", lambda a, b: a.cast("long") * b.cast("long")), F.lit(0).cast("long"), lambda s, x: s + x
-    )
-    return candidates.join(v, "id").join(q, "query_id").select("query_id", "id", product.alias("score"))
+    return candidates.join(v, "id").join(q, "query_id").select("query_id", "id", _product("_v", "_q").alias("score"))
 
 
 def _best(scores: DataFrame, k: int) -> DataFrame:
@@ -132,12 +151,15 @@ def search(df: DataFrame, is_query: Column, k: int = 5, id_column: str = "vec_id
     """``(query_id, rank, id, score)``: the ``k`` largest integer inner products of every query.
 
     ``is_query`` is a condition on ``id``. Candidates are all vectors of the query's length but its own id;
-    ties go to the smaller id; a query with fewer candidates gets all of them, one with none no rows. See
-    ``integer_vectors`` for rows that take no part. Other columns are not looked at.
+    ties go to the smaller id; a query with fewer candidates gets all of them, one with none no rows. Ranks are
+    exact whatever the components; a score beyond the long range is NULL. See ``integer_vectors`` for rows
+    that take no part. Other columns are not looked at.
     """
     vectors = cut(integer_vectors(df, id_column, vector_column))
     queries = vectors.where(is_query)
-    cells = cut(approximate(vectors))
+    by_vector = Window.partitionBy("v").orderBy("id")  # the limit is applied before the shuffle too
+    candidates = vectors.withColumn("_n", F.row_number().over(by_vector)).where(F.col("_n") <= k + 1).drop("_n")
+    cells = cut(approximate(candidates))
     n_blocks = cells.count()
     spread = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     parts = max(1, min(n_blocks, spread), -(-n_blocks // BLOCKS_PER_PART))
@@ -156,7 +178,9 @@ def search(df: DataFrame, is_query: Column, k: int = 5, id_column: str = "vec_id
     by_upper = Window.partitionBy("query_id").orderBy(F.desc("upper"), "id")
     open_ = cut(open_.withColumn("_u", F.row_number().over(by_upper)).select("query_id", "id", "upper", "_u"))
     first = cut(_exact(open_.where(F.col("_u") <= k), vectors, queries))
-    reach = first.groupBy("query_id").agg(F.min("score").alias("_reach"))
+    about = F.col("score.high").cast("double") * LIMB + F.col("score.low")
+    reach = first.groupBy("query_id").agg(F.min(about - F.abs(about) * 1e-12).alias("_reach"))  # room for rounding
     rest = open_.where(F.col("_u") > k).join(reach, "query_id").where(F.col("upper") >= F.col("_reach"))
     scores = first.unionByName(_exact(rest.select("query_id", "id"), vectors, queries))
-    return _best(scores, k).select("query_id", "rank", "id", "score")
+    whole_score = F.expr(f"CAST(try_multiply(score.high, {LIMB}BD) AS DECIMAL(38,0))") + F.col("score.low")
+    return _best(scores, k).select("query_id", "rank", "id", whole_score.try_cast("long").alias("score"))

@@ -215,6 +215,51 @@ def test_search_equals_brute_force(spark):
     assert {r.query_id for r in got} == set(range(0, 300, 50))
 
 
+SEARCHED = "vec_id long, embedding array<double>, query_id string, score string, rank string, v string"
+
+
+def searched(spark, rows, k=5):
+    """Answers over vectors with extra columns whose names clash."""
+    return vector_search.search(spark.createDataFrame([(i, v, "old", "old", "old", "old") for i, v in rows], SEARCHED),
+                                F.col("id") % 50 == 0, k).collect()
+
+
+@pytest.mark.parametrize("scale", [2.0**20, 2.0**40, 2.0**54, 1e300])
+def test_search_of_large_components(spark, scale):
+    """Finite components of any size take part; ranks are exact, scores NULL only beyond the long range."""
+    rng = np.random.default_rng(11)
+    rows = [(i, [float(x) * scale / 8 if j else float(x) for j, x in enumerate(rng.integers(-8, 9, 4))]) for i in range(120)]
+    rows += [(200, [scale, 1.0, 0.0, 0.0]), (201, [float("inf")] * 4), (250, [float("-inf"), 0.0, 0.0, 0.0])]
+    ends = -(2**63), 2**63 - 1
+    ints = {i: [min(max(math.floor(c * 256) if abs(c) < 1e290 else int(c), ends[0]), ends[1]) for c in v] for i, v in rows if all(map(math.isfinite, v))}
+    got = searched(spark, rows)
+    for q in (0, 50, 100, 200):
+        want = sorted((-sum(a * b for a, b in zip(ints[q], v, strict=True)), i) for i, v in ints.items() if i != q)[:5]
+        mine = sorted((r.rank, r.id, r.score) for r in got if r.query_id == q)
+        assert mine == [(k, i, -s if -(2**63) <= -s < 2**63 else None) for k, (s, i) in enumerate(want, 1)]
+    assert {r.query_id for r in got} == {0, 50, 100, 200}
+
+
+def test_search_of_odd_rows(spark):
+    rng = np.random.default_rng(12)
+    copies = [(i, [0.5, 0.25]) for i in range(400)]  # one vector, a large part of the table
+    rows = copies + [(i, rng.normal(size=2).tolist()) for i in range(400, 460)] + [(450, [9.0, 9.0]), (None, [99.0, 99.0]), (500, [])]
+    rows += [(600, [1.0, 2.0, 3.0]), (601, [3.0, 2.0, 1.0]), (650, None)]
+    got = searched(spark, rows)
+    ints = {}
+    for i, v in rows:
+        if i is not None and v:
+            x = tuple(math.floor(256 * c) for c in v)
+            ints[i] = min(ints.get(i, x), x)  # of a repeated id the smallest vector
+    for q in range(0, 651, 50):
+        if q not in ints:
+            assert not [r for r in got if r.query_id == q]
+            continue
+        want = sorted((-sum(a * b for a, b in zip(ints[q], v, strict=True)), i) for i, v in ints.items() if i != q and len(v) == len(ints[q]))
+        assert sorted((r.rank, r.id, r.score) for r in got if r.query_id == q) == [(k, i, -s) for k, (s, i) in enumerate(want[:5], 1)]
+    assert len([r for r in got if r.query_id == 600]) == 1  # fewer candidates than k
+
+
 def test_bounds_hold():
     rng = np.random.default_rng(4)
     v, q = rng.integers(-300, 300, (50, 6)), rng.integers(-300, 300, (9, 6))
