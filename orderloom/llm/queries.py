@@ -95,14 +95,14 @@ def op2(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("op6_line_dedup", f"""
 WITH lines AS (
-  SELECT doc_id, source, unnest(string_split(text, chr(10))) AS line,
+  SELECT doc_id, source, text, unnest(string_split(text, chr(10))) AS line,
          generate_subscripts(string_split(text, chr(10)), 1) AS line_no
-  FROM documents WHERE text IS NOT NULL),
+  FROM documents),
 trimmed AS (SELECT *, regexp_replace(line, '^[ \\t\\x0b\\x0c\\r]+|[ \\t\\x0b\\x0c\\r]+$', '', 'g') AS t FROM lines),
-hosts AS (SELECT source, count(*) AS host_pages FROM documents GROUP BY source),
+hosts AS (SELECT source, count(DISTINCT coalesce('+' || text, '-')) AS host_pages FROM documents GROUP BY source),
 bad AS (
   SELECT c.source, t FROM
-    (SELECT source, t, count(DISTINCT doc_id) AS pages FROM trimmed WHERE t <> '' GROUP BY source, t) c
+    (SELECT source, t, count(DISTINCT text) AS pages FROM trimmed WHERE t <> '' GROUP BY source, t) c
     JOIN hosts h ON c.source IS NOT DISTINCT FROM h.source
   WHERE pages >= {line_dedup.LEAST_PAGES} AND pages > {line_dedup.RATIO} * host_pages),
 marked AS (
@@ -111,6 +111,7 @@ marked AS (
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (dropped) AS n_dropped,
   md5(coalesce(string_agg(line, chr(10) ORDER BY line_no) FILTER (NOT dropped), '')) AS text_md5
 FROM marked GROUP BY doc_id
+UNION ALL SELECT doc_id, 0, 0, NULL FROM documents WHERE text IS NULL
 """)
 def op6(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text", "source")
