@@ -6,6 +6,8 @@ whatever the partitioning was.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -74,6 +76,15 @@ def in_quarter(year: int, quarter: int) -> Column:
     return (F.col("fiscal_year") == year) & (F.col("fiscal_quarter") == quarter)
 
 
+def of_month(df: DataFrame, year: int, month: int, date: str = "order_date") -> DataFrame:
+    """Rows of a month: by the calendar columns where the table is stored by them, else by a range of dates,
+    which a scan can use too."""
+    if {"fiscal_year", "fiscal_month"} <= set(df.columns):
+        return df.where(in_month(year, month))
+    first, after = dt.date(year, month, 1), dt.date(year + month // 12, month % 12 + 1, 1)
+    return df.where((F.col(date) >= F.lit(first)) & (F.col(date) < F.lit(after)))
+
+
 def month_label(date: Column) -> Column:
     return F.date_format(F.trunc(date, "month"), "MM/yyyy")
 

@@ -7,8 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.columns import code_order, first_rows, in_month, ratio, total_of
-from .fact import with_calendar
+from ..functions.columns import code_order, first_rows, in_month, of_month, ratio, total_of
 
 # Fragments that betray a name printed with a broken font.
 BROKEN_NAME = r"(?U)\bnn\b|Thnn|Nhnn|\bnnp\b|Thnng|Nhnt|\bHnng\b|\bChinc\b|Xanh\s*dnn|\bnen\b"
@@ -181,10 +180,16 @@ def large_quantity(lines: DataFrame, limit: float = 1000) -> DataFrame:
     )
 
 
+def _lines_of(lines: DataFrame, period: DataFrame, year: int, month: int) -> DataFrame:
+    """Lines of the orders of a period; of lines stored by month only that month is read."""
+    if "fiscal_month" in lines.columns:
+        lines = lines.where(in_month(year, month))
+    return lines.join(period.select("order_id"), "order_id", "left_semi")
+
+
 def fact_in_step(lines: DataFrame, orders: DataFrame, fact: DataFrame, year: int, month: int) -> DataFrame:
     """Lines of the period against fact rows of the period."""
-    period = with_calendar(orders.select("order_id", "order_date")).where(in_month(year, month)).select("order_id")
-    n_lines = lines.join(period, "order_id", "left_semi").agg(F.count("*").alias("order_lines"))
+    n_lines = _lines_of(lines, of_month(orders, year, month), year, month).agg(F.count("*").alias("order_lines"))
     n_fact = fact.where(in_month(year, month)).agg(F.count("*").alias("n"))
     return n_lines.select(
         "order_lines", n_fact.scalar().alias("fact_rows")
@@ -223,8 +228,8 @@ def other_states(log: DataFrame) -> DataFrame:
 
 def period_totals(orders: DataFrame, lines: DataFrame, year: int, month: int) -> DataFrame:
     """Orders and lines of a period: counts, amounts, date range."""
-    period = with_calendar(orders).where(in_month(year, month))
-    inner = lines.join(period.select("order_id"), "order_id", "left_semi").agg(
+    period = of_month(orders, year, month)
+    inner = _lines_of(lines, period, year, month).agg(
         F.count("*").alias("n"), F.sum("quantity").alias("q"), F.sum("line_total").alias("r")
     )
     return period.agg(
@@ -241,8 +246,7 @@ def period_totals(orders: DataFrame, lines: DataFrame, year: int, month: int) ->
 
 def top_period_dealers(orders: DataFrame, customer: DataFrame, year: int, month: int, n: int | None = 10) -> DataFrame:
     per_dealer = (
-        with_calendar(orders)
-        .where(in_month(year, month))
+        of_month(orders, year, month)
         .groupBy("customer_code")
         .agg(F.count("*").alias("so_count"), F.sum("total_amount").alias("revenue"))
     )
@@ -262,8 +266,8 @@ def dealers_above(customer: DataFrame, number: int) -> DataFrame:
 
 def mismatched_orders(orders: DataFrame, lines: DataFrame, year: int, month: int, tol: int = 2) -> DataFrame:
     """Orders of a period, with lines, whose total differs from the sum of the lines: the count."""
-    period = with_calendar(orders).where(in_month(year, month))
-    sums = lines.groupBy("order_id").agg(F.sum("line_total").alias("s"))
+    period = of_month(orders, year, month)
+    sums = _lines_of(lines, period, year, month).groupBy("order_id").agg(F.sum("line_total").alias("s"))
     return period.join(sums, "order_id").agg(
         F.count_if(F.abs(F.col("total_amount") - F.col("s")) > tol).alias("mismatched_orders")
     )

@@ -99,17 +99,6 @@ def refresh(fact: DataFrame, star: Star) -> DataFrame:
     return flatten(fresh)
 
 
-def write_fact(fact: DataFrame, path: str, mode: str = "append") -> None:
-    """Append to (or replace) the table, one folder per fiscal month so that period filters prune."""
-    (
-        fact.repartition("fiscal_year", "fiscal_month", F.pmod(F.xxhash64("line_id"), F.lit(16)))
-        .write.mode(mode)
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("fiscal_year", "fiscal_month")
-        .parquet(path)
-    )
-
-
 def month_report(fact: DataFrame) -> DataFrame:
     return fact.groupBy("fiscal_year", "fiscal_month").agg(
         F.count("*").alias("rows"),

@@ -8,11 +8,11 @@ from pyspark.sql import functions as F
 from ..operators import audit as au
 from ..operators import reconcile as rc
 from ..operators import repair as fx
+from ..sources.sales_store import SalesStore
 from ..sources.warehouse import export_csv, read_export
-from .flows import run_folder
 from .registry import Registry
 from .rules import DEALER, DEALER_SQL
-from .star import FACT_SQL, FAULTY_SQL, LOG_SQL, MONTH, YEAR, Warehouse, select_list
+from .star import FACT_SQL, FAULTY_SQL, LOG_SQL, MONTH, YEAR, Warehouse, run_folder, select_list
 
 reg = Registry()
 
@@ -282,7 +282,7 @@ def _(w: Warehouse):
 )
 def _(w: Warehouse):
     fact = w.fact("fiscal_year", "fiscal_month", "product_code").where("product_code % 400 <> 8")
-    return au.fact_in_step(w.order_line, w.sales_order, fact, YEAR, MONTH)
+    return au.fact_in_step(w.store.lines, w.store.orders, fact, YEAR, MONTH)
 
 
 @plan("dq_20_new_without_tax", "SELECT customer_code, customer_name FROM dealer WHERE customer_code > 'KH-00702' AND tax_code IS NULL")
@@ -323,7 +323,7 @@ PERIOD = f"year(order_date) = {YEAR} AND month(order_date) = {MONTH}"
  (SELECT sum(line_total)::DOUBLE FROM line JOIN so USING (order_id) WHERE {PERIOD}) AS line_revenue FROM so WHERE {PERIOD}""",
 )
 def _(w: Warehouse):
-    return au.period_totals(w.sales_order, w.order_line, YEAR, MONTH)
+    return au.period_totals(w.store.orders, w.store.lines, YEAR, MONTH)
 
 
 @plan(
@@ -332,7 +332,7 @@ def _(w: Warehouse):
  JOIN cust USING (customer_code) WHERE {PERIOD} GROUP BY ALL ORDER BY revenue DESC, customer_code LIMIT 10""",
 )
 def _(w: Warehouse):
-    return au.top_period_dealers(w.sales_order, w.customer, YEAR, MONTH)
+    return au.top_period_dealers(w.store.orders, w.customer, YEAR, MONTH)
 
 
 @plan("dq_26_dealers_above", "SELECT count(*) AS new_dealers FROM customer WHERE c_custkey > 798")
@@ -346,7 +346,7 @@ def _(w: Warehouse):
  GROUP BY order_id, total_amount HAVING abs(total_amount - sum(line_total)) > 2)""",
 )
 def _(w: Warehouse):
-    return au.mismatched_orders(w.sales_order, w.order_line, YEAR, MONTH)
+    return au.mismatched_orders(w.store.orders, w.store.lines, YEAR, MONTH)
 
 
 @plan("dq_28_orphan_lines", "SELECT count(*) AS orphan_lines FROM line WHERE product_code NOT IN (SELECT product_code FROM known)")
@@ -716,6 +716,17 @@ def _(w: Warehouse):
     return fx.propagate(w.fact("line_id", "product_code", "product_name"), repaired(w), "product_name")
 
 
+@reg.plan(
+    "fix_03_propagate_stored",
+    f"""WITH {REPAIRED}, {FACT_SQL} SELECT line_id, fact.product_code, coalesce(rp.product_name, fact.product_name) AS product_name
+ FROM fact LEFT JOIN rp ON rp.product_code = fact.product_code""",
+)
+def _(w: Warehouse):
+    store = SalesStore(run_folder(w), w.star).create()
+    store.repair_product(repaired(w), "product_name")
+    return store.fact("line_id", "product_code", "product_name")
+
+
 @plan(
     "fix_04_repair_price",
     """SELECT line_id, quantity::DOUBLE AS quantity, line_total::DOUBLE AS line_total,

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from ..operators import fact as fa
 from ..operators import overview as ov
+from ..operators.fact import Star, flatten
+from ..sources.sales_store import SalesStore, write_by_month
 from .registry import Registry
-from .star import AS_OF, MONTH, PREV_MONTH, PREV_YEAR, QUARTER, WITH_FACT, WITH_LOG, YEAR, Warehouse
+from .star import AS_OF, MONTH, PREV_MONTH, PREV_YEAR, QUARTER, WITH_FACT, WITH_LOG, YEAR, Warehouse, run_folder
 
 reg = Registry()
 
@@ -42,6 +46,28 @@ def _(w: Warehouse):
     return fa.refresh(loaded.union(broken), w.star)
 
 
+@reg.plan("fact_01_store_fact", f"{WITH_FACT} SELECT {FACT_OUT} FROM fact")
+def _(w: Warehouse):
+    return SalesStore(run_folder(w), w.snowflake).create().fact()
+
+
+@reg.plan(
+    "fact_03_refresh_stored",
+    f"""{WITH_FACT}, stored AS (SELECT * FROM fact UNION ALL BY NAME
+ SELECT * REPLACE (CAST(NULL AS VARCHAR) AS line_id) FROM fact WHERE order_id = 2) SELECT {FACT_OUT} FROM stored""",
+)
+def _(w: Warehouse):
+    # one line in seven is stored, next to rows whose line_id is NULL; the refresh of all lines runs twice
+    part = Star(**{**w.star.__dict__, "order_line": w.order_line.where("product_code % 7 = 1")})
+    store = SalesStore(run_folder(w), part).create()
+    broken = flatten(Star(**{**w.star.__dict__, "order_line": w.order_line.where("order_id = 2")}))
+    write_by_month(broken.withColumn("line_id", F.lit(None).cast("string")), f"{store.root}/fact")
+    store.refresh(w.star)
+    if store.refresh(w.star):
+        raise RuntimeError("a second refresh appended rows")
+    return store.fact()
+
+
 MONTH_REPORT = """SELECT fiscal_year::BIGINT AS fiscal_year, fiscal_month::BIGINT AS fiscal_month, count(*) AS rows,
  count(DISTINCT so_number) AS orders, sum(line_total)::DOUBLE AS revenue FROM fact GROUP BY ALL"""
 

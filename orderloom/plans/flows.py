@@ -2,14 +2,11 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import adhoc
 from ..operators import extraction as ex
-from ..session import shared_folder
 from ..sources import mail as ml
 from ..sources import records as rc
 from ..sources import warehouse as wh
@@ -18,16 +15,11 @@ from .documents import NUMBER_PATTERN, OWN_TAX_CODE, WITH_SLIP, rendered, slips
 from .fact_overview import ACTIVITY_SQL, FACT_OUT
 from .intake import LINES_SQL
 from .registry import Registry
-from .star import AS_OF, EMAIL_LOG, FACT_SQL, ORDER_LINE, WITH_FACT, WITH_LOG, Warehouse, select_list
+from .star import AS_OF, EMAIL_LOG, FACT_SQL, ORDER_LINE, WITH_FACT, WITH_LOG, Warehouse, run_folder, select_list
 
 reg = Registry()
 
 
-def run_folder(w: Warehouse) -> str:
-    """A new folder on the shared storage for what one plan writes."""
-    return f"{shared_folder(w.spark)}/orderloom-{uuid.uuid4().hex}"
-
-
 # ------------------------------------------------------------------------------------------- sources
 
 

@@ -6,11 +6,15 @@ from identical inputs. Planted faults (see ``faulty``) are written the same way.
 
 from __future__ import annotations
 
+import uuid
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators.fact import Star
+from ..session import shared_folder
+from ..sources.sales_store import SalesStore
 
 AS_OF = "2001-08-01"
 YEAR, MONTH, QUARTER = 2001, 7, 1
@@ -93,6 +97,9 @@ def sql_select(columns: dict[str, str], source: str) -> str:
     return f"SELECT {', '.join(select_list(columns))} FROM {source}"
 
 
+_stores: dict[tuple, SalesStore] = {}
+
+
 class Warehouse:
     """Lazy role-named views over one folder of test tables."""
 
@@ -139,10 +146,24 @@ class Warehouse:
         slim = self.product.drop("line_name", "group_code", "group_name")
         return Star(self.order_line, self.sales_order, self.customer, self.province, slim, lines, groups)
 
-    def fact(self, *columns: str) -> DataFrame:
-        from ..operators.fact import flatten
+    @cached_property
+    def store(self) -> SalesStore:
+        """Orders, lines and facts stored by month, once per state of the base tables in this application.
+
+        The state is a digest over name, size and time of every base file; changed files get a new store.
+        """
+        paths = [f"{self.folder}/{t}.parquet" for t in ("lineitem", "orders", "customer", "nation", "region", "part")]
+        files = self.spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(paths)
+        one = F.xxhash64("path", "length", "modificationTime").cast("decimal(38,0)")
+        state = files.agg(F.count("*").alias("n"), F.sum(one).alias("digest")).first()
+        key = (self.spark.sparkContext.applicationId, self.folder, state.n, state.digest)
+        if key not in _stores:
+            _stores[key] = SalesStore(f"{shared_folder(self.spark)}/sales/{uuid.uuid4().hex}", self.star).create()
+        return _stores[key]
 
-        return flatten(self.star, list(columns) or None)
+    def fact(self, *columns: str) -> DataFrame:
+        """The stored fact table."""
+        return self.store.fact(*columns)
 
     @cached_property
     def email_log(self) -> DataFrame:
@@ -155,6 +176,11 @@ class Warehouse:
         return self.view({**ORDER_LINE, **FAULTS}, "lineitem")
 
 
+def run_folder(w: Warehouse) -> str:
+    """A new folder on the shared storage for what one plan writes."""
+    return f"{shared_folder(w.spark)}/orderloom-{uuid.uuid4().hex}"
+
+
 FACT_SQL = f"""
 line AS ({sql_select(ORDER_LINE, "lineitem")}),
 so AS ({sql_select(SALES_ORDER, "orders")}),

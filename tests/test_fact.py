@@ -1,8 +1,15 @@
-from orderloom.operators import fact as fa
-from orderloom.operators.fact import Star
+from pathlib import Path
 
+import pytest
 from conftest import SMALL
+from pyspark.sql import functions as F
+
+from __spark_entry__ import queries
+from orderloom.functions.columns import of_month
+from orderloom.operators import fact as fa
+from orderloom.operators.fact import Star
 from orderloom.plans.star import Warehouse
+from orderloom.sources.sales_store import PERIOD, SalesStore
 
 
 def test_rows_do_not_depend_on_the_columns(spark):
@@ -18,3 +25,96 @@ def test_rows_do_not_depend_on_the_columns(spark):
     for more in ([], ["quantity"], ["order_date"], ["customer_code"], ["region"], ["color"], ["group_name"], ["order_date", "color"]):
         got = fa.flatten(star, ["line_total", *more]).selectExpr("count(*)", "sum(line_total)").first()
         assert tuple(got) == tuple(want), more
+
+
+def files_of(root):
+    return {p: (p.stat().st_size, p.stat().st_mtime_ns) for p in Path(root).rglob("*.parquet")}
+
+
+def month_of_file(path):
+    return tuple(int(part.split("=")[1]) for part in path.parts if part.startswith("fiscal_") and "HIVE" not in part)
+
+
+def rows_of(df):
+    return sorted(map(str, df.select(*fa.FACT_COLUMNS).collect()))
+
+
+@pytest.fixture(scope="module")
+def star(spark):
+    return Warehouse(spark, SMALL).star
+
+
+def test_stored_fact_equals_the_joins(spark, star, tmp_path):
+    undated = star.sales_order.withColumn("order_date", F.when(F.col("order_id") % 50 != 1, F.col("order_date")))
+    star = Star(**{**star.__dict__, "sales_order": undated})
+    store = SalesStore(str(tmp_path / "s"), star).create()
+    assert rows_of(store.fact()) == rows_of(fa.flatten(star))
+    assert store.lines.count() == star.order_line.count() and store.orders.count() == star.sales_order.count()
+    assert store.fact().where("order_date IS NULL AND fiscal_month IS NULL").count() > 0
+    store.create()  # in place of what is there
+    assert store.fact().count() == fa.flatten(star).count()
+    empty = Star(**{**star.__dict__, "order_line": star.order_line.where("false")})
+    assert SalesStore(str(tmp_path / "e"), empty).create().fact().collect() == []
+
+
+def test_refresh_appends_what_is_missing_and_reads_its_months_only(spark, star, tmp_path):
+    part = Star(**{**star.__dict__, "order_line": star.order_line.where("order_id % 3 <> 0")})
+    store = SalesStore(str(tmp_path / "s"), part).create()
+    before = files_of(tmp_path)
+    july = star.sales_order.where("order_date >= '2001-07-01' AND order_date < '2001-08-01'")
+    batch = Star(**{**star.__dict__, "sales_order": july})
+    added = store.refresh(batch)
+    assert added == fa.flatten(batch).where("order_id % 3 = 0").count() > 0
+    new = set(files_of(tmp_path)) - set(before)
+    assert new and {month_of_file(p) for p in new} == {(2001, 3, 7)}
+    assert {p: v for p, v in files_of(tmp_path).items() if p in before} == before
+    assert store.refresh(batch) == 0 and store.refresh(star) > 0 and store.refresh(star, across_months=True) == 0
+    assert rows_of(store.fact()) == rows_of(fa.flatten(star))
+
+
+def test_orders_that_change_month_are_found_across_months(spark, star, tmp_path):
+    store = SalesStore(str(tmp_path / "s"), star).create()
+    moved = Star(**{**star.__dict__, "sales_order": star.sales_order.where("order_id < 40").withColumn("order_date", F.lit("1990-01-01").cast("date"))})
+    assert store.refresh(moved, across_months=True) == 0
+
+
+def test_repair_rewrites_touched_months_only(spark, star, tmp_path):
+    store = SalesStore(str(tmp_path / "s"), star).create()
+    sold = store.fact("product_code", *PERIOD).distinct().collect()
+    code = min({r.product_code for r in sold}, key=lambda c: sum(r.product_code == c for r in sold))
+    months = {tuple(r)[1:] for r in sold if r.product_code == code}
+    before, all_months = files_of(tmp_path / "s" / "fact"), {tuple(r)[1:] for r in sold}
+    assert len(months) < len(all_months)
+    fixed = star.product.withColumn("product_name", F.when(F.col("product_code") == code, F.lit("repaired")).otherwise(F.col("product_name")))
+    assert set(store.repair_product(fixed, "product_name")) == months
+    after = files_of(tmp_path / "s" / "fact")
+    for path, state in before.items():
+        assert (month_of_file(path) in months) == (after.get(path) != state)
+    assert rows_of(store.fact()) == rows_of(fa.flatten(Star(**{**star.__dict__, "product": fixed})))
+    assert store.repair_product(fixed, "product_name") == []
+
+
+@pytest.mark.parametrize("name", [
+    "ovw_02_kpi", "ovw_04_quarter_totals", "ovw_06_group_revenue", "geo_02_province_growth", "geo_08_coverage", "ops_03_daily", "dq_19_fact_in_step",
+    "dq_22_plausibility", "dq_24_period_totals", "dq_25_top_period_dealers", "dq_27_mismatched_orders", "fc_08_sku_projection", "col_02_color_trend",
+])
+def test_period_queries_read_their_months_only(spark, name):
+    plans = queries()
+    plan = plans[name](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
+    filters = [x for x in plan.split("PartitionFilters: [")[1:] if x.split("]")[0].strip()]
+    assert any("fiscal_year" in x.split("]")[0] for x in filters), plan
+
+
+def test_a_changed_table_gets_a_new_store(spark, tmp_path):
+    for t in ("lineitem", "orders", "customer", "nation", "region", "part"):
+        spark.read.parquet(f"{SMALL}/{t}.parquet").write.parquet(str(tmp_path / f"{t}.parquet"))
+    first = Warehouse(spark, str(tmp_path))
+    n = first.fact("line_total").count()
+    assert Warehouse(spark, str(tmp_path)).store is first.store
+    spark.read.parquet(f"{SMALL}/lineitem.parquet").limit(10).write.mode("append").parquet(str(tmp_path / "lineitem.parquet"))
+    assert Warehouse(spark, str(tmp_path)).fact("line_total").count() == n + 10
+
+
+def test_months_without_calendar_columns_are_ranges_of_dates(spark):
+    days = spark.createDataFrame([("2000-12-01",), ("2000-12-31",), ("2001-01-01",), (None,)], "d string").selectExpr("CAST(d AS DATE) AS order_date")
+    assert of_month(days, 2000, 12).count() == 2 and of_month(days, 2001, 1).count() == 1
