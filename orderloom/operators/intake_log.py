@@ -17,12 +17,14 @@ STAGES = {
 REPLACED = ["from_address", "subject", "received_at", "attachment_name", "so_number", "customer_name_raw"]
 
 
-def upsert(log: DataFrame, incoming: DataFrame, retry: bool = False, order: str = "file_name") -> DataFrame:
+def upsert(
+    log: DataFrame, incoming: DataFrame, retry: bool = False, order: str = "file_name", top: Column | None = None
+) -> DataFrame:
     """Merge scanned mails into the log by ``message_id``.
 
     Only mails still PENDING or FAILED take new values. Their status stays, unless ``retry`` sends FAILED
     ones back to PENDING. Of several copies in a batch the last by ``order`` wins; new mails get the next
-    ``log_id`` in that order.
+    ``log_id`` in that order, after ``top`` (the largest in ``log`` unless given).
     """
     fields = [c for c in REPLACED if c in incoming.columns]
     latest = (
@@ -36,7 +38,8 @@ def upsert(log: DataFrame, incoming: DataFrame, retry: bool = False, order: str
     numbered = order_globally(fresh.select("message_id", "seen"), F.col("seen"), "message_id").select(
         "message_id", "position"
     )
-    top = log.agg(F.coalesce(F.max("log_id"), F.lit(0)).alias("m")).scalar()
+    if top is None:
+        top = log.agg(F.coalesce(F.max("log_id"), F.lit(0)).alias("m")).scalar()
     merged = log.join(latest, "message_id", "full_outer").join(numbered, "message_id", "left")
     new_status = F.when(F.col("new.error").isNull(), "PENDING").otherwise("FAILED")
     kept_status = F.when(
@@ -71,18 +74,18 @@ def advance(log: DataFrame, results: DataFrame, stage: str, now: str | None = No
     moved = F.coalesce("_seen", F.lit(False)) & (F.col("processing_status") == before)
     failed, passed = moved & F.col("_error").isNotNull(), moved & F.col("_error").isNull()
     clear = passed if stage == "LOAD" else F.lit(False)
-    out = joined.withColumns(
+    stamped = {}
+    if stage == "LOAD" and now is not None:
+        stamp = F.lit(now).cast(log.schema["processed_at"].dataType)
+        stamped = {"processed_at": F.when(passed, stamp).otherwise(F.col("processed_at"))}
+    out = joined.withColumns(  # all at once: each sees the state before
         {
+            **stamped,
             "error_stage": F.when(failed, stage).when(~clear, F.col("error_stage")),
             "error_message": F.when(failed, tag_error(stage, F.col("_error"))).when(~clear, F.col("error_message")),
             "processing_status": F.when(failed, "FAILED").when(passed, after).otherwise(F.col("processing_status")),
         }
     )
-    if stage == "LOAD" and now is not None:
-        stamp = F.lit(now).cast(log.schema["processed_at"].dataType)
-        out = out.withColumn(
-            "processed_at", F.when(passed, stamp).otherwise(F.col("processed_at"))
-        )
     return out.drop("_error", "_seen")
 
 

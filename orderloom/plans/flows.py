@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from .. import adhoc
 from ..operators import extraction as ex
+from ..session import cut
 from ..sources import mail as ml
 from ..sources import records as rc
 from ..sources import warehouse as wh
@@ -276,6 +277,21 @@ def _(w: Warehouse):
 
 # ------------------------------------------------------------------------------------- whole intake
 
+def intake_star(w: Warehouse):
+    """The dimensions an intake run meets, and the orders loaded before it."""
+    from ..operators.fact import Star
+    from .rules import loaded
+
+    dealers = w.table("customer").selectExpr(
+        "printf('KH-%05d', c_custkey) AS customer_code", "c_name AS customer_name", f"{DEALER_TAX} AS tax_code",
+        "c_nationkey AS province_id",
+    )
+    product = w.product.where("product_code % 400 <> 8").withColumn(
+        "product_code", F.lpad(F.col("product_code").cast("string"), 12, "0")
+    )
+    return Star(w.order_line, loaded(w), dealers, w.province, product)
+
+
 DEALER_TAX = "CASE WHEN c_custkey % 50 = 1 THEN NULL ELSE lpad(CAST(c_custkey AS STRING), 10, '0') END"
 
 
@@ -296,19 +312,85 @@ SELECT concat(order_id, '-', line_no) AS line_id, order_id, so_text AS so_number
 )
 def _(w: Warehouse):
     from ..operators.chain import run_intake
-    from ..operators.fact import Star
-    from .rules import loaded
 
     docs = rendered(w).withColumnRenamed("doc_id", "log_id").withColumn("mail_name", F.lit(None).cast("string"))
-    dealers = w.table("customer").selectExpr(
-        "printf('KH-%05d', c_custkey) AS customer_code", "c_name AS customer_name", f"{DEALER_TAX} AS tax_code",
-        "c_nationkey AS province_id",
-    )
-    product = w.product.where("product_code % 400 <> 8").withColumn(
-        "product_code", F.lpad(F.col("product_code").cast("string"), 12, "0")
-    )
-    star = Star(w.order_line, loaded(w), dealers, w.province, product)
+    star = intake_star(w)
     return run_intake(docs, star, OWN_TAX_CODE, pattern=NUMBER_PATTERN).facts.select(
         "line_id", "order_id", "so_number", "order_date", "customer_code", "customer_name", "province_name",
         "product_code", "product_name", "quantity", "unit_price", "line_total",
     )
+
+
+# mails in order of their files; an order's document is its last one
+RUN_SQL = f"""{WITH_SLIP}, mail AS (SELECT *, row_number() OVER (ORDER BY concat(so_text, '_', doc_id, '.eml')) AS log_id FROM slip),
+f AS (SELECT so_text, min(log_id) AS log_id, max(doc_id) AS doc_id FROM mail WHERE order_key % 20 <> 6 AND order_key % 400 <> 1
+ GROUP BY so_text)"""
+
+
+_runs: dict = {}
+
+
+def stored_run(w: Warehouse):
+    """Rendered mails and documents through a run that keeps its state, and once more; one per state of the tables."""
+    from ..operators.run import IntakeRun
+
+    key = w.state()
+    if key in _runs:
+        return _runs[key]
+    run = IntakeRun(w.spark, run_folder(w), intake_star(w), OWN_TAX_CODE, pattern=NUMBER_PATTERN, buckets=32)
+    docs = cut(rendered(w).join(slips(w).select("doc_id", "so_text"), "doc_id").select(
+        F.concat(F.translate("so_text", ".", "_"), F.lit(".pdf")).alias("file_name"), "doc_id", "text", "tables", "parse_error"
+    ))
+    mails = cut(mail_files(w))
+    run.run(mails, docs, "2001-08-01 00:00:00")
+    again = run.run(mails, docs, "2001-08-02 00:00:00")
+    if again:
+        raise RuntimeError(f"a second run did something: {again}")
+    _runs[key] = run
+    return run
+
+
+@reg.plan(
+    "ld_06_run_stored",
+    f"""{RUN_SQL},
+g AS (SELECT mail.* EXCLUDE (log_id), f.log_id, tax_code::BIGINT AS c, row_number() OVER (ORDER BY f.log_id) AS order_id
+ FROM mail JOIN f USING (doc_id)),
+n AS (SELECT c, row_number() OVER (ORDER BY min(log_id)) AS i FROM g WHERE c % 50 = 1 GROUP BY c),
+d AS (SELECT g.*, CASE WHEN n.c IS NULL THEN printf('KH-%05d', g.c) ELSE printf('KH-%05d', (SELECT max(c_custkey) FROM customer) + i) END
+ AS customer_code, CASE WHEN n.c IS NULL THEN c_name ELSE buyer END AS customer_name, CASE WHEN n.c IS NULL THEN n_name END AS province_name
+ FROM g LEFT JOIN n ON n.c = g.c JOIN customer ON c_custkey = g.c LEFT JOIN nation ON n_nationkey = c_nationkey),
+l AS (SELECT *, 1 AS line_no, code1 AS product_code, qty1 AS q, price1 AS p, total1 AS t FROM d UNION ALL
+ SELECT *, 2, code2, qty2, price2, total2 FROM d),
+pk AS (SELECT lpad(p_partkey::VARCHAR, 12, '0') AS product_code, p_name FROM part WHERE p_partkey % 400 <> 8)
+SELECT concat(order_id, '-', line_no) AS line_id, order_id, so_text AS so_number, strftime(order_date, '%Y-%m-%d') AS order_date,
+ customer_code, customer_name, province_name, l.product_code, coalesce(p_name, concat('San pham moi - ', l.product_code)) AS product_name,
+ q::DOUBLE AS quantity, p::DOUBLE AS unit_price, t::DOUBLE AS line_total FROM l LEFT JOIN pk ON pk.product_code = l.product_code""",
+)
+def _(w: Warehouse):
+    return stored_run(w).facts().select(
+        "line_id", "order_id", "so_number", "order_date", "customer_code", "customer_name", "province_name",
+        "product_code", "product_name", "quantity", "unit_price", "line_total",
+    )
+
+
+REJECT_SQL = f"""{RUN_SQL}, rejected AS (SELECT mail.log_id, so_text AS so_number, CASE WHEN order_key % 400 = 1
+ THEN concat('V7_DUPLICATE_SO:', so_text) WHEN f.log_id < mail.log_id THEN concat('V7_DUPLICATE_IN_BATCH:', so_text) END AS errors
+ FROM mail LEFT JOIN f USING (so_text) WHERE order_key % 20 <> 6)"""
+
+
+@reg.plan("src_10_write_rejects", f"{REJECT_SQL} SELECT * FROM rejected WHERE errors IS NOT NULL")
+def _(w: Warehouse):
+    return stored_run(w).rejects()
+
+
+@reg.plan(
+    "ing_02_run_states",
+    f"""{REJECT_SQL} SELECT mail.log_id, so_text AS so_number, CASE WHEN order_key % 20 = 6 OR errors IS NOT NULL THEN 'FAILED' ELSE 'LOADED' END
+ AS processing_status, CASE WHEN order_key % 20 = 6 THEN 'EXTRACT' WHEN errors IS NOT NULL THEN 'VALIDATE' END AS error_stage,
+ CASE WHEN order_key % 20 = 6 THEN 'NO_PDF_ATTACHMENT' ELSE errors END AS error_message,
+ CASE WHEN order_key % 20 <> 6 AND errors IS NULL THEN '2001-08-01 00:00:00' END AS processed_at
+ FROM mail LEFT JOIN rejected USING (log_id)""",
+)
+def _(w: Warehouse):
+    return stored_run(w).log.read().select(
+        "log_id", "so_number", "processing_status", "error_stage", "error_message", "processed_at")

@@ -9,9 +9,10 @@ from ..operators import intake_log as il
 from ..operators import load as ld
 from ..operators import resolve as rs
 from ..operators import validation as va
+from ..sources.log_store import LogStore
 from .documents import SLIP_SQL, slips
 from .registry import Registry
-from .star import LOG_SQL, Warehouse, select_list
+from .star import LOG_SQL, Warehouse, run_folder, select_list
 
 reg = Registry()
 
@@ -303,6 +304,17 @@ def _(w: Warehouse):
     return il.upsert(base_log(w), all_incoming(w), retry=True).drop("processed_at")
 
 
+@reg.plan("ing_01_upsert_stored", upsert_sql(RETRIED, ALL_INCOMING_SQL))
+def _(w: Warehouse):
+    log = base_log(w)
+    store = LogStore(w.spark, run_folder(w), log.schema, buckets=32)
+    store.create(log)
+    version = store.upsert(all_incoming(w), retry=True)
+    if store.upsert(all_incoming(w)) != version:
+        raise RuntimeError("a second scan of the same mails changed the log")
+    return store.read().drop("processed_at")
+
+
 def results(w: Warehouse) -> DataFrame:
     return w.email_log.where("log_id % 4 <> 0").selectExpr(
         "log_id", "CASE WHEN log_id % 4 = 1 THEN repeat('reason ', 100) END AS error"
@@ -324,6 +336,17 @@ def tagged_log(w: Warehouse) -> DataFrame:
 
 for _stage, (_before, _after) in il.STAGES.items():
 
+    @reg.plan(f"ing_02_advance_{_stage.lower()}_stored", advance_sql(_before, _after, _stage))
+    def _(w: Warehouse, stage=_stage):
+        log = tagged_log(w)
+        store = LogStore(w.spark, run_folder(w), log.schema, buckets=32)
+        store.create(log)
+        outcome = results(w).join(log.select("log_id", "message_id"), "log_id")
+        version = store.advance(outcome, stage, "2001-08-01 00:00:00")
+        if store.advance(outcome, stage, "2001-08-01 00:00:00") != version:
+            raise RuntimeError("a repeated stage changed the log")
+        return store.read().drop("message_id", "from_address", "processed_at")
+
     @reg.plan(f"ing_02_advance_{_stage.lower()}", advance_sql(_before, _after, _stage))
     def _(w: Warehouse, stage=_stage):
         return il.advance(tagged_log(w), results(w), stage, "2001-08-01 00:00:00").drop(

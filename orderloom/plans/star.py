@@ -146,17 +146,18 @@ class Warehouse:
         slim = self.product.drop("line_name", "group_code", "group_name")
         return Star(self.order_line, self.sales_order, self.customer, self.province, slim, lines, groups)
 
-    @cached_property
-    def store(self) -> SalesStore:
-        """Orders, lines and facts stored by month, once per state of the base tables in this application.
-
-        The state is a digest over name, size and time of every base file; changed files get a new store.
-        """
+    def state(self) -> tuple:
+        """This application's view of the base tables: a digest over name, size and time of every base file."""
         paths = [f"{self.folder}/{t}.parquet" for t in ("lineitem", "orders", "customer", "nation", "region", "part")]
         files = self.spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(paths)
         one = F.xxhash64("path", "length", "modificationTime").cast("decimal(38,0)")
-        state = files.agg(F.count("*").alias("n"), F.sum(one).alias("digest")).first()
-        key = (self.spark.sparkContext.applicationId, self.folder, state.n, state.digest)
+        found = files.agg(F.count("*").alias("n"), F.sum(one).alias("digest")).first()
+        return self.spark.sparkContext.applicationId, self.folder, found.n, found.digest
+
+    @cached_property
+    def store(self) -> SalesStore:
+        """Orders, lines and facts stored by month, once per state of the base tables; changed files get a new store."""
+        key = self.state()
         if key not in _stores:
             _stores[key] = SalesStore(f"{shared_folder(self.spark)}/sales/{uuid.uuid4().hex}", self.star).create()
         return _stores[key]

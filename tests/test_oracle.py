@@ -1,10 +1,11 @@
-"""Every named query with a SQL form against that SQL, on the smallest tables."""
+"""Every named query with a SQL form against that SQL, on the smallest tables. The optional part has its own test."""
 
 import pytest
 from check_oracle import compare, duck
 from conftest import SMALL
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from orderloom.plans.catalog import oracle_sql, queries
 
 SQL = oracle_sql()
 # trained models and iterative name clustering run in their own tests
