@@ -159,7 +159,9 @@ def search(df: DataFrame, is_query: Column, k: int = 5, id_column: str = "vec_id
     queries = vectors.where(is_query)
     by_vector = Window.partitionBy("v").orderBy("id")  # the limit is applied before the shuffle too
     candidates = vectors.withColumn("_n", F.row_number().over(by_vector)).where(F.col("_n") <= k + 1).drop("_n")
-    cells = cut(approximate(candidates))
+    # full blocks, however many partitions hold the rows: every block yields k candidates a query at least
+    candidates = cut(candidates)
+    cells = cut(approximate(candidates.coalesce(max(1, -(-candidates.count() // BLOCK)))))
     n_blocks = cells.count()
     spread = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     parts = max(1, min(n_blocks, spread), -(-n_blocks // BLOCKS_PER_PART))
