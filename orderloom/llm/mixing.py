@@ -4,7 +4,8 @@ Every source gets a share of all words. A document of a source is taken ``target
 times on average; the whole part is certain, the fraction is rounded. Fractions are not rounded one by
 one: two documents exchange words until the fraction of one of them is 0 or 1, up or down at random with
 odds that leave every expectation as it is. The words of the pair stay the same, so a source misses its
-target by less than one document, whatever its size.
+target by less than one document, whatever its size. Rows that share id, source and size are not rounded as
+one: the whole copies of the group are certain, and only what is left of one row takes part.
 
 Pairs are formed inside chunks of about ``FAN_IN`` documents. A chunk leaves at most one undecided
 document; those of ``FAN_IN`` neighbouring chunks meet in the next level, until one is left per source.
@@ -87,18 +88,19 @@ def _fold(level: int, seed: int) -> Column:
 def round_dependently(units: DataFrame, seed: int = SEED) -> DataFrame:
     """``(id, source, size, n, whole, extra)``: ``extra`` is 0 or 1, with mean ``p``.
 
-    ``units`` holds ``(id, source, size, n, whole, p)``, unique by the first three; NULL is a value. Units
-    of no words or without a fraction take no part in the exchange.
+    ``units`` holds ``(id, source, size, n, whole, p)``, unique by the first three; NULL is a value. ``p`` is
+    the fraction of one row of ``size`` words, whatever ``n``. Units of no words or without a fraction take no
+    part in the exchange.
     """
     unit = [F.col(c) for c in ("id", "source", "size", "n", "whole", "p")]
     units = cut(units.select(*unit, F.xxhash64(F.lit(seed), "id", "source", "size").alias("h"),
-                             (F.col("size") * F.col("n")).cast("double").alias("mass")))
+                             F.col("size").cast("double").alias("mass")))
     alone = (F.col("p") <= 0) | (F.col("mass") <= 0)
     decided = [units.where(alone).withColumn("p", (uniform(seed, "alone", F.col("h")) < F.col("p")).cast("double"))]
     open_ = units.where(~alone)
     chunks = open_.groupBy("source").agg(F.ceil(F.count("*") / FAN_IN).cast("long").alias("chunks"))
     most = chunks.agg(F.max("chunks")).first()[0] or 0
-    level_units = open_.join(F.broadcast(chunks) if most == 0 else chunks, same(open_["source"], chunks["source"])).select(
+    level_units = open_.join(chunks, same(open_["source"], chunks["source"])).select(
         open_["*"], F.pmod("h", F.col("chunks")).alias("chunk")
     )
     levels = 1 + math.ceil(math.log(max(most, 1), FAN_IN)) if most else 0
@@ -125,11 +127,11 @@ def copies(
     docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", source_column: str = "source",
     weights: tuple[int, ...] = WEIGHTS, cap: int = CAP, seed: int = SEED,
 ) -> DataFrame:
-    """``(id, source, size, n, source_size, target, copies)``, one row per distinct id, source and size.
+    """``(id, source, size, n, source_size, target, copies, more)``, one row per distinct id, source and size.
 
-    ``size`` counts words (NULL text: 0), ``n`` the rows of ``docs`` that share the three values: they are
-    rounded together and each is taken ``copies`` times, at most ``cap``. A NULL id or source is a value
-    like any other; an empty table gives no rows; other columns of ``docs`` are not looked at.
+    ``size`` counts words (NULL text: 0), ``n`` the rows of ``docs`` that share the three values: ``more`` of
+    them are taken ``copies + 1`` times, the others ``copies`` times, at most ``cap``. A NULL id or source is a
+    value like any other; an empty table gives no rows; other columns of ``docs`` are not looked at.
     """
     sized = docs.select(
         F.col(f"`{id_column}`").alias("id"), F.col(f"`{source_column}`").alias("source"),
@@ -139,28 +141,59 @@ def copies(
     per_source = units.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("words"))
     targets = cut(source_targets(per_source, weights, cap))
     rate = F.when(targets["words"] > 0, F.col("target") / F.col("words")).otherwise(F.lit(0.0))
+    due = units["n"] * rate
     rated = units.join(targets, same(units["source"], targets["source"])).select(
-        units["*"], F.floor(rate).alias("whole"), (rate - F.floor(rate)).alias("p")
+        units["*"], F.floor(due).alias("whole"), (due - F.floor(due)).alias("p")
     )
     rounded = round_dependently(rated, seed)
+    total = F.col("whole") + F.col("extra")
     return rounded.join(targets, same(rounded["source"], targets["source"])).select(
         "id", rounded["source"], "size", "n", F.col("words").alias("source_size"), "target",
-        (F.col("whole") + F.col("extra")).alias("copies"),
+        F.floor(total / F.col("n")).alias("copies"), (total % F.col("n")).alias("more"),
     )
 
 
+def rows_taken(plan: DataFrame, at_once: int = 10_000) -> DataFrame:
+    """``copies`` spelled out: one row per row of the mixed table's input, with its own ``copies``."""
+    first = F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1, F.lit(at_once).cast("long")))
+    blocks = plan.withColumn("first", first)
+    count = F.least(F.col("n") - F.col("first"), F.lit(at_once)).cast("int")
+    rows = blocks.select("*", F.posexplode(F.array_repeat(F.lit(1), count)).alias("at", "_one"))
+    copies = F.col("copies") + (F.col("first") + F.col("at") < F.col("more")).cast("long")
+    return rows.withColumn("copies", copies).drop("first", "at", "_one", "n", "more")
+
+
 def mix(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", source_column: str = "source",
         weights: tuple[int, ...] = WEIGHTS, cap: int = CAP, seed: int = SEED) -> DataFrame:
-    """The mixed table: every row of ``docs``, with its columns, as often as the mix takes it."""
-    plan = copies(docs, id_column, text_column, source_column, weights, cap, seed).select(
+    """The mixed table: every row of ``docs``, with its columns, as often as the mix takes it.
+
+    Of rows that share id, source and size, those whose text hashes lowest get the additional copies.
+    """
+    plan = cut(copies(docs, id_column, text_column, source_column, weights, cap, seed).select(
         F.col("id").alias("_mix_id"), F.col("source").alias("_mix_source"), F.col("size").alias("_mix_size"),
-        F.col("copies").alias("_mix_copies"),
-    ).where("_mix_copies > 0")
-    sized = docs.withColumn("_size", F.size(words(F.col(f"`{text_column}`"))).cast("long"))
-    joined = sized.join(
-        plan,
-        same(sized[f"`{id_column}`"], plan["_mix_id"]) & same(sized[f"`{source_column}`"], plan["_mix_source"])
-        & (sized["_size"] == plan["_mix_size"]),
-    )
-    times = F.array_repeat(F.lit(1), F.col("_mix_copies").cast("int"))
-    return joined.withColumn("_mix_time", F.explode(times)).select(*[F.col(f"`{c}`") for c in docs.columns])
+        F.col("copies").alias("_mix_copies"), F.col("more").alias("_mix_more"), F.col("n").alias("_mix_n"),
+    ).where("_mix_copies > 0 OR _mix_more > 0"))
+    sized = docs.withColumn("_mix_words", F.size(words(F.col(f"`{text_column}`"))).cast("long"))
+
+    def planned(part: DataFrame) -> DataFrame:
+        return sized.join(
+            part,
+            same(sized[f"`{id_column}`"], part["_mix_id"]) & same(sized[f"`{source_column}`"], part["_mix_source"])
+            & (sized["_mix_words"] == part["_mix_size"]),
+        )
+
+    def repeated(rows: DataFrame, times: Column) -> DataFrame:
+        each = F.explode(F.array_repeat(F.lit(1), times.cast("int")))
+        return rows.withColumn("_mix_time", each).select(*[F.col(f"`{c}`") for c in docs.columns])
+
+    even = repeated(planned(plan.where("_mix_more = 0")), F.col("_mix_copies"))
+    uneven = plan.where("_mix_more > 0")
+    if uneven.isEmpty():
+        return even
+    # a group may be large, so its rows are numbered across tasks; the number before them is their rank
+    order = F.struct(F.xxhash64(F.col(f"`{text_column}`")).alias("h"), F.monotonically_increasing_id().alias("i"))
+    rows = cut(planned(uneven).withColumn("_mix_order", order))
+    group = F.to_json(F.struct("_mix_id", "_mix_source", "_mix_size"))
+    numbered = order_globally(rows, group, "_mix_order", prefix="_mix_")
+    more = (F.col("_mix_position") - F.col("_mix_rank") < F.col("_mix_more")).cast("long")
+    return even.unionByName(repeated(numbered, F.col("_mix_copies") + more))

@@ -37,10 +37,9 @@ def held_out(modulus: int, remainder: int):
 
 @query("op1_mix_sources")
 def op1(spark: SparkSession, folder: str) -> DataFrame:
-    plan = mixing.copies(table(spark, folder, "documents"))
-    row = F.explode(F.array_repeat(F.lit(1), F.col("n").cast("int")))
-    return plan.select(F.col("id").alias("doc_id"), "size", "source_size", "target",
-                       (F.col("size") * F.col("copies")).alias("taken"), row.alias("_")).drop("_")
+    rows = mixing.rows_taken(mixing.copies(table(spark, folder, "documents")))
+    return rows.select(F.col("id").alias("doc_id"), "size", "source_size", "target",
+                       (F.col("size") * F.col("copies")).alias("taken"))
 
 
 # The word pattern, as a list of characters that both engines read alike.

@@ -61,6 +61,30 @@ def test_mix_keeps_targets_and_caps(spark):
     assert again == {r["id"]: r["copies"] for r in plan}
 
 
+def test_mix_meets_targets_on_repeated_rows(spark):
+    """Rows without id and rows of one id, as a large part of a source, miss the target by under one document."""
+    rows = [(None, f"t{i} " + "w " * 9, "hot") for i in range(500)] + [(7, "same words again", "b")] * 301
+    rows += [(100 + i, "x " * (1 + i % 9), ("b", "c", None)[i % 3]) for i in range(200)]
+    docs = frame(spark, rows)
+    plan = mixing.copies(docs)
+    spelled = mixing.rows_taken(plan, 64).collect()
+    assert Counter((r.id, r.source, r["size"]) for r in spelled) == Counter((i, s, len(t.split())) for i, t, s in rows)
+    taken, target = Counter(), {r.source: r.target for r in spelled}
+    for r in spelled:
+        assert 0 <= r.copies <= 3
+        taken[r.source] += r.copies * r["size"]
+    assert all(abs(taken[s] - target[s]) <= 10 for s in target)
+    mixed = mixing.mix(docs)
+    assert mixed.columns == docs.columns
+    got = Counter((r.doc_id, r.text, r.source) for r in mixed.collect())
+    sums = Counter()
+    for (i, t, s), n in got.items():
+        sums[s] += n * len(t.split())
+    assert sums == taken
+    assert all(got[r] <= 3 * n for r, n in Counter(rows).items())
+    assert got == Counter((r.doc_id, r.text, r.source) for r in mixing.mix(frame(spark, rows[::-1])).collect())
+
+
 def test_mix_rounding_is_unbiased(spark):
     rows = spark.createDataFrame([(i, "s", 1 + i % 7, 1, 0, 0.1 + 0.8 * (i % 5) / 5) for i in range(40)],
                                  "id long, source string, size long, n long, whole long, p double")
