@@ -7,16 +7,16 @@ from pyspark.sql import functions as F
 
 from .. import adhoc
 from ..operators import extraction as ex
-from ..session import cut
+from ..session import cut, settings
 from ..sources import mail as ml
 from ..sources import records as rc
 from ..sources import warehouse as wh
 from ..streaming import intake as st
-from .documents import NUMBER_PATTERN, OWN_TAX_CODE, WITH_SLIP, rendered, slips
+from .documents import HEAD, NUMBER_PATTERN, OWN_TAX_CODE, WITH_SLIP, rendered, slips
 from .fact_overview import ACTIVITY_SQL, FACT_OUT
 from .intake import LINES_SQL
 from .registry import Registry
-from .star import AS_OF, EMAIL_LOG, FACT_SQL, ORDER_LINE, WITH_FACT, WITH_LOG, Warehouse, run_folder, select_list
+from .star import AS_OF, EMAIL_LOG, FACT_SQL, ORDER_LINE, WITH_FACT, WITH_LOG, Warehouse, run_folder, select_list, sql_select
 
 reg = Registry()
 
@@ -24,11 +24,41 @@ reg = Registry()
 # ------------------------------------------------------------------------------------------- sources
 
 
-# the folder is whatever holds the tables, so there is no SQL form
-@reg.plan("src_01_read_mail")
+# One mail per order, readable by both engines; every seventh has no attachment.
+_CRLF = "chr(13), chr(10)"
+_LINES = [
+    "'Message-ID: <', CAST(order_key AS STRING), '@mail>'", "'From: Dai ly <d', tax_code, '@example.com>'",
+    "'Subject: Dat hang ', so_text", "'MIME-Version: 1.0'", "'Content-Type: multipart/mixed; boundary=b1'", "''",
+    "'--b1'", "'Content-Type: text/plain; charset=utf-8'", "'Content-Transfer-Encoding: 8bit'", "''",
+    "'Khách hàng: ', buyer", "'--b1'",
+]
+_ATTACHED = [
+    "'Content-Type: application/pdf; name=don.pdf'", "'Content-Transfer-Encoding: base64'", "''",
+    "base64(CAST(so_text AS BINARY))", "'--b1--'",
+]
+ORDER_MAIL = {
+    "order_key": "order_key",
+    "name": "concat('mail_', CAST(order_key AS STRING))",
+    "text": f"concat({', '.join(f'{x}, {_CRLF}' for x in _LINES)}, CASE WHEN order_key % 7 = 0 THEN '--b1--' ELSE"
+    f" concat({f', {_CRLF}, '.join(_ATTACHED)}) END)",
+}
+ORDER_MAIL_SQL = f"WITH head AS ({sql_select(HEAD, 'orders')}), mail AS ({sql_select(ORDER_MAIL, 'head')})"
+
+
+def order_mails(w: Warehouse) -> DataFrame:
+    return w.view(HEAD, "orders").selectExpr(*select_list(ORDER_MAIL))
+
+
+@reg.plan(
+    "src_01_read_mail",
+    f"""{ORDER_MAIL_SQL} SELECT concat(name, '.eml') AS file_name, strlen(text) + 1 AS length,
+ md5(concat(text, chr(10))) AS digest FROM mail""",
+)
 def _(w: Warehouse):
-    files = ml.read_mail(w.spark, w.folder, "*.parquet")
-    return files.select(F.element_at(F.split("path", "/"), -1).alias("file_name"), "length").orderBy("file_name")
+    path = run_folder(w)
+    ml.write_mail(order_mails(w), path)
+    files = ml.stored_mail(ml.read_mail(w.spark, path, "*.txt", deep=True))
+    return files.select(F.element_at(F.split("path", "/"), -1).alias("file_name"), "length", F.md5("content").alias("digest"))
 
 
 def mail_files(w: Warehouse) -> DataFrame:
@@ -200,6 +230,26 @@ def _(w: Warehouse):
     return w.spark.read.parquet(f"{path}/out").groupBy("log_id").agg(F.count("*").alias("seen"))
 
 
+@reg.plan(
+    "str_01_new_mails",
+    """WITH head AS (SELECT * FROM (""" + sql_select(HEAD, "orders") + """))
+SELECT concat('mail_', order_key, '.eml') AS file_name, concat('<', order_key, '@mail>') AS message_id,
+ concat('d', tax_code, '@example.com') AS from_address, so_text AS so_number, buyer AS customer_name_raw,
+ CASE WHEN order_key % 7 <> 0 THEN so_text END AS attached,
+ CASE WHEN order_key % 7 = 0 THEN 'NO_PDF_ATTACHMENT' END AS error, 1::BIGINT AS seen FROM head""",
+)
+def _(w: Warehouse):
+    # mails arrive in two lots; the second run of the same checkpoint meets the first lot again
+    path = run_folder(w)
+    for lot in (0, 1):
+        ml.write_mail(order_mails(w).where(F.col("order_key") % 2 == lot), f"{path}/box")
+        mails = st.new_stored_mails(w.spark, f"{path}/box", NUMBER_PATTERN, per_batch=10_000)
+        st.to_folder(mails.drop("path"), f"{path}/out", f"{path}/checkpoint")
+    read = w.spark.read.parquet(f"{path}/out").withColumn("attached", F.decode("attachment", "utf-8"))
+    columns = ["file_name", "message_id", "from_address", "so_number", "customer_name_raw", "attached", "error"]
+    return read.groupBy(*columns).agg(F.count("*").alias("seen"))
+
+
 @reg.plan("str_02_drop_repeats", "SELECT event_id AS log_id, 1::BIGINT AS copies FROM events")
 def _(w: Warehouse):
     path = run_folder(w)
@@ -246,6 +296,24 @@ def _(w: Warehouse):
     return st.latest(w.spark, f"{path}/out", ["from_address"]).drop("ts")
 
 
+@reg.plan(
+    "str_05_expiring_status",
+    f"""{WITH_LOG} SELECT message_id, log_id * 2 + 1 AS log_id, processing_status,
+ strftime(received_at + INTERVAL 30 MINUTE, '%Y-%m-%d %H:%M:%S') AS at, 2::BIGINT AS changes FROM mail""",
+)
+def _(w: Warehouse):
+    # every mail is first pending, then in its state; both changes come twice
+    path = run_folder(w)
+    change = lambda status, ts, nth: F.struct(status.alias("processing_status"), ts.alias("ts"), (F.col("log_id") * 2 + nth).alias("log_id"))
+    first = change(F.lit("PENDING"), F.col("ts"), 0)
+    then = change(F.col("processing_status"), F.expr("ts + INTERVAL 30 MINUTES"), 1)
+    changes = event_stream(w).select("message_id", F.explode(F.array(then, first, then, first)).alias("c")).select("message_id", "c.*")
+    with settings(w.spark, st.STATE_ON_DISK):
+        st.to_folder(st.expiring_status(changes), f"{path}/out", f"{path}/checkpoint", "update")
+    last = st.latest(w.spark, f"{path}/out", ["message_id"])
+    return last.select("message_id", "log_id", "processing_status", F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("at"), "changes")
+
+
 # -------------------------------------------------------------------------------------------- ad hoc
 
 

@@ -6,6 +6,8 @@ import os
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -66,3 +68,22 @@ def cut(df: DataFrame) -> DataFrame:
     void = [f.name for f in df.schema.fields if isinstance(f.dataType, NullType)]
     df.withColumns({c: F.col(f"`{c}`").cast("string") for c in void}).write.parquet(path)
     return spark.read.schema(df.withColumns({c: F.lit(None).cast("string") for c in void}).schema).parquet(path)
+
+
+@contextmanager
+def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
+    """Session settings for what is planned or started inside."""
+    before = {k: spark.conf.get(k, None) for k in values}
+    for key, value in values.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def listing_tasks(spark: SparkSession) -> dict[str, str]:
+    """Many folders are listed in four tasks per shuffle partition, not in one per folder."""
+    tasks = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return {"spark.sql.sources.parallelPartitionDiscovery.parallelism": str(tasks)}

@@ -7,33 +7,46 @@ overwrites its own folder, so a lost executor or a restart never doubles rows.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from datetime import timedelta
 
+import pandas as pd
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupState
 
+from ..functions.text import ORDER_NUMBER
 from ..operators.fact import FACT_COLUMNS, Star, flatten
-from ..sources.mail import ingest_mail
+from ..session import cut, listing_tasks, settings
+from ..sources.mail import ingest_mail, stored_mail
+from ..sources.sales_store import PERIOD, in_months, months_of
 
 
-def mail_stream(spark: SparkSession, path: str, glob: str = "*.eml", per_batch: int = 1000) -> DataFrame:
-    """New mail files, each picked up once (the checkpoint remembers them)."""
+def mail_stream(spark: SparkSession, path: str, glob: str = "*.eml", per_batch: int = 1000, deep: bool = False) -> DataFrame:
+    """New mail files, each picked up once (the checkpoint remembers them); ``deep`` also below the folder."""
     schema = "path string, modificationTime timestamp, length bigint, content binary"
-    return (
-        spark.readStream.format("binaryFile")
-        .schema(schema)
-        .option("pathGlobFilter", glob)
-        .option("maxFilesPerTrigger", per_batch)
-        .load(path)
-    )
+    with settings(spark, listing_tasks(spark)):
+        return (
+            spark.readStream.format("binaryFile")
+            .schema(schema)
+            .option("pathGlobFilter", glob)
+            .option("maxFilesPerTrigger", per_batch)
+            .option("recursiveFileLookup", deep)
+            .load(path)
+        )
 
 
 def new_mails(spark: SparkSession, path: str) -> DataFrame:
     return ingest_mail(mail_stream(spark, path))
 
 
+def new_stored_mails(spark: SparkSession, path: str, pattern: str = ORDER_NUMBER, per_batch: int = 1000) -> DataFrame:
+    """New mails of a folder that ``write_mail`` fills."""
+    return ingest_mail(stored_mail(mail_stream(spark, path, "*.txt", per_batch, deep=True)), pattern)
+
+
 def drop_repeats(messages: DataFrame, time: str, delay: str, key: str = "message_id") -> DataFrame:
     """First copy of a message; copies arriving within the delay are dropped and state stays bounded."""
     return messages.withWatermark(time, delay).dropDuplicatesWithinWatermark([key])
@@ -61,6 +74,56 @@ def current_status(changes: DataFrame, key: str = "message_id") -> DataFrame:
     )
 
 
+FINISHED = ("LOADED", "FAILED")
+# for ``settings``: state lies in RocksDB, on the executors' disks instead of their heaps
+STATE_ON_DISK = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+}
+
+
+def expiring_status(
+    changes: DataFrame, key: str = "message_id", delay: str = "1 hour", keep: timedelta = timedelta(days=7),
+    stale: timedelta = timedelta(days=90), finished: tuple[str, ...] = FINISHED,
+) -> DataFrame:
+    """``current_status`` whose state stays bounded: ``(key, processing_status, ts, log_id, changes)`` in update mode.
+
+    A change that comes again counts once: a mail's state holds the ``log_id`` of its changes. The state of a
+    finished mail goes ``keep`` after its last change, that of any other ``stale`` after, both by the watermark.
+    Changes behind the watermark are dropped, so a replay of an expired mail adds nothing; a change that is
+    really newer opens the mail again, with its count from 1. Changes without key, time or id are dropped. The
+    largest ``(ts, log_id)`` is current, whatever the order of arrival. Meant for keys with few changes each.
+    """
+    kind = changes.schema[key].dataType.simpleString()
+
+    def follow(group: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
+        status, micros, log_id, seen = state.get if state.exists else (None, None, None, [])
+        known, best = set(seen), None if micros is None else (micros, log_id, status)
+        for part in parts:
+            known.update(part["log_id"].tolist())
+            for row in zip(part["micros"].tolist(), part["log_id"].tolist(), part["processing_status"]):
+                best = row if best is None or row[:2] > best[:2] else best
+        micros, log_id, status = best
+        state.update((status, micros, log_id, sorted(known)))
+        until = micros // 1000 + int((keep if status in finished else stale).total_seconds() * 1000)
+        state.setTimeoutTimestamp(max(until, state.getCurrentWatermarkMs() + 1))
+        yield pd.DataFrame({key: [group[0]], "processing_status": [status], "micros": [micros], "log_id": [log_id], "changes": [len(known)]})
+
+    rows = (
+        changes.select(key, "processing_status", "ts", F.col("log_id").cast("long").alias("log_id"))
+        .dropna(subset=[key, "ts", "log_id"])
+        .withWatermark("ts", delay)
+        .withColumn("micros", F.unix_micros(F.col("ts").cast("timestamp")))
+    )
+    current = rows.groupBy(key).applyInPandasWithState(
+        follow, f"`{key}` {kind}, processing_status string, micros long, log_id long, changes long",
+        "status string, micros long, log_id long, seen array<long>", "update", "EventTimeTimeout",
+    )
+    return current.select(key, "processing_status", F.timestamp_micros("micros").alias("ts"), "log_id", "changes")
+
+
 def to_folder(df: DataFrame, path: str, checkpoint: str, mode: str = "append") -> StreamingQuery:
     """Run over everything available, one replaceable folder per micro-batch, then stop.
 
@@ -83,8 +146,9 @@ def latest(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
 def append_facts(lines: DataFrame, star: Star, path: str, checkpoint: str) -> StreamingQuery:
     """Flatten newly validated lines and append those the fact folder does not hold yet.
 
-    Files lie under ``run=<checkpoint>/batch=<id>``. A replayed batch replaces its own folder; lines held by
-    any other batch, also of an earlier checkpoint, are not written again. Of lines with one id in a batch
+    Files lie under ``run=<checkpoint>/batch=<id>`` and there by month. A replayed batch replaces its own folder;
+    lines held by any other batch, also of an earlier checkpoint, are not written again. Stored keys are read
+    from the months of the batch's lines only, so an order must keep its month. Of lines with one id in a batch
     the largest, column by column, is taken, so a replay writes the same row.
     """
     run = f"r{hashlib.sha256(checkpoint.encode()).hexdigest()[:16]}"
@@ -92,34 +156,40 @@ def append_facts(lines: DataFrame, star: Star, path: str, checkpoint: str) -> St
     def write(batch: DataFrame, batch_id: int) -> None:
         rest = F.struct(*[c for c in batch.columns if c != "line_id"])
         single = batch.groupBy("line_id").agg(F.max(rest).alias("r")).select("line_id", "r.*").select(*batch.columns)
-        fresh = flatten(Star(**{**star.__dict__, "order_line": single}))
-        known = _existing(fresh.select("line_id"), path)
+        fresh = cut(flatten(Star(**{**star.__dict__, "order_line": single})).select(*FACT_COLUMNS))
+        known = stored_keys(fresh, path, months_of(fresh))
         if known is not None:
             other = (F.col("run") != run) | (F.col("batch") != batch_id)
             fresh = fresh.join(known.where(other).select("line_id"), "line_id", "left_anti")
-        fresh.select(*FACT_COLUMNS).write.mode("overwrite").parquet(f"{path}/run={run}/batch={batch_id}")
+        (
+            fresh.select(*FACT_COLUMNS).hint("rebalance", *PERIOD).write.mode("overwrite")
+            .option("partitionOverwriteMode", "static").partitionBy(*PERIOD).parquet(f"{path}/run={run}/batch={batch_id}")
+        )
 
     return _run(lines, write, checkpoint, "append")
 
 
-def _existing(keys: DataFrame, path: str) -> DataFrame | None:
-    """``(line_id, run, batch)`` of the stored facts; folders that a failed batch left without files hold none."""
-    schema = keys.schema.add("run", "string").add("batch", "long")
+def stored_keys(facts: DataFrame, path: str, months: list[tuple]) -> DataFrame | None:
+    """``(line_id, run, batch)`` stored in these months; folders that a failed batch left without files hold none."""
+    schema = facts.select("line_id", *PERIOD).schema.add("run", "string").add("batch", "long")
     try:
-        return keys.sparkSession.read.schema(schema).option("basePath", path).parquet(path)
+        stored = facts.sparkSession.read.schema(schema).option("basePath", path).parquet(path)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return None
+    return stored.where(in_months(months)).select("line_id", "run", "batch")
 
 
 def _run(df: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str, mode: str) -> StreamingQuery:
-    query = (
-        df.writeStream.outputMode(mode)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .foreachBatch(write)
-        .start()
-    )
+    # a stream keeps the settings it was started with
+    with settings(df.sparkSession, listing_tasks(df.sparkSession)):
+        query = (
+            df.writeStream.outputMode(mode)
+            .option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True)
+            .foreachBatch(write)
+            .start()
+        )
     query.awaitTermination()
     return query

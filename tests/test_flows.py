@@ -8,6 +8,7 @@ from orderloom.operators import audit as au
 from orderloom.operators import load as ld
 from orderloom.operators import resolve as rs
 from orderloom.plans.star import AS_OF, Warehouse
+from orderloom.session import settings
 from orderloom.sources import mail as ml
 from orderloom.sources import records as rc
 from orderloom.sources import warehouse as wh
@@ -114,6 +115,58 @@ def test_facts_restart_after_a_failed_first_batch(spark, tmp_path):
     assert facts == wanted
 
 
+def test_stored_mails(spark, tmp_path):
+    rows = [("a", "Message-ID: <a@x>\r\n\r\nKhách hàng: Minh Tân"), ("b BH26.0002/", "\n"), (None, None)]
+    mails = spark.createDataFrame(rows, "name string, text string")
+    ml.write_mail(mails, str(tmp_path / "box"))
+    files = ml.stored_mail(ml.read_mail(spark, str(tmp_path / "box"), "*.txt", deep=True))
+    got = {r.file_name: r for r in ml.ingest_mail(files).collect()}
+    assert set(got) == {"a.eml", "b_BH26.0002_.eml", "_.eml"}
+    assert (got["a.eml"].message_id, got["b_BH26.0002_.eml"].so_number) == ("<a@x>", "BH26.0002")
+    assert {bytes(r.content) for r in files.collect()} == {(t or "").encode() + b"\n" for _, t in rows}
+
+
+def test_facts_of_a_batch_are_compared_with_its_months(spark, tmp_path):
+    w = Warehouse(spark, SMALL)
+    source, path = str(tmp_path / "lines"), str(tmp_path / "fact")
+    w.order_line.write.parquet(source)
+    stream = spark.readStream.schema(w.order_line.schema).parquet(source)
+    st.append_facts(stream, w.star, path, str(tmp_path / "c"))
+    facts = spark.read.parquet(path)
+    months = [(1995, 1, 2), (1996, 4, 11)]
+    keys = st.stored_keys(facts, path, months)
+    wanted = facts.where("(fiscal_year, fiscal_month) IN ((1995, 2), (1996, 11))")
+    assert sorted(r.line_id for r in keys.collect()) == sorted(r.line_id for r in wanted.select("line_id").collect())
+    plan = keys._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [((" in plan and "fiscal_month" in plan.split("PartitionFilters")[1]
+
+
+def test_state_of_finished_mails_expires(spark, tmp_path):
+    source, out = str(tmp_path / "changes"), str(tmp_path / "out")
+    schema = "message_id string, processing_status string, ts timestamp, log_id long"
+    day = lambda d, h=0: datetime.datetime(2026, 1, d, h)
+
+    def run(*rows):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(source)
+        changes = spark.readStream.schema(schema).parquet(source)
+        with settings(spark, st.STATE_ON_DISK):
+            query = st.to_folder(st.expiring_status(changes), out, str(tmp_path / "c"), "update")
+        rows = {r.message_id: (r.processing_status, r.ts, r.changes) for r in st.latest(spark, out, ["message_id"]).collect()}
+        return rows, query.lastProgress.stateOperators[0].numRowsTotal
+
+    first = [("a", "PENDING", day(1), 1), ("a", "LOADED", day(1, 5), 2), ("b", "PENDING", day(1), 3), (None, "LOADED", day(1), 4)]
+    assert run(*first, first[0], ("c", "LOADED", None, 5)) == ({"a": ("LOADED", day(1, 5), 2), "b": ("PENDING", day(1), 1)}, 2)
+    # out of order and again, within the delay: the later change stays current, a repeated one counts once
+    rows, n = run(("a", "VALIDATED", day(1, 4) + datetime.timedelta(minutes=30), 6), first[1])
+    assert rows["a"] == ("LOADED", day(1, 5), 3) and n == 2
+    # a mail eight days later lets the finished one go, the open one stays
+    rows, n = run(("d", "PENDING", day(10), 7))
+    assert n == 2 and rows["a"] == ("LOADED", day(1, 5), 3)
+    # a replay of the expired mail is behind the watermark: dropped, nothing is opened again
+    rows, n = run(first[1], ("b", "LOADED", day(10, 1), 8))
+    assert rows["a"] == ("LOADED", day(1, 5), 3) and rows["b"] == ("LOADED", day(10, 1), 2) and n == 2
+
+
 def test_export_is_read_by_its_exact_name(spark, tmp_path):
     a, b = spark.range(3), spark.range(10, 15)
     wh.export_csv({"product": a, "product_line": b}, str(tmp_path))
