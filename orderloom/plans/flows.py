@@ -13,7 +13,7 @@ from ..sources import records as rc
 from ..sources import warehouse as wh
 from ..streaming import intake as st
 from .documents import HEAD, NUMBER_PATTERN, OWN_TAX_CODE, WITH_SLIP, rendered, slips
-from .fact_overview import ACTIVITY_SQL, FACT_OUT
+from .fact_overview import ACTIVITY_SQL, FACT_OUT, KPI_LOG
 from .intake import LINES_SQL
 from .registry import Registry
 from .star import AS_OF, EMAIL_LOG, FACT_SQL, ORDER_LINE, WITH_FACT, WITH_LOG, Warehouse, run_folder, select_list, sql_select
@@ -329,6 +329,36 @@ def _(w: Warehouse):
     )
 
 
+@reg.plan(
+    "sql_01_named_views_all",
+    f"""{WITH_FACT}, {WITH_LOG.removeprefix('WITH ')}, k AS ({KPI_LOG})
+SELECT 'group' AS part, group_name AS name, count(DISTINCT line_id_fk) AS n, sum(line_total)::DOUBLE AS value FROM fact GROUP BY group_name
+UNION ALL SELECT 'region', region, count(DISTINCT so_number), sum(line_total)::DOUBLE FROM fact GROUP BY region
+UNION ALL SELECT 'month', concat(fiscal_year, '-', fiscal_month), count(DISTINCT so_number), sum(line_total)::DOUBLE
+ FROM fact GROUP BY fiscal_year, fiscal_month
+UNION ALL SELECT 'status', processing_status, count(*), NULL FROM mail GROUP BY processing_status
+UNION ALL SELECT 'loaded', NULL, loaded_ok, pass_rate_pct FROM k""",
+)
+def _(w: Warehouse):
+    adhoc.register_views(w.spark, w.snowflake, AS_OF, w.email_log, w.fact())
+    return w.spark.sql("""
+WITH groups AS (
+  SELECT g.group_name, p.line_id, sum(l.line_total) AS value
+  FROM order_line l JOIN sales_order USING (order_id) JOIN customer USING (customer_code)
+  JOIN product p USING (product_code) LEFT JOIN product_line pl ON pl.line_id = p.line_id
+  LEFT JOIN product_group g ON g.group_code = pl.group_code
+  GROUP BY g.group_name, p.line_id),
+regions AS (
+  SELECT region, so_number, sum(line_total) AS value FROM fact_sales GROUP BY region, so_number)
+SELECT 'group' AS part, group_name AS name, count(line_id) AS n, CAST(sum(value) AS DOUBLE) AS value FROM groups GROUP BY group_name
+UNION ALL SELECT 'region', region, count(so_number), CAST(sum(value) AS DOUBLE) FROM regions GROUP BY region
+UNION ALL SELECT 'month', concat(fiscal_year, '-', fiscal_month), sum(order_count), CAST(sum(total_revenue) AS DOUBLE) FROM (
+  SELECT fiscal_year, fiscal_month, count(DISTINCT so_number) AS order_count, sum(line_total) AS total_revenue
+  FROM fact_sales GROUP BY fiscal_year, fiscal_month) GROUP BY fiscal_year, fiscal_month
+UNION ALL SELECT 'status', processing_status, count(*), NULL FROM email_log GROUP BY processing_status
+UNION ALL SELECT 'loaded', NULL, loaded_ok, pass_rate_pct FROM v_email_processing_kpi""")
+
+
 @reg.plan(
     "sql_02_run_select",
     f"""{WITH_FACT} SELECT customer_code, sum(line_total)::DOUBLE AS revenue FROM fact GROUP BY customer_code

@@ -189,6 +189,21 @@ def test_corrupt_json_is_kept(spark, tmp_path):
     assert got.where("_corrupt_record IS NOT NULL").count() == 1
 
 
+def test_every_column_of_the_views_has_a_note(spark):
+    w = Warehouse(spark, SMALL)
+    for star in (w.star, w.snowflake):
+        names = adhoc.register_views(spark, star, AS_OF, w.email_log, w.fact())
+        assert set(names) == set(adhoc.VIEW_NOTES)
+        notes = adhoc.schema_notes(spark, names).collect()
+        assert not [(r.view, r.column) for r in notes if not r.note or not r.view_note]
+    for name in names:
+        spark.table(name).limit(1).collect()
+    assert spark.sql("DESCRIBE product").where("col_name = 'color'").first().comment == "colour of the article"
+    own = adhoc.documented(spark.range(1).withMetadata("id", {"comment": "mine"}), {"id": "ours"})
+    assert own.schema["id"].metadata["comment"] == "mine"
+    assert "email_log" not in adhoc.register_views(spark, w.star, AS_OF)
+
+
 def test_adhoc_guard(spark):
     adhoc.register_views(spark, Warehouse(spark, SMALL).star, AS_OF)
     for text in ("WITH x AS (SELECT 1) SELECT * FROM x", "DROP VIEW fact_sales", "selection"):
