@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -20,8 +22,12 @@ CODE_FORMAT = "KH-%05d"
 CODE_PATTERN = r"^KH-\d+$"
 NEW_TIER = "STANDARD"
 
+# Links that one task goes through in order of arrival; the names among them are held in its memory.
+LINKS_PER_TASK = 200_000
+
 _GRAM = 3
 _SALTS = 8
+_FOLLOWS, _LEADS, _OPEN = 0, 1, 2
 
 
 def match_tax(orders: DataFrame, customer: DataFrame) -> DataFrame:
@@ -121,30 +127,93 @@ def _by_rarity(grams: DataFrame, key: str, frequency: DataFrame) -> DataFrame:
     return grams.join(frequency, "gram", "left").withColumn("r", F.row_number().over(order)).drop("df")
 
 
-def _nearly_contained(ranked: DataFrame, slack: float) -> DataFrame:
-    """Grams one of which every name holding nearly all words of this one must share.
+def _whole_words(names: DataFrame, name: str) -> DataFrame:
+    """``(id, name, len, word)``: distinct words of a name, ``len`` as for grams."""
+    words = _words(name)
+    return names.select(
+        F.xxhash64(name).alias(f"{name}_id"),
+        name,
+        F.length(F.array_join(words, " ")).alias("len"),
+        F.explode(words).alias("word"),
+    )
+
+
+def _nearly_contained(words: DataFrame, key: str, frequency: DataFrame, slack: float) -> DataFrame:
+    """Words one of which every name holding nearly all words of this one must share, the rarest first.
 
-    With ``x`` characters outside the shared words (one of them a blank), ``x <= (1-t)(2n-x)``, and every
-    other of these characters costs one gram.
+    With ``x`` characters outside the shared words (each such word with one blank), ``x <= (1-t)(2n-x)``: words
+    that together are longer than that cannot all be outside.
     """
-    outside = F.floor(2 * F.col("len") * slack / (1 + slack) + 1e-9).cast("int")
-    return ranked.where(F.col("r") <= F.greatest(outside - 1, F.lit(0)) + 1)
+    order = Window.partitionBy(key).orderBy(F.coalesce("df", F.lit(0)), "word")
+    before = F.coalesce(F.sum(F.length("word") + 1).over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    outside = F.floor(2 * F.col("len") * slack / (1 + slack) + 1e-9)
+    return words.join(frequency, "word", "left").withColumn("_before", before).where(F.col("_before") <= outside)
+
+
+def _edits(n: Column | str, m: Column | str, slack: float) -> Column:
+    """Most characters deleted or inserted between names of these lengths; deletions exceed insertions by ``n-m``."""
+    edits = F.floor((F.col(n) + F.col(m)) * slack + 1e-9).cast("int")
+    return edits - F.pmod(edits - (F.col(n) - F.col(m)), F.lit(2))
+
+
+def _one_change(edits: Column) -> Column:
+    """At most one character is deleted and at most one inserted; such pairs meet by ``_shortened``."""
+    return (edits <= 2) & (F.abs(F.col("len") - F.col("other_len")) <= 1)
 
 
 def _nearly_equal(ranked: DataFrame, slack: float) -> DataFrame:
     """Per length ``m`` of a partner: grams one of which a partner of that length must share.
 
-    At most ``e = (1-t)(n+m)`` characters are deleted or inserted, of which deletions exceed insertions by
-    ``n-m``. A deletion spoils at most three grams of this name, an insertion at most two.
+    At most ``e = (1-t)(n+m)`` characters are deleted or inserted. A deletion spoils at most three grams of
+    this name, an insertion at most two.
     """
     n, m = F.col("len"), F.col("other_len")
     reach = F.floor(2 * n * slack / (1 - slack) + 1e-9).cast("int")
     lengths = F.sequence(F.greatest(n - reach, F.lit(1)), n + reach)
-    edits = F.floor((n + m) * slack + 1e-9).cast("int")
-    edits = edits - F.pmod(edits - (n - m), F.lit(2))
+    edits = _edits("len", "other_len", slack)
     spoiled = F.floor((3 * (edits + n - m) + 2 * (edits - n + m)) / 2)
     return ranked.withColumn("other_len", F.explode(lengths)).where(
-        (edits >= F.abs(n - m)) & (F.col("r") <= spoiled + 1)
+        (edits >= F.abs(n - m)) & ~_one_change(edits) & (F.col("r") <= spoiled + 1)
+    )
+
+
+def _shortened(names: DataFrame, name: str, slack: float) -> DataFrame:
+    """``(id, form)``: a name as it is and with any one character less, as a hash of its sorted words.
+
+    Two names that differ by one deleted and one inserted character, or by one of them, share a form however
+    alike all other names are: a form belongs to no more names than there are places and letters to insert.
+    The blank between any two words may be the lost character, because which words lie side by side depends
+    on the other name. Only names short enough for so few edits have forms; longer ones meet by grams.
+    """
+    w = _words(name)
+    line = lambda words: F.array_join(F.array_sort(F.filter(words, lambda x: x != "")), " ")
+    others = lambda x: F.array_except("_w", F.array(x))
+    less = F.flatten(
+        F.transform(
+            "_w",
+            lambda x: F.transform(
+                F.sequence(F.lit(1), F.length(x)),
+                lambda i: line(
+                    F.concat(others(x), F.array(F.concat(F.substring(x, F.lit(1), i - 1), F.substring(x, i + 1, F.length(x)))))
+                ),
+            ),
+        )
+    )
+    glued = F.flatten(
+        F.transform(
+            "_w",
+            lambda x: F.transform(
+                F.filter("_w", lambda y: y > x),
+                lambda y: line(F.concat(F.array_except("_w", F.array(x, y)), F.array(F.concat(x, y)))),
+            ),
+        )
+    )
+    short = (2 * F.length(F.array_join("_w", " ")) - 1) * slack < 4
+    forms = F.array_distinct(F.concat(F.array(line(F.col("_w"))), less, glued))
+    return (
+        names.select(F.xxhash64(name).alias(f"{name}_id"), w.alias("_w"))
+        .where(short & (F.size("_w") > 0))
+        .select(f"{name}_id", F.explode(F.transform(forms, lambda x: F.xxhash64(x))).alias("form"))
     )
 
 
@@ -161,20 +230,26 @@ def _sharing(rare: DataFrame, every: DataFrame, other: str, on: list[str]) -> Da
 def similar_names(left: DataFrame, right: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """Pairs ``(a, b, score)`` of distinct names scoring at least ``threshold``.
 
-    ``left`` has column ``a``, ``right`` column ``b``. Candidates share a gram that is among the rarest of
-    one of the two, so words that nearly every name holds do not bring names together. How many of the
-    rarest are needed follows from the threshold; no pair is missed.
+    ``left`` has column ``a``, ``right`` column ``b``. Candidates come in three ways, which together miss no
+    pair: one holds nearly all words of the other (a rare whole word is shared), they differ by one character
+    deleted and one inserted (a shortened form is shared), or by more (a rare gram is shared). How many of
+    the rarest words or grams are needed follows from the threshold.
     """
     names_a, names_b = left.select("a").distinct(), right.select("b").distinct()
+    slack = 1 - threshold / 100
     a, b = _grams(names_a, "a"), _grams(names_b, "b")
     frequency = b.groupBy("gram").agg(F.count("*").alias("df"))
-    slack = 1 - threshold / 100
-    ranked_a, ranked_b = _by_rarity(a, "a", frequency), _by_rarity(b, "b", frequency)
     by_length = b.select("b_id", "gram", F.col("len").alias("other_len"))
+    equal = _nearly_equal(_by_rarity(a, "a", frequency), slack).select("a_id", "gram", "other_len")
+    words_a, words_b = _whole_words(names_a, "a"), _whole_words(names_b, "b")
+    common = words_b.groupBy("word").agg(F.count("*").alias("df"))
+    rare_a = _nearly_contained(words_a, "a", common, slack).select("a_id", "word")
+    rare_b = _nearly_contained(words_b, "b", common, slack).select("b_id", "word")
     ids = (
-        _sharing(_nearly_equal(ranked_a, slack).select("a_id", "gram", "other_len"), by_length, "b_id", ["gram", "other_len"])
-        .union(_sharing(_nearly_contained(ranked_a, slack).select("a_id", "gram"), b.select("b_id", "gram"), "b_id", ["gram"]))
-        .union(_sharing(_nearly_contained(ranked_b, slack).select("b_id", "gram"), a.select("a_id", "gram"), "a_id", ["gram"]))
+        _sharing(equal, by_length, "b_id", ["gram", "other_len"])
+        .union(_sharing(rare_a, words_b.select("b_id", "word"), "b_id", ["word"]))
+        .union(_sharing(rare_b, words_a.select("a_id", "word"), "a_id", ["word"]))
+        .union(_shortened(names_a, "a", slack).join(_shortened(names_b, "b", slack), "form").select("a_id", "b_id"))
         .distinct()
     )
     with_id = lambda names, k: names.select(F.xxhash64(k).alias(f"{k}_id"), k)
@@ -182,6 +257,37 @@ def similar_names(left: DataFrame, right: DataFrame, threshold: float = THRESHOL
     return score_pairs(pairs.select("a", "b"), threshold)
 
 
+def best_matches(names: DataFrame, customer: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """Per normalised name ``a`` with a similar dealer: ``(a, customer_code, score, runner_up)``.
+
+    Equal scores go to the smallest dealer code; of dealers with the same name the highest code stands.
+    """
+    known = (
+        customer.select("customer_code", normalize_name(F.col("customer_name")).alias("b"))
+        .where("b <> ''")
+        .groupBy("b")
+        .agg(F.max_by("customer_code", code_order("customer_code")).alias("code"), F.min("customer_code").alias("first_code"))
+    )
+    scored = similar_names(names.select("a").where("a <> ''"), known.select("b"), threshold).join(known, "b")
+    by_score = Window.partitionBy("a").orderBy(F.desc("score"), "first_code")
+    two = scored.withColumn("r", F.row_number().over(by_score)).where("r <= 2")
+    return two.groupBy("a").agg(
+        F.max(F.when(F.col("r") == 1, F.col("code"))).alias("customer_code"),
+        F.max("score").alias("score"),
+        F.max(F.when(F.col("r") == 2, F.col("score"))).alias("runner_up"),
+    )
+
+
+def match_fuzzy(orders: DataFrame, customer: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """``orders`` (column ``clean_name``) with the best similar dealer, its score and the runner-up score.
+
+    Names are compared once however often they occur.
+    """
+    asked = orders.withColumn("_a", normalize_name(F.col("clean_name")))
+    best = best_matches(asked.select(F.col("_a").alias("a")), customer, threshold)
+    return asked.join(best.withColumnRenamed("a", "_a"), "_a", "left").drop("_a")
+
+
 def match_fuzzy(orders: DataFrame, customer: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """``orders`` (column ``clean_name``) with the best similar dealer, its score and the runner-up score.
 
@@ -247,86 +353,125 @@ def dealer_key():
     return F.coalesce(F.concat(F.lit("tax:"), tax), F.concat(F.lit("name:"), name))
 
 
-def leaders(nodes: DataFrame, links: DataFrame) -> DataFrame:
-    """Which new names found a dealer when names arrive one after another.
-
-    ``nodes`` are ``(name, seq)``, ``links`` are ``(name, earlier, score)`` with ``earlier`` before ``name``. A
-    name joins the best earlier *leader* it is linked to, and leads when there is none. Names whose earlier
-    neighbours are all settled are settled together; the number of rounds is the longest chain of links.
-    Returns ``(name, leader)``.
+def _sweep(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Names of one range in order of arrival: settled as far as the earlier names are known."""
+    led: dict[str, int] = {}
+    name, state = None, _FOLLOWS
+
+    def settled() -> list[tuple[str, bool]]:
+        if name is None or state == _OPEN:
+            return []
+        led[name] = _FOLLOWS if state == _LEADS else _LEADS
+        return [(name, led[name] == _LEADS)]
+
+    for batch in batches:
+        out = []
+        for this, earlier, known in zip(batch["name"], batch["earlier"], batch["leads"]):
+            if this != name:
+                out += settled()
+                name, state = this, _FOLLOWS
+            if state != _LEADS:
+                # a leader among the earlier names decides, whatever the others turn out to be
+                now = known if known != _OPEN else led.get(earlier, _OPEN)
+                state = now if now != _FOLLOWS else state
+        yield pd.DataFrame(out, columns=["name", "leads"])
+    yield pd.DataFrame(settled(), columns=["name", "leads"])
+
+
+def leading(links: DataFrame, links_per_task: int = LINKS_PER_TASK) -> DataFrame:
+    """Which names lead when names arrive one after another: ``(name, leads)`` for every ``name`` in ``links``.
+
+    ``links`` are ``(name, seq, earlier)``: ``earlier`` came before ``name``, which came as number ``seq``. A name leads
+    unless a leader is among its earlier names; a name without links leads and is not returned.
+
+    The links lie in ranges of ``seq``, about ``links_per_task`` in a task. A task goes through its range in order
+    and settles every name whose earlier names are settled, be it elsewhere before or just now in this range,
+    or one of whose earlier names leads. What stays open goes into the next round. Earlier names lie in the
+    same range or one before, so a round finishes at least the first open range: there are never more rounds
+    than ranges, however long a chain of links is, and one round where the links fit into one range.
     """
-    state = cut(nodes.withColumns({"leader": F.lit(None).cast("string"), "settled": F.lit(False)}))
-    edges = cut(links)
-    while state.where("NOT settled").limit(1).count():
-        seen = state.select(
-            F.col("name").alias("earlier"), F.col("leader").alias("l"), F.col("settled").alias("s"),
-            F.col("seq").alias("earlier_seq"),
-        )
-        view = edges.join(seen, "earlier").groupBy("name").agg(
-            F.bool_and("s").alias("ready"),
-            F.min_by(
-                F.when(F.col("l") == F.col("earlier"), F.col("earlier")),
-                F.when(F.col("l") == F.col("earlier"), F.struct(-F.col("score"), "earlier_seq")),
-            ).alias("target"),
-        )
-        ready = ~F.col("settled") & F.coalesce("ready", F.lit(True))
-        state = cut(
-            state.join(view, "name", "left").select(
-                "name",
-                "seq",
-                F.when(ready, F.coalesce("target", "name")).otherwise(F.col("leader")).alias("leader"),
-                (F.col("settled") | ready).alias("settled"),
-            )
+    heads = links.select(F.col("name").alias("earlier")).distinct().withColumn("_waits", F.lit(True))
+    state = F.when(F.col("_waits"), _OPEN).otherwise(_LEADS)
+    rest = cut(links.join(heads, "earlier", "left").select("name", "seq", "earlier", state.alias("leads")))
+    done = None
+    while True:
+        tasks = max(1, -(-rest.count() // links_per_task))
+        ranges = rest.repartitionByRange(tasks, "seq", "name").sortWithinPartitions("seq", "name")
+        swept = cut(ranges.mapInPandas(_sweep, "name string, leads boolean"))
+        done = swept if done is None else done.unionByName(swept)
+        if tasks == 1:
+            return done
+        now = swept.select(F.col("name").alias("earlier"), F.when(F.col("leads"), _LEADS).otherwise(_FOLLOWS).alias("_now"))
+        rest = cut(
+            rest.join(swept.select("name"), "name", "left_anti")
+            .join(now, "earlier", "left")
+            .select("name", "seq", "earlier", F.coalesce("_now", "leads").alias("leads"))
         )
-    return state.select("name", "leader")
 
 
-def resolve_batch(orders: DataFrame, customer: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFrame, DataFrame]:
-    """Resolve a batch ``(log_id, tax_code, clean_name, address)``.
+def resolve_batch(
+    orders: DataFrame, customer: DataFrame, threshold: float = THRESHOLD, links_per_task: int = LINKS_PER_TASK
+) -> tuple[DataFrame, DataFrame]:
+    """Resolve a batch ``(log_id, tax_code, clean_name, address)`` as if its orders came one after another.
 
-    Returns the orders with ``customer_code`` and the dealers to add. Orders without tax code may match a
-    dealer that an earlier order of the same batch creates.
+    Returns the orders with ``customer_code`` and the dealers to add. An order without tax code goes to the most
+    similar dealer there is when it comes, stored or created by an earlier order of the batch; equal scores go
+    to stored dealers first, then to the one created first. It creates a dealer when none is similar enough.
     """
     named = orders.withColumn("clean_name", F.coalesce("clean_name", F.lit(WALK_IN)))
     has_tax = F.coalesce(F.col("tax_code") != "", F.lit(False))
     by_tax = match_tax(named, customer.select("customer_code", "tax_code"))
     hit_tax = by_tax.where(has_tax & F.col("customer_code").isNotNull())
     rest_tax = by_tax.where(has_tax & F.col("customer_code").isNull()).drop("customer_code")
-    fuzzy = match_fuzzy(by_tax.where(~has_tax).drop("customer_code"), customer, threshold)
-    hit_name = fuzzy.where("customer_code IS NOT NULL").drop("score", "runner_up")
-    rest_name = fuzzy.where("customer_code IS NULL").drop("customer_code", "score", "runner_up")
+    by_name = by_tax.where(~has_tax).drop("customer_code").withColumn("n", normalize_name(F.col("clean_name")))
 
-    # names in order of arrival: dealers created by tax code lead from the start
+    names = cut(by_name.groupBy("n").agg(F.min("log_id").alias("seq")))
+    found = cut(best_matches(names.select(F.col("n").alias("a")), customer, threshold).withColumnRenamed("a", "n"))
+    fresh = names.join(found, "n", "left_anti")
+    # dealers created by tax code lead from the start; of several with one name the first stands for all
     tax_new = (
-        rest_tax.groupBy("tax_code")
-        .agg(F.min_by("clean_name", "log_id").alias("clean_name"), F.min("log_id").alias("seq"))
-        .select(F.concat(F.lit("tax:"), "tax_code").alias("key"), normalize_name(F.col("clean_name")).alias("n"), "seq")
-    )
-    name_new = (
-        rest_name.withColumn("n", normalize_name(F.col("clean_name")))
+        rest_tax.select("tax_code", "log_id", normalize_name(F.col("clean_name")).alias("n"))
+        .groupBy("tax_code")
+        .agg(F.min_by("n", "log_id").alias("n"), F.min("log_id").alias("seq"))
         .groupBy("n")
-        .agg(F.min("log_id").alias("seq"))
-        .select(F.concat(F.lit("name:"), "n").alias("key"), "n", "seq")
+        .agg(F.min_by(F.concat(F.lit("tax:"), "tax_code"), F.struct("seq", "tax_code")).alias("key"), F.min("seq").alias("seq"))
     )
-    known = tax_new.unionByName(name_new)
-    asked = name_new.select(F.col("key").alias("name"), F.col("n").alias("a"), F.col("seq").alias("asked_seq"))
-    pairs = similar_names(asked.select("a").where("a <> ''"), known.select(F.col("n").alias("b")).where("b <> ''"), threshold)
-    links = (
-        pairs.join(asked, "a")
-        .join(known.select(F.col("key").alias("earlier"), F.col("n").alias("b"), F.col("seq").alias("e_seq")), "b")
-        .where("e_seq < asked_seq")
-        .select("name", "earlier", "score")
+    known = tax_new.unionByName(fresh.select("n", F.concat(F.lit("name:"), "n").alias("key"), "seq"))
+    known = cut(known.select(F.col("n").alias("b"), F.col("key").alias("leader"), F.col("seq").alias("lead_seq")))
+    pairs = similar_names(names.select(F.col("n").alias("a")).where("a <> ''"), known.select("b").where("b <> ''"), threshold)
+    links = cut(pairs.join(known, "b").select(F.col("a").alias("n"), "score", "leader", "lead_seq"))
+    before = links.join(fresh, "n").where("lead_seq < seq")
+    state = leading(before.select(F.concat(F.lit("name:"), "n").alias("name"), "seq", F.col("leader").alias("earlier")), links_per_task)
+
+    # per name one candidate for every score, so a list stays short however many dealers are similar
+    created_ones = (
+        links.join(state.where("NOT leads").select(F.col("name").alias("leader")), "leader", "left_anti")
+        .groupBy("n", "score")
+        .agg(F.min(F.struct("lead_seq", "leader")).alias("first"))
+        .select("n", "score", "first.lead_seq", "first.leader", F.lit(None).cast("string").alias("code"))
     )
-    lead = leaders(known.select(F.col("key").alias("name"), "seq"), links)
-
-    unmatched = rest_tax.unionByName(rest_name).withColumn("dealer_key", dealer_key())
-    settled = unmatched.join(lead.withColumnRenamed("name", "dealer_key"), "dealer_key", "left").withColumn(
-        "leader", F.coalesce("leader", "dealer_key")
+    stored_ones = found.select(
+        "n", "score", F.lit(None).cast("bigint").alias("lead_seq"), F.lit(None).cast("string").alias("leader"),
+        F.col("customer_code").alias("code"),
+    )
+    stored_first = F.when(F.col("code").isNotNull(), 1).otherwise(0)
+    options = (
+        created_ones.unionByName(stored_ones)
+        .groupBy("n")
+        .agg(F.collect_list(F.struct("score", stored_first.alias("stored"), (-F.col("lead_seq")).alias("age"), "leader", "code")).alias("options"))
     )
+    there = F.filter("options", lambda x: (x["stored"] == 1) | (-x["age"] < F.col("log_id")))
+    chosen = by_name.join(options, "n", "left").withColumn("pick", F.array_max(there)).withColumn("customer_code", F.col("pick.code"))
+    hit_name = chosen.where("customer_code IS NOT NULL")
+    rest_name = chosen.where("customer_code IS NULL").withColumn("leader", F.col("pick.leader"))
+
+    raw = ["log_id", "tax_code", "clean_name", "address"]
+    unmatched = rest_tax.withColumn("leader", F.lit(None).cast("string")).select(*raw, "leader").unionByName(rest_name.select(*raw, "leader"))
+    settled = unmatched.withColumn("dealer_key", dealer_key()).withColumn("leader", F.coalesce("leader", "dealer_key"))
     creators = settled.where("leader = dealer_key").drop("leader", "dealer_key")
     created = new_customers(creators, customer)
     codes = created.select(F.col("dealer_key").alias("leader"), "customer_code")
-    keep = ["log_id", "tax_code", "clean_name", "address", "customer_code"]
+    keep = [*raw, "customer_code"]
     resolved = (
         hit_tax.select(*keep)
         .unionByName(hit_name.select(*keep))

@@ -165,8 +165,63 @@ def test_batch_resolution_equals_one_by_one(spark):
     resolved, created = rs.resolve_batch(o, c)
     got = {r.log_id: r.customer_code for r in resolved.collect()}
     assert len(got) == 60 and created.count() == nxt - 4
-    # a name may fit two dealers equally well; everything else must agree
-    assert sum(got[i] != want[i] for i in want) <= 2
+    assert got == want
+
+
+def test_digit_names_find_the_same_best_two_as_brute_force(spark):
+    rnd = random.Random(5)
+    right = [f"dai ly {rnd.randrange(10**4):06d}" for _ in range(120)] + [f"{rnd.randrange(10**3):05d}" for _ in range(60)]
+    left = right[::3] + [x[:-1] for x in right[::4]] + [x[:3] + x[4:] + "7" for x in right[::5]]
+    dealers = spark.createDataFrame([(f"KH-{i:05d}", x) for i, x in enumerate(right)], "customer_code string, customer_name string")
+    names = spark.createDataFrame([(x,) for x in sorted(set(left))], "a string")
+    got = {r.a: (round(r.score, 6), r.runner_up and round(r.runner_up, 6)) for r in rs.best_matches(names, dealers, 80).collect()}
+    want = {}
+    for x in set(left):
+        top = sorted((round(score(x, y), 6) for y in set(right) if score(x, y) >= 80), reverse=True)[:2]
+        if top:
+            want[x] = (top[0], top[1] if len(top) > 1 else None)
+    assert got == want
+
+
+def leading_by_hand(links):
+    earlier = {}
+    for name, _, other in links:
+        earlier.setdefault(name, []).append(other)
+    led = {}
+    for name in sorted(earlier):
+        led[name] = not any(led.get(x, True) for x in earlier[name])
+    return led
+
+
+@pytest.mark.parametrize("per_task", [7, 100_000])
+def test_leaders_equal_those_found_one_by_one(spark, per_task):
+    rnd = random.Random(per_task)
+    name = "n{:04d}".format
+    links = [(name(i), i, name(j)) for i in range(1, 40) for j in rnd.sample(range(i), min(i, rnd.randint(0, 3)))]
+    links += [(name(i), i, name(100)) for i in range(101, 130)] + [(name(i), i, name(129)) for i in range(130, 140)]
+    got = rs.leading(spark.createDataFrame(links, "name string, seq long, earlier string"), per_task).collect()
+    assert len(got) == len({x for x, _, _ in links})
+    assert {r.name: r.leads for r in got} == leading_by_hand(links)
+
+
+def test_a_long_chain_takes_few_jobs(spark):
+    links = [(f"n{i:05d}", i, f"n{i - k:05d}") for i in range(1, 1001) for k in (1, 2) if i >= k]
+    df = spark.createDataFrame(links, "name string, seq long, earlier string")
+    spark.sparkContext.setJobGroup("chain", "chain")
+    try:
+        got = {r.name: r.leads for r in rs.leading(df).collect()}
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert got == leading_by_hand(links)
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("chain")) < 20
+
+
+def test_no_links_and_no_orders(spark):
+    assert rs.leading(spark.createDataFrame([], "name string, seq long, earlier string")).count() == 0
+    c = spark.createDataFrame([], "customer_code string, customer_name string, tax_code string")
+    o = spark.createDataFrame([], "log_id long, tax_code string, clean_name string, address string")
+    resolved, created = rs.resolve_batch(o, c)
+    assert resolved.count() == 0 and created.count() == 0
 
 
 def test_rejects_unknown_mode(spark):
