@@ -26,6 +26,7 @@ def order_globally(
     *,
     prefix: str = "",
     amount: str | list[str] | None = None,
+    totals: bool = False,
 ) -> DataFrame:
     """Add, for ascending ``(value, unique)``:
 
@@ -35,6 +36,7 @@ def order_globally(
     ``{prefix}rows``      number of rows
     ``{prefix}running``   running sum of ``amount`` (only when given); for a list of columns, one
                           ``{prefix}running_{column}`` each
+    ``{prefix}total``     with ``totals``: the whole sum of every amount, named like its running sum
 
     ``value`` must not be NULL and ``unique`` must identify a row. The input is evaluated and stored once.
     Unused outputs cost nothing: the optimizer drops their windows.
@@ -102,6 +104,9 @@ def order_globally(
         carried = _total(before, s, kind)
         inside = F.sum(column).over(in_bucket.rowsBetween(Window.unboundedPreceding, 0))
         out = out.withColumn(name, (carried + inside).cast(kind))
+        if totals:
+            whole = prefix + name.removeprefix(prefix).replace("running", "total", 1)
+            out = out.withColumn(whole, _total(summary, s, kind))
     return out.drop(*drop)
 
 

@@ -39,13 +39,11 @@ def rfm_scores(base: DataFrame, mode: str = "reference", key: str = "customer_co
         "f": -as_double("frequency"),
         "m": -F.col("monetary"),
     }
-    out = cut(base)  # one row per dealer, ordered three times below
+    stored = out = cut(base)  # one row per dealer, ordered by each measure below
     for name, value in measures.items():
-        out = order_globally(out, value, key, prefix=f"{name}_")
-        score = tile(F.col(f"{name}_position"), F.col(f"{name}_rows"), 5)
-        out = out.withColumn(f"{name}_score", score if mode == "reference" else 6 - score).drop(
-            *[f"{name}_{x}" for x in ("position", "rank", "ties", "rows")]
-        )
+        ordered = order_globally(stored.select(key, value.alias("_value")), F.col("_value"), key)
+        score = tile(F.col("position"), F.col("rows"), 5)
+        out = out.join(ordered.select(key, (score if mode == "reference" else 6 - score).alias(f"{name}_score")), key)
     total = F.col("r_score") + F.col("f_score") + F.col("m_score")
     return out.withColumn("rfm_total", total)
 
@@ -121,15 +119,14 @@ def basket(f: DataFrame) -> DataFrame:
 
 def pareto_curve(f: DataFrame) -> DataFrame:
     """Dealers by falling revenue with rank, dealer share and cumulative revenue share."""
-    revenue = dealer_revenue(f)
-    ranked = order_globally(revenue, -F.col("revenue"), "customer_code", amount="revenue")
+    ranked = order_globally(dealer_revenue(f), -F.col("revenue"), "customer_code", amount="revenue", totals=True)
     return ranked.select(
         F.col("rank").alias("rnk"),
         "customer_code",
         "revenue",
         F.col("rows").alias("total_dealers"),
         F.round(ratio("rank", "rows") * 100.0, 1).alias("dealer_pct"),
-        F.round(ratio("running", total_of(revenue, "revenue")) * 100.0, 1).alias("cumulative_pct"),
+        F.round(ratio("running", "total") * 100.0, 1).alias("cumulative_pct"),
     )
 
 

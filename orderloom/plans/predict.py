@@ -100,13 +100,41 @@ def _(w: Warehouse):
     return fc.allocated_totals(forecast(w), shares(w), MILLION)
 
 
-# fitted weights have no SQL form: rows only here, invariants in the tests
-@reg.plan("fc_05_holt")
+def holt_sql(name: str, rows: str) -> str:
+    """Tables for the smoothing of ``rows`` (``key, ds, y``): every pair of weights is carried from month to month."""
+    return f"""{name}_y AS (SELECT key, list(y ORDER BY ds) AS y FROM ({rows}) GROUP BY key HAVING count(*) >= 2),
+{name}_s AS (SELECT key, y, a.i / 20::DOUBLE AS alpha, b.i / 20::DOUBLE AS beta, 2 AS at, y[1] AS level, y[2] - y[1] AS trend,
+ 0::DOUBLE AS sse FROM {name}_y, (SELECT unnest(range(1, 20)) AS i) a, (SELECT unnest(range(1, 20)) AS i) b UNION ALL
+ SELECT key, y, alpha, beta, at + 1, nl, beta * (nl - level) + (1 - beta) * {fc.PHI}::DOUBLE * trend, sse + (y[at] - ahead) * (y[at] - ahead)
+ FROM (SELECT *, alpha * y[at] + (1 - alpha) * ahead AS nl FROM (SELECT *, level + {fc.PHI}::DOUBLE * trend AS ahead FROM {name}_s
+ WHERE at <= len(y)))),
+{name} AS (SELECT key, e.forecast AS forecast, e.alpha AS alpha, e.beta AS beta, e.sse AS sse FROM (SELECT key, min(struct_pack(sse := sse,
+ alpha := alpha, beta := beta, forecast := level + {fc.PHI}::DOUBLE * trend)) AS e FROM {name}_s WHERE at > len(y) GROUP BY key))"""
+
+
+WITH_HOLT = WITH_SERIES.replace("WITH ", "WITH RECURSIVE ", 1)
+
+
+@reg.plan(
+    "fc_05_holt",
+    f"""{WITH_HOLT}, {holt_sql("h", "SELECT group_name AS key, ds, revenue AS y FROM ser")}
+ SELECT key AS group_name, forecast, alpha, beta, sse FROM h""",
+)
 def _(w: Warehouse):
     return fc.holt(series(w), ["group_name"])
 
 
-@reg.plan("fc_06_backtest")
+@reg.plan(
+    "fc_06_backtest",
+    f"""{WITH_HOLT}, edge AS (SELECT max(ds) AS held, count(*) AS n FROM tot),
+bef AS (SELECT * FROM tot WHERE ds < (SELECT held FROM edge)), {holt_sql("h", "SELECT 1 AS key, ds, revenue AS y FROM bef")},
+g AS (SELECT group_name, coalesce(sum(revenue) FILTER (ds = (SELECT held FROM edge)), 0) AS a,
+ coalesce(sum(revenue) FILTER (ds = (SELECT max(ds) FROM bef)), 0) AS p FROM ser GROUP BY 1),
+q AS (SELECT *, (SELECT forecast FROM h) * p / (SELECT greatest(sum(p), 1) FROM g) AS predicted FROM g)
+SELECT group_name, round_even(a / 1000000, 2) AS actual, round_even(predicted / 1000000, 2) AS predicted,
+ round_even(least(CASE WHEN a > 0 THEN abs(a - predicted) / greatest(a, 1) * 100 ELSE {fc.APE_CAP} END, {fc.APE_CAP}), 1)::DOUBLE AS mape_pct
+ FROM q WHERE (SELECT n FROM edge) >= 4""",
+)
 def _(w: Warehouse):
     return fc.backtest(total(w), series(w), MILLION)
 

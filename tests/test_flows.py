@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from orderloom import adhoc
 from orderloom.operators import audit as au
 from orderloom.operators import load as ld
+from orderloom.operators import reconcile as re
 from orderloom.operators import resolve as rs
 from orderloom.plans.star import AS_OF, Warehouse
 from orderloom.session import settings
@@ -211,3 +212,32 @@ def test_adhoc_guard(spark):
     assert adhoc.answer(spark, "SELECT 1 WHERE false") == adhoc.NO_ROWS
     assert adhoc.answer(spark, "SELECT no_column FROM fact_sales").startswith(adhoc.FAILED)
     assert adhoc.answer(spark, "  select * FROM fact_sales").count() == 50
+
+
+def test_one_long_order_of_one_product_spreads_over_all_tasks(spark):
+    line = "CASE WHEN id % 3 = 0 THEN 'hot' ELSE concat('o', id % 500) END AS so_number"
+    product = "CASE WHEN id % 3 = 0 THEN 'p' ELSE concat('p', id % 7) END AS product_code"
+    rest = ["id AS line_id", "CAST(id % 11 AS DOUBLE) AS quantity", "id % 13 AS unit_price", "id * 10 AS line_total"]
+    docs = spark.range(30000).selectExpr(line, product, *rest)
+    wrong = F.when(F.col("line_id") % 3000 == 0, F.col("unit_price") + 1).otherwise(F.col("unit_price"))
+    loaded = docs.withColumn("unit_price", wrong).where("NOT (so_number = 'o1' AND line_id = 1)")
+    got = re.paired_differences(docs, loaded, "line_id").collect()
+    assert len(got) == 10 and {(r.so_number, r.product_code, r.qty_off, r.price_off, r.total_off) for r in got} == {
+        ("hot", "p", False, True, False)
+    }
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # adaptive execution would put this little data into one task
+    with settings(spark, {"spark.sql.adaptive.enabled": "false"}):
+        placed = re.sorted_position(docs, "line_id").where("so_number = 'hot'")
+        spread = [r["count"] for r in placed.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(spread) >= tasks // 3 and max(spread) < 2 * 30000 / tasks
+
+
+def test_paired_differences_of_odd_rows(spark):
+    schema = "so_number string, product_code string, line_id long, quantity double, unit_price long, line_total long"
+    docs = [("a", None, 1, 1.0, 5, 5), ("a", "x", 2, None, 5, 5), (None, "x", 3, 1.0, 1, 1), ("b", "x", 4, 1.0, 1, 1)]
+    loaded = [("a", None, 9, 2.0, 5, 5), ("a", "x", 8, 1.0, 6, 5), (None, "x", 3, 9.0, 9, 9), ("c", "x", 4, 1.0, 1, 1)]
+    frames = [spark.createDataFrame(x, schema) for x in (docs, loaded)]
+    got = {(r.product_code, r.qty_off, r.price_off) for r in re.paired_differences(*frames, "line_id").collect()}
+    assert got == {(None, True, False), ("x", None, True)}
+    assert re.paired_differences(frames[0].limit(0), frames[1], "line_id").count() == 0
