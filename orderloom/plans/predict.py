@@ -103,13 +103,13 @@ def _(w: Warehouse):
 def holt_sql(name: str, rows: str) -> str:
     """Tables for the smoothing of ``rows`` (``key, ds, y``): every pair of weights is carried from month to month."""
     return f"""{name}_y AS (SELECT key, list(y ORDER BY ds) AS y FROM ({rows}) GROUP BY key HAVING count(*) >= 2),
-{name}_s AS (SELECT key, y, a.i / 20::DOUBLE AS alpha, b.i / 20::DOUBLE AS beta, 2 AS at, y[1] AS level, y[2] - y[1] AS trend,
+{name}_s AS (SELECT key, y, a.i / 20::DOUBLE AS alpha, b.i / 20::DOUBLE AS beta, 2 AS step, y[1] AS level, y[2] - y[1] AS trend,
  0::DOUBLE AS sse FROM {name}_y, (SELECT unnest(range(1, 20)) AS i) a, (SELECT unnest(range(1, 20)) AS i) b UNION ALL
- SELECT key, y, alpha, beta, at + 1, nl, beta * (nl - level) + (1 - beta) * {fc.PHI}::DOUBLE * trend, sse + (y[at] - ahead) * (y[at] - ahead)
- FROM (SELECT *, alpha * y[at] + (1 - alpha) * ahead AS nl FROM (SELECT *, level + {fc.PHI}::DOUBLE * trend AS ahead FROM {name}_s
- WHERE at <= len(y)))),
+ SELECT key, y, alpha, beta, step + 1, nl, beta * (nl - level) + (1 - beta) * {fc.PHI}::DOUBLE * trend, sse + (y[step] - ahead) * (y[step] - ahead)
+ FROM (SELECT *, alpha * y[step] + (1 - alpha) * ahead AS nl FROM (SELECT *, level + {fc.PHI}::DOUBLE * trend AS ahead FROM {name}_s
+ WHERE step <= len(y)))),
 {name} AS (SELECT key, e.forecast AS forecast, e.alpha AS alpha, e.beta AS beta, e.sse AS sse FROM (SELECT key, min(struct_pack(sse := sse,
- alpha := alpha, beta := beta, forecast := level + {fc.PHI}::DOUBLE * trend)) AS e FROM {name}_s WHERE at > len(y) GROUP BY key))"""
+ alpha := alpha, beta := beta, forecast := level + {fc.PHI}::DOUBLE * trend)) AS e FROM {name}_s WHERE step > len(y) GROUP BY key))"""
 
 
 WITH_HOLT = WITH_SERIES.replace("WITH ", "WITH RECURSIVE ", 1)
