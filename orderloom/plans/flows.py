@@ -182,6 +182,33 @@ def _(w: Warehouse):
     return back.select("log_id", "message_id", "received_at", "processing_status", "processed_at")
 
 
+EXPORT_KEYS = {
+    "product": ("product_code", "prod"),
+    "customer": ("customer_code", "cust"),
+    "sales_order": ("order_id", "so"),
+    "order_line": ("line_id", "line"),
+}
+
+
+@reg.plan(
+    "src_07_export_all",
+    f"WITH {FACT_SQL} "
+    + " UNION ALL ".join(
+        f"SELECT '{n}' AS table_name, count(*) AS n, count(DISTINCT {k}) AS keys, min({k})::VARCHAR AS low, max({k})::VARCHAR AS high FROM {v}"
+        for n, (k, v) in EXPORT_KEYS.items()
+    ),
+)
+def _(w: Warehouse):
+    path, tables = exported(w)
+    out = None
+    for name, (key, _view) in EXPORT_KEYS.items():
+        back = wh.read_export(w.spark, path, name, wh.without_zone(tables[name]).schema)
+        ends = [F.min(key).cast("string").alias("low"), F.max(key).cast("string").alias("high")]
+        row = back.agg(F.count("*").alias("n"), F.countDistinct(key).alias("keys"), *ends).withColumn("table_name", F.lit(name))
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
 @reg.plan(
     "src_08_export_manifest",
     """WITH c AS (SELECT 'product' AS table_name, count(*) AS n FROM part UNION ALL SELECT 'province', count(*) FROM nation

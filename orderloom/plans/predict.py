@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 from ..operators import churn as ch
 from ..operators import colors as co
 from ..operators import forecast as fc
+from ..session import cut
+from ..sources.warehouse import export_csv, read_export
 from .registry import Registry
-from .star import AS_OF, QUARTER, WITH_FACT, YEAR, Warehouse
+from .star import AS_OF, QUARTER, WITH_FACT, YEAR, Warehouse, run_folder
 
 reg = Registry()
 OLD, NEW = YEAR - 1, YEAR
@@ -343,6 +345,44 @@ def _(w: Warehouse):
     return ch.churn_priority(frame).select("customer_code", "churn_proba", "prob_order_30d", "priority_score")
 
 
+# what follows a model, checked with a probability that SQL can state
+RECENCY_SQL = f"""{WITH_FACT}, {FEATURE_SQL}, known AS (SELECT *, least(recency_days, 100)::DOUBLE AS churn_proba,
+ (rank() OVER (ORDER BY monetary) + (count(*) OVER (PARTITION BY monetary) - 1) / 2) / (count(*) OVER ())::DOUBLE * 100 AS pct,
+ CASE WHEN recency_days <= 0 THEN NULL WHEN recency_days <= 30 THEN 'Ổn định' WHEN recency_days <= 50 THEN 'Theo dõi'
+ WHEN recency_days <= 70 THEN 'Cảnh báo' ELSE 'Nguy hiểm' END AS churn_segment FROM feat)"""
+
+
+def by_recency(w: Warehouse):
+    days = F.least(F.col("recency_days"), F.lit(100))
+    return features(w).withColumns({"churn_proba": days.cast("double"), "churn_segment": ch.band_of(days / F.lit(100.0))})
+
+
+@reg.plan(
+    "chn_05_folds",
+    f"""{WITH_FACT}, {FEATURE_SQL}, lab AS (SELECT customer_code, CASE WHEN recency_days > 45 THEN 1 ELSE 0 END AS is_churned FROM feat)
+ SELECT customer_code, is_churned, (row_number() OVER (ORDER BY is_churned, customer_code) % {ch.FOLDS})::INTEGER AS fold FROM lab""",
+)
+def _(w: Warehouse):
+    return ch.with_folds(ch.churn_label(features(w))).select("customer_code", "is_churned", "fold")
+
+
+@reg.plan("chn_08_bands_of_recency", f"{RECENCY_SQL} SELECT churn_segment, count(*) AS dealers FROM known GROUP BY 1")
+def _(w: Warehouse):
+    return ch.churn_bands(by_recency(w))
+
+
+@reg.plan(
+    "src_11_high_risk_stored",
+    f"""{RECENCY_SQL} SELECT customer_code, customer_name, province_name, region, recency_days, frequency, churn_proba,
+ round_even(100 - churn_proba, 1) AS prob_order_30d, round_even(pct * churn_proba / 100, 1) AS priority_score, churn_segment
+ FROM known WHERE churn_proba > {ch.HIGH_RISK_PCT}""",
+)
+def _(w: Warehouse):
+    calls, folder = cut(ch.high_risk(ch.churn_priority(by_recency(w)))), run_folder(w)
+    export_csv({"high_risk": calls}, folder)
+    return calls if calls.isEmpty() else read_export(w.spark, folder, "high_risk", calls.schema)
+
+
 @reg.plan("chn_08_churn_bands")
 def _(w: Warehouse):
     return ch.churn_bands(scored(w, model(w)))

@@ -596,3 +596,17 @@ def _(w: Warehouse):
         out = out.unionByName(c)
     return out
 
+
+
+@reg.plan(
+    "ld_05_unload_lines",
+    """SELECT l_orderkey AS order_key, l_linenumber AS line_no, printf('BH%02d.%04d', l_orderkey // 10000, l_orderkey % 10000)
+ AS so_number FROM lineitem WHERE l_orderkey // 10000 <> 0""",
+)
+def _(w: Warehouse):
+    number = F.format_string("BH%02d.%04d", F.floor(F.col("l_orderkey") / 10000).cast("bigint"), F.col("l_orderkey") % 10000)
+    lines = w.table("lineitem").select(
+        F.col("l_orderkey").alias("order_key"), F.col("l_linenumber").alias("line_no"), number.alias("so_number")
+    )
+    return ld.unload({"order_line": lines}, (2001, 7), "BH00.", "KH-00702", "2001-01-26")["order_line"]
+

@@ -19,8 +19,10 @@ def without_zone(df: DataFrame) -> DataFrame:
 
 
 def export_csv(tables: dict[str, DataFrame], folder: str) -> None:
-    """One CSV folder per table with a header."""
+    """One CSV folder per table with a header; an empty table gets none. ``folder`` should be new."""
     for name, df in tables.items():
+        if df.isEmpty():
+            continue
         without_zone(df).write.mode("overwrite").option("header", True).option("emptyValue", '""').csv(
             f"{folder}/{name}"
         )

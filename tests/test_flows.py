@@ -174,6 +174,13 @@ def test_export_is_read_by_its_exact_name(spark, tmp_path):
     assert [r.id for r in wh.read_export(spark, str(tmp_path), "product", a.schema).orderBy("id").collect()] == [0, 1, 2]
 
 
+def test_empty_tables_are_not_exported(spark, tmp_path):
+    rows = spark.range(3).selectExpr("id", "CASE WHEN id = 1 THEN '' WHEN id = 2 THEN 'a,\"b' END AS name")
+    wh.export_csv({"full": rows, "void": rows.limit(0)}, str(tmp_path / "out"))
+    assert [p.name for p in (tmp_path / "out").iterdir()] == ["full"]
+    assert sorted(wh.read_export(spark, str(tmp_path / "out"), "full", rows.schema).collect()) == sorted(rows.collect())
+
+
 def test_codes_compare_by_number(spark):
     dealers = spark.createDataFrame([(c, "Ten", "1") for c in ("KH-99999", "KH-100000", "KH-00002")], "customer_code string, customer_name string, tax_code string")
     asked = spark.createDataFrame([("1",)], "tax_code string")
