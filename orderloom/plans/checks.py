@@ -569,7 +569,8 @@ def export_pairs(w: Warehouse, *names: str):
     }
     path = run_folder(w)
     export_csv({n: damage.get(n, lambda x: x)(df) for n, df in tables.items()}, path)
-    return {n: (df, read_export(w.spark, path, n, df.schema)) for n, df in tables.items()}
+    # an empty table has no export
+    return {n: (df, df if df.isEmpty() else read_export(w.spark, path, n, df.schema)) for n, df in tables.items()}
 
 
 @plan(

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+_EMPTY = "\u0001empty\u0001"  # stands for a quoted empty text while a file is read, which would else become NULL
+
 
 def load_tables(spark: SparkSession, folder: str, names: list[str]) -> dict[str, DataFrame]:
     """Tables stored as ``<folder>/<name>.parquet``; nothing is read before it is used."""
@@ -38,11 +40,13 @@ def export_manifest(tables: dict[str, DataFrame]) -> DataFrame:
 
 
 def read_export(spark: SparkSession, folder: str, name: str, schema: T.StructType | str) -> DataFrame:
-    """The exported table of exactly that name, with its declared schema."""
-    return (
+    """The exported table of exactly that name, with its declared schema; empty texts stay apart from NULL."""
+    read = (
         spark.read.schema(schema)
         .option("header", True)
-        .option("emptyValue", "")
+        .option("emptyValue", _EMPTY)
         .option("mode", "FAILFAST")
         .csv(f"{folder}/{name}")
     )
+    texts = [f.name for f in read.schema.fields if isinstance(f.dataType, T.StringType)]
+    return read.withColumns({c: F.when(F.col(c) == _EMPTY, "").otherwise(F.col(c)) for c in texts}) if texts else read
