@@ -568,9 +568,10 @@ def export_pairs(w: Warehouse, *names: str):
         "product": lambda df: df.where("product_code % 500 <> 9"),
     }
     path = run_folder(w)
-    export_csv({n: damage.get(n, lambda x: x)(df) for n, df in tables.items()}, path)
+    written = {n: damage.get(n, lambda x: x)(df) for n, df in tables.items()}
+    export_csv(written, path)
     # an empty table has no export
-    return {n: (df, df if df.isEmpty() else read_export(w.spark, path, n, df.schema)) for n, df in tables.items()}
+    return {n: (df, written[n] if written[n].isEmpty() else read_export(w.spark, path, n, df.schema)) for n, df in tables.items()}
 
 
 @plan(
