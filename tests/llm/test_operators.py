@@ -173,6 +173,47 @@ def test_languages(spark):
     assert all(r.lang_pred == ("und" if r.doc_id >= 90 else "en" if r.doc_id % 2 else "de") and 0 <= r.score <= 1 for r in got)
 
 
+def rank_order(docs, learned, top):
+    """Language and score by the definition: lists of n-grams, places looked up one by one."""
+
+    def grams(text):
+        kept = "".join(c if c.isalpha() else " " for c in (text or "").lower())
+        found = Counter()
+        for word in kept.split():
+            padded = f" {word} "
+            found.update(g for k in (1, 2, 3) for i in range(len(padded) - k + 1) if (g := padded[i : i + k]) != " ")
+        return found
+
+    order = lambda g: tuple(map(ord, g.rjust(3, "\0")))
+    first = lambda n: [g for g, _ in sorted(n.items(), key=lambda x: (-x[1], order(x[0])))][:top]
+    counts = {}
+    for text, lang in learned:
+        if text is not None and lang is not None:
+            counts.setdefault(lang, Counter()).update(grams(text))
+    places = {lang: {g: i for i, g in enumerate(first(n))} for lang, n in sorted(counts.items()) if n}
+    out = []
+    for text in docs:
+        own = first(grams(text))
+        far = {lang: sum(abs(p[g] - i) if g in p else top for i, g in enumerate(own)) for lang, p in places.items()}
+        best = min(far, key=lambda lang: (far[lang], lang)) if own and far else None
+        out.append(("und", 0.0) if best is None else (best, 1 - far[best] / (top * len(own))))
+    return out
+
+
+@pytest.mark.parametrize("top", [12, 300])
+def test_languages_equal_plain_rank_order(spark, top):
+    rng = random.Random(top)
+    letters = {"aa": "abcde", "bb": "cdefg", "cc": "äöüab", "dd": "日本語ab"}
+    text = lambda lang: " ".join("".join(rng.choices(letters[lang], k=rng.randint(1, 5))) for _ in range(rng.randint(1, 12)))
+    rows = [(i, text(lang), lang) for i, lang in enumerate(rng.choices([*letters], k=120))]
+    rows += [(200, None, "aa"), (201, "12 !", "bb"), (202, text("aa"), None), (203, "a", "ee"), (204, "a", "ff"), (205, LONG, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    got = {r.doc_id: (r.lang_pred, r.score) for r in language_id.identify(docs, docs, top=top).collect()}
+    want = dict(zip([r[0] for r in rows], rank_order([r[1] for r in rows], [r[1:] for r in rows], top), strict=True))
+    assert {k: v[0] for k, v in got.items()} == {k: v[0] for k, v in want.items()}
+    assert all(got[k][1] == pytest.approx(want[k][1]) for k in want)
+
+
 def test_line_dedup_counts_per_host(spark):
     rows = [(i, f"own line {i}\nMenu" + ("\n\nrare" if i < 3 else ""), "h") for i in range(100)] + [(200, "Menu", "g"), (201, None, "h")]
     got = {r.doc_id: r for r in line_dedup.drop_boilerplate(frame(spark, rows)).collect()}
@@ -369,6 +410,79 @@ def test_toxicity_learns_and_ignores_order(spark):
     assert toxicity.score(docs, empty).count() == 400
 
 
+def toxic_words(seed, n=240):
+    rng = random.Random(seed)
+    out = []
+    for i in range(n):
+        w = [f"w{rng.randint(0, 60)}" for _ in range(rng.choice([0, 1, 2, 20]) if i % 9 == 0 else 20)]
+        # harmless words apart, an insult when one follows the other
+        if i % 3 == 0 and len(w) > 2:
+            at = rng.randrange(len(w) - 1)
+            w[at : at + 2] = ["vile", "beast"]
+        out.append((" ".join(w), int(i % 3 == 0)))
+    return out
+
+
+def trained(rows, **how):
+    cache = [toxicity.hash_words([t], {}) for t, _ in rows]
+    return toxicity.train([p[w].astype(np.uint32) for _, w, p in cache], [y for _, y in rows], ["en"] * len(rows), **how)
+
+
+def test_gradients_equal_differences():
+    rows = toxic_words(1, 40)
+    net = trained(rows, odds_start=False)
+    row, words, pairs = toxicity.hash_words([t for t, _ in rows], {})
+    entries, starts = toxicity._entries(net.keys, pairs[words]), toxicity._starts(row, len(rows))
+    y = np.array([label for _, label in rows], float)
+    weight = np.linspace(0.5, 2, len(y))
+
+    def loss(state):
+        z = toxicity.logits(toxicity._with_parameters(net, state), entries, starts)
+        return float(np.mean(weight * (np.logaddexp(0, z) - y * z)))
+
+    state = [x.copy() for x in toxicity._parameters(net)]
+    grads = toxicity._gradients(net, entries, starts, y, weight)
+    rng = np.random.default_rng(2)
+    for x, g in zip(state, grads, strict=True):
+        for i in rng.choice(x.size, min(x.size, 25), replace=False):
+            at = np.unravel_index(i, x.shape)
+            if x is state[0] and at[0] == 0:
+                continue  # the row of unknown words is held at zero
+            kept, h = x[at], 1e-6
+            x[at] = kept + h
+            above = loss(state)
+            x[at] = kept - h
+            below = loss(state)
+            x[at] = kept
+            assert g[at] == pytest.approx((above - below) / (2 * h), abs=1e-6)
+
+
+def test_scores_of_batches_equal_plain_logits():
+    rows = toxic_words(3)
+    net = trained(rows)
+    texts = [t for t, _ in rows] + [None, "", "vile", "vile beast", LONG, "vile beast " * 3000]
+    want = []
+    for t in texts:
+        row, words, pairs = toxicity.hash_words([t], {})
+        z = toxicity.logits(net, toxicity._entries(net.keys, pairs[words]).reshape(-1, 2), toxicity._starts(row, 1))[0]
+        want.append(1 / (1 + np.exp(-(z - net.offsets[0]))))
+    assert toxicity.score_texts(net, texts) == pytest.approx(want, abs=1e-4)
+
+
+def test_random_start_learns_word_pairs():
+    net = trained(toxic_words(4, 600), odds_start=False)
+    held = toxic_words(5, 300)
+    right = [(s >= 0.5) == (y == 1) for s, (t, y) in zip(toxicity.score_texts(net, [t for t, _ in held]), held) if len(t.split()) > 2]
+    assert np.mean(right) > 0.95
+
+
+def test_contradictory_and_repeated_labels(spark):
+    docs = frame(spark, [(i, f"word{i % 5} other", "a") for i in range(20)])
+    labels = spark.createDataFrame([(i, y) for i in range(20) for y in (0, i % 2, i % 2)] + [(None, 1), (3, None)], "doc_id long, toxic int")
+    sample = {r.id: r.label for r in toxicity.labelled_sample(docs, labels, F.lit(True)).collect()}
+    assert sample == {i: i % 2 for i in range(20)}
+
+
 OPERATORS = {
     "mix": lambda d: mixing.mix(d),
     "judge": quality_rules.judge,
