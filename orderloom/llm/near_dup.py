@@ -269,7 +269,9 @@ def _with_component(df: DataFrame, roots: DataFrame) -> DataFrame:
 def link_classes(classes: DataFrame, docs: DataFrame, id_column: str, text_column: str, percent: int) -> DataFrame:
     """``(node, root)`` for every class linked to another one."""
     entries = classes.select("node", F.explode("buckets").alias("bucket"))
-    shared = entries.groupBy("bucket").agg(F.count("*").alias("size"), F.min("node").alias("hub")).where("size > 1")
+    # sizes are stored before they are joined: then the join reads two exchanges, and adaptive execution can split
+    # the members of a hot bucket over tasks
+    shared = cut(entries.groupBy("bucket").agg(F.count("*").alias("size"), F.min("node").alias("hub")).where("size > 1"))
     members = cut(entries.join(shared, "bucket"))
     stars = members.where("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
     candidates = classes.join(members.select("node").distinct(), "node").select("node", "n", "sketch", "row_key")
@@ -279,7 +281,7 @@ def link_classes(classes: DataFrame, docs: DataFrame, id_column: str, text_colum
     roots = contract(links)
 
     placed = _with_component(members, roots)
-    mixed = placed.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi")
+    mixed = cut(placed.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi"))
     unsettled = cut(placed.where("size > 2").join(mixed.select("bucket"), "bucket", "left_semi"))
     left = unsettled.where(F.col("size") <= SMALL).select("bucket", F.col("node").alias("a"), F.col("comp").alias("ca"), "hub")
     right = unsettled.where(F.col("size") <= SMALL).select("bucket", F.col("node").alias("b"), F.col("comp").alias("cb"))
