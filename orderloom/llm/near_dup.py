@@ -327,11 +327,11 @@ def group(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
 def without_near_copies(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", percent: int = PERCENT) -> DataFrame:
     """One document of each group, with the columns of ``docs``; texts without words all stay."""
     judged = group(docs, id_column, text_column, percent)
-    chosen = judged.where("first").groupBy("row_key").agg(F.max(F.col("n_shingles") == 0).alias("_empty"),
-                                                          F.count("*").alias("_rows"))
-    plain = docs.select(*[F.col(f"`{c}`") for c in docs.columns])
-    keyed = plain.withColumn("_row_key", row_key(F.col(f"`{id_column}`").cast("long"), F.col(f"`{text_column}`")))
-    joined = keyed.join(chosen, keyed["_row_key"] == chosen["row_key"])
-    single = joined.where("_empty OR _rows = 1")
-    repeated = joined.where("NOT _empty AND _rows > 1").dropDuplicates(["_row_key"])
-    return single.unionByName(repeated).select(*[F.col(f"`{c}`") for c in docs.columns])
+    chosen = judged.where("first").groupBy("row_key").agg(F.max(F.col("n_shingles") == 0).alias("empty"), F.count("*").alias("rows"))
+    # prefixed, the columns of the caller clash with none of ours
+    plain = docs.select(*[F.col(f"`{c}`").alias(f"in_{c}") for c in docs.columns])
+    keyed = plain.withColumn("row_key", row_key(F.col(f"`in_{id_column}`").cast("long"), F.col(f"`in_{text_column}`")))
+    joined = keyed.join(chosen, "row_key")
+    repeated = joined.where("NOT empty AND rows > 1").dropDuplicates(["row_key"])
+    kept = joined.where("empty OR rows = 1").unionByName(repeated)
+    return kept.select(*[F.col(f"`in_{c}`").alias(c) for c in docs.columns])

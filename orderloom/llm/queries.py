@@ -47,6 +47,9 @@ _SPLIT = r"[ \t\n\x0b\x0c\r]+"
 _WORDS = "list_filter(regexp_split_to_array(coalesce({0}, ''), '" + _SPLIT + "'), lambda x : x <> '')"
 
 
+_WINDOW = quality_rules.WINDOW_WORDS
+
+
 @query("op2_quality_rules", f"""
 WITH lines AS (
   SELECT doc_id, coalesce(text, '') AS text, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
@@ -58,7 +61,10 @@ judged AS (
     len(w) > 0 AND (
       100 * len(list_filter(w, lambda x : regexp_matches(x, '{quality_rules.MARKS}'))) > {quality_rules.MARKED_PERCENT} * len(w)
       OR 100 * len(list_filter(w, lambda x : x IN ('|', '»', '›', '·'))) > {quality_rules.SEPARATOR_PERCENT} * len(w)
-      OR (len(w) >= {quality_rules.REPEAT_WORDS} AND 100 * len(list_distinct(w)) < {quality_rules.DISTINCT_PERCENT} * len(w))
+      OR (len(w) BETWEEN {quality_rules.REPEAT_WORDS} AND {_WINDOW} AND 100 * len(list_distinct(w)) < {quality_rules.DISTINCT_PERCENT} * len(w))
+      OR (len(w) > {_WINDOW} AND 2 * len(list_filter(range(0, len(w), {_WINDOW}), lambda i : 100 * len(list_distinct(
+        w[least(i, len(w) - {_WINDOW}) + 1 : least(i, len(w) - {_WINDOW}) + {_WINDOW}])) < {quality_rules.DISTINCT_PERCENT} * {_WINDOW}))
+        > len(range(0, len(w), {_WINDOW})))
       OR regexp_matches(line, '{quality_rules.PHRASES}')) AS bad
   FROM worded),
 sums AS (

@@ -354,6 +354,38 @@ def test_resampling(spark):
     assert min(r.sample_key for r in got if r.kept) >= max(r.sample_key for r in got if not r.kept)
 
 
+def test_log_weights_equal_a_plain_model(spark):
+    rng = random.Random(9)
+    rows = [(i, " ".join(rng.choices("Aa bb cc dd ee".split(), k=rng.randint(0, 8))) if i else None, "a") for i in range(60)]
+    docs = frame(spark, rows).repartition(4)
+    buckets = 1 << 20  # so many that no two n-grams share one
+    counts = resampling.bucket_counts(docs, "text", F.when(F.col("doc_id") != 5, F.col("doc_id") % 3 == 0), buckets)
+    ratios = resampling.log_ratios([tuple(r) for r in counts.where("n_raw > 0").collect()], buckets)
+    got = {r.doc_id: r.log_weight for r in resampling.log_weights(docs, ratios).collect()}
+
+    def grams(text):
+        w = (text or "").lower().split()
+        return [*w, *zip(w, w[1:])]
+
+    raw, target = Counter(), Counter()
+    for i, text, _ in rows:
+        raw.update(grams(text))
+        target.update(grams(text) if i % 3 == 0 else [])
+    size = lambda n: sum(n.values()) + buckets
+    for i, text, _ in rows:
+        want = sum(math.log((target[g] + 1) / size(target)) - math.log((raw[g] + 1) / size(raw)) for g in grams(text))
+        assert got[i] == pytest.approx(want, abs=1e-9)
+
+
+def test_target_marks(spark):
+    docs = frame(spark, [(i % 10, "x", "a") for i in range(30)] + [(None, "x", "a")])
+    ids = spark.createDataFrame([(i,) for i in (1, 1, 2, 3, 4, 77, None)], "good long")
+    every = resampling.marked_target(docs, ids)
+    assert every.count() == 31 and {r.doc_id for r in every.where("_target").collect()} == {1, 2, 3, 4}
+    few = resampling.marked_target(docs, ids.where("good < 70"), rows=2)
+    assert few.count() == 31 and few.where("_target").select("doc_id").distinct().count() == 2
+
+
 @pytest.fixture(scope="module")
 def vocabulary():
     return pieces.load()
@@ -528,3 +560,23 @@ def test_pipeline_stages(spark):
     assert ids[0][1] == [*range(41)] and ids[1][1] == [*range(41)] and ids[2][1] == [*range(40)]
     assert set(ids[3][1]) <= set(range(40)) and ids[3][1] == ids[4][1]
     assert all(r.decoded == r.text for r in docs.collect())
+
+
+@pytest.mark.parametrize("name, stage", corpus_pipeline.STAGES)
+def test_stages_take_odd_rows(spark, name, stage):
+    clash = frame(spark, ODD).withColumns({c: F.lit("old") for c in ("_w", "_n", "_lines", "_host", "_key", "n_words", "row_key", "comp")})
+    got = stage(spark, clash, "")
+    rows = got.collect()
+    assert stage(spark, clash.where("false"), "").collect() == []
+    if name != "piece_sampling":
+        assert got.columns == clash.columns and all(r["_w"] == "old" and r.score == "old" for r in rows)
+    # texts without words, or with few, fail the base rules; only equal texts are near copies; lines and pieces keep all
+    expected = {"quality_rules": [4, 5], "line_dedup": [1, 2, 3, 4, 5, 7, 7, 8, None], "piece_sampling": [1, 2, 3, 4, 5, 7, 7, 8, None]}
+    ids = sorted((r.doc_id for r in rows), key=lambda i: (i is None, i))
+    if name in expected:
+        assert ids == expected[name]
+    if name == "near_dedup":
+        assert [i for i in ids if i in (1, 2, 3, 8)] == [1, 2, 3, 8] and len(ids) == 6
+    if name == "mix_sources":
+        # sources without a word take nothing; elsewhere a text without words is copied like its neighbours
+        assert set(ids) <= {3, 4, 5, 7, 8, None}
