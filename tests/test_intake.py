@@ -239,3 +239,11 @@ def test_queries_over_all_names_and_mails(spark):
     matched = queries()["cus_03_match_fuzzy_all"](spark, SMALL)
     assert matched.count() == w.table("customer").count()
     assert matched.where("log_id % 4 = 2 AND customer_code IS NOT NULL").count() == w.table("customer").where("c_custkey % 4 = 2").count()
+
+
+def test_names_are_never_broadcast(spark):
+    # few bytes of names become many forms and grams, which must not pass the driver
+    names = spark.range(50).select(F.format_string("dealer number %05d", "id").alias("a"))
+    found = rs.similar_names(names, names.withColumnRenamed("a", "b"))
+    assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
+    assert found.where("a = b").count() == 50
