@@ -8,6 +8,7 @@ from __spark_entry__ import queries
 from orderloom.functions.columns import of_month
 from orderloom.operators import fact as fa
 from orderloom.operators.fact import Star
+from orderloom.plans import star as base
 from orderloom.plans.star import Warehouse
 from orderloom.sources.sales_store import PERIOD, SalesStore
 
@@ -118,3 +119,19 @@ def test_a_changed_table_gets_a_new_store(spark, tmp_path):
 def test_months_without_calendar_columns_are_ranges_of_dates(spark):
     days = spark.createDataFrame([("2000-12-01",), ("2000-12-31",), ("2001-01-01",), (None,)], "d string").selectExpr("CAST(d AS DATE) AS order_date")
     assert of_month(days, 2000, 12).count() == 2 and of_month(days, 2001, 1).count() == 1
+
+
+def test_facts_alone_store_no_orders_and_lines(spark, tmp_path):
+    for name in ("lineitem", "orders", "customer", "nation", "region", "part"):
+        spark.read.parquet(f"{SMALL}/{name}.parquet").limit(50).write.parquet(str(tmp_path / f"{name}.parquet"))
+    w = Warehouse(spark, str(tmp_path))
+    w.fact("line_total")
+    kept = lambda: sorted(p.name for p in Path(w._stored.root).iterdir())
+    assert kept() == ["fact"]
+    assert w.store.lines.count() == 50 and kept() == ["fact", "order_line", "sales_order"]
+
+
+def test_partitions_follow_the_base_files(spark, monkeypatch):
+    monkeypatch.setattr(base, "BYTES_PER_PARTITION", 1000)
+    w = Warehouse(spark, SMALL)
+    assert w.partitions == w.state()[-1] // 1000 > int(spark.conf.get("spark.sql.shuffle.partitions"))
