@@ -10,7 +10,7 @@ from orderloom.operators import fact as fa
 from orderloom.operators.fact import Star
 from orderloom.plans import star as base
 from orderloom.plans.star import Warehouse
-from orderloom.sources.sales_store import PERIOD, SalesStore
+from orderloom.sources.sales_store import OPEN_FILES, PERIOD, SalesStore, write_by_month
 
 
 def test_rows_do_not_depend_on_the_columns(spark):
@@ -135,3 +135,15 @@ def test_partitions_follow_the_base_files(spark, monkeypatch):
     monkeypatch.setattr(base, "BYTES_PER_PARTITION", 1000)
     w = Warehouse(spark, SMALL)
     assert w.partitions == w.state()[-1] // 1000 > int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+@pytest.mark.parametrize("files", ["2", "16", "100"])
+def test_many_months_in_one_task_are_all_written(spark, tmp_path, monkeypatch, files):
+    key = "spark.sql.maxConcurrentOutputFileWriters"
+    monkeypatch.setitem(OPEN_FILES, key, files)
+    before = spark.conf.get(key)
+    days = spark.range(400).selectExpr("id", "CASE WHEN id % 9 > 0 THEN add_months(DATE '2000-01-15', CAST(id % 40 AS INT)) END AS order_date")
+    rows = fa.with_calendar(days).drop("week_of_year").coalesce(1)
+    write_by_month(rows, str(tmp_path))
+    back = spark.read.schema(rows.schema).parquet(str(tmp_path)).select(*rows.columns)
+    assert back.exceptAll(rows).isEmpty() and back.count() == 400 and spark.conf.get(key) == before
