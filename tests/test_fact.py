@@ -147,3 +147,16 @@ def test_many_months_in_one_task_are_all_written(spark, tmp_path, monkeypatch, f
     write_by_month(rows, str(tmp_path))
     back = spark.read.schema(rows.schema).parquet(str(tmp_path)).select(*rows.columns)
     assert back.exceptAll(rows).isEmpty() and back.count() == 400 and spark.conf.get(key) == before
+
+
+def test_line_columns_are_computed_after_the_joins(spark, tmp_path):
+    w = Warehouse(spark, SMALL)
+    lines = w.table("lineitem").withColumn("l_quantity", F.when(F.col("l_orderkey") % 9 != 1, F.col("l_quantity")))
+    star = Star(**{**w.star.__dict__, "order_line": lines.selectExpr(*base.select_list(base.ORDER_LINE))})
+    store = SalesStore(str(tmp_path / "s"), star, raw=(lines.selectExpr(*base.RAW_LINE), base.LATE_LINE))
+    for name in ("fact", "order_line"):
+        above, below = store.rows(name)._jdf.queryExecution().optimizedPlan().toString().split("Join", 1)
+        assert "concat_ws" in above and "concat_ws" not in below and "year(" not in below
+    store.create()
+    assert rows_of(store.fact()) == rows_of(fa.flatten(star))
+    assert sorted(map(str, store.lines.collect())) == sorted(map(str, SalesStore._line_rows(star).select(*store.lines.columns).collect()))
