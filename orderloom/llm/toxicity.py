@@ -1,10 +1,11 @@
 """Toxic text by a small convolutional network.
 
 Words are hashed to embeddings (a word's own plus its beginning's), filters of several widths slide over
-the word sequence, each keeps its largest response, and a logistic layer reads those. Training is plain
-NumPy on the driver with a bounded sample of labelled documents; scoring runs in batches on the executors
-over whole texts. The decision threshold is calibrated per language and moved to 0.5. At scoring time the
-language is read from the words of the text alone.
+the word sequence, each keeps its largest response, and a logistic layer reads those. Words are counted, the
+network is trained and its thresholds are set over all labelled documents on the executors: in every round
+each task goes over its documents from the same weights, and the weights are averaged. Only sums and weights,
+bounded by the number of hashes, pass the driver. The decision threshold is calibrated per language and moved
+to 0.5. At scoring time the language is read from the words of the text alone.
 """
 
 from __future__ import annotations
@@ -19,13 +20,17 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import cut
 from .common import keep_columns
 
-SAMPLE_PER_CLASS = 1500  # labelled documents per class that may pass the driver
+HASHES = 1 << 20  # different word hashes: the most entries the network can have
 DIMENSIONS, FILTERS, WIDTHS = 8, 6, (1, 2, 3)
 PREFIX = 4  # letters of a word's beginning
 LEAST_DOCUMENTS = 3  # training documents with an entry before it gets an embedding
 EPOCHS, BATCH, RATE, DECAY = 12, 32, 0.02, 1e-4
+ROUNDS, PASSES = 4, 2  # averages of the weights, and passes of a task over its documents before each
+TASK_DOCUMENTS, CHUNK = 8_000, 1000  # documents a task trains on, and of those in memory at a time
+BINS = 1000  # logits are told apart by a thousandth when thresholds are set
 SEED = 20240603
 _WORD = re.compile(r"[^\W_]+")
 
@@ -45,7 +50,7 @@ class Network(NamedTuple):
 
 def hashes(word: str) -> tuple[int, int]:
     raw = word.encode("utf-8", "replace")
-    return zlib.crc32(raw), zlib.crc32(b"^" + word[:PREFIX].encode("utf-8", "replace"))
+    return zlib.crc32(raw) % HASHES, zlib.crc32(b"^" + word[:PREFIX].encode("utf-8", "replace")) % HASHES
 
 
 def hash_words(texts: list[str | None], cache: dict[str, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -256,34 +261,217 @@ def score_texts(net: Network, texts: list[str | None]) -> np.ndarray:
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, usable: Column, id_column: str = "doc_id", text_column: str = "text",
-                    lang_column: str = "lang", label_column: str = "toxic", per_class: int = SAMPLE_PER_CLASS) -> DataFrame:
-    """``(text, lang, label)`` of at most ``per_class`` labelled documents of each class, chosen by hash."""
+                    lang_column: str = "lang", label_column: str = "toxic") -> DataFrame:
+    """``(id, text, lang, label)`` of every usable labelled document."""
     key = F.col(f"`{id_column}`").alias("id")
     clean = labels.select(key, F.col(f"`{label_column}`").cast("int").alias("label")).where(usable).dropna()
     one = clean.groupBy("id").agg(F.max("label").alias("label"))
-    chosen = [one.where(F.col("label") == k).orderBy(F.xxhash64("id"), "id").limit(per_class) for k in (0, 1)]
-    few = F.broadcast(chosen[0].unionByName(chosen[1]))  # 2 * per_class rows at most
-    rows = docs.select(key, F.col(f"`{text_column}`").alias("text"), F.col(f"`{lang_column}`").alias("lang"))
-    return rows.join(few, "id").select("id", "text", "lang", "label")
+    rows = docs.select(key, F.col(f"`{text_column}`").alias("text"), F.col(f"`{lang_column}`").alias("lang")).where(usable)
+    return rows.join(one, "id").select("id", "text", "lang", "label")
 
 
-def fit(sample: DataFrame, seed: int = SEED, odds_start: bool = True) -> Network:
-    """Train on ``(id, text, lang, label)``; texts are hashed on the executors.
-
-    Texts of any length are read whole. A document labelled more than once counts as toxic if any label says so.
-    """
+def _hashed(sample: DataFrame) -> DataFrame:
+    """``(id, lang, label, fitted, words)``: two hashes per word, every fourth document left for the thresholds."""
 
     def hash_all(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            row, words, pairs = hash_words(batch["text"].tolist(), {})
-            starts = _starts(row, len(batch))
-            parts = [pairs[words[a:b]].astype(np.uint32).tobytes() for a, b in zip(starts[:-1], starts[1:], strict=True)]
-            yield batch[["id", "lang", "label"]].assign(words=parts)
+            for at in range(0, len(batch), CHUNK):
+                part = batch.iloc[at : at + CHUNK]
+                row, words, pairs = hash_words(part["text"].tolist(), {})
+                starts = _starts(row, len(part))
+                flat = [pairs[words[a:b]].astype(np.uint32).tobytes() for a, b in zip(starts[:-1], starts[1:], strict=True)]
+                yield part[["id", "lang", "label"]].assign(words=flat)
+
+    rows = sample.mapInPandas(hash_all, "id long, lang string, label int, words binary")
+    return rows.withColumn("fitted", F.pmod(F.xxhash64("id", F.lit(1)), F.lit(4)) != 0)
+
+
+def _chunks(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[pd.DataFrame, np.ndarray, np.ndarray]]:
+    """Documents with the hashes of their words and the start of each."""
+    for batch in batches:
+        for at in range(0, len(batch), CHUNK):
+            part = batch.iloc[at : at + CHUNK]
+            texts = [np.frombuffer(bytes(x), np.uint32).reshape(-1, 2) for x in part["words"]]
+            yield part, np.concatenate(texts), np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+
+
+def _count(rows: DataFrame, names: list[str]) -> pd.DataFrame:
+    """Per hash that enough documents hold: documents, toxic ones and those of each language."""
+    kinds = ["df", "positive", *(f"l{k}" for k in range(len(names)))]
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for part, flat, starts in _chunks(batches):
+            row = np.repeat(np.arange(len(part)), np.diff(starts))
+            seen = np.unique(np.concatenate([(flat[:, k].astype(np.int64) << 31) | row for k in (0, 1)]))
+            seen, row = seen >> 31, seen & (2**31 - 1)
+            key, at = np.unique(seen, return_inverse=True)
+            lang, y = part["lang"].to_numpy(), part["label"].to_numpy()
+            flags = [np.ones(len(row)), y[row], *((lang == n)[row] for n in names)]
+            yield pd.DataFrame({"key": key, **{c: np.bincount(at, weights=f, minlength=len(key)).astype(np.int64) for c, f in zip(kinds, flags, strict=True)}})
+
+    parts = rows.mapInPandas(count, "key long, " + ", ".join(f"{c} long" for c in kinds))
+    total = parts.groupBy(F.col("key").cast("int").alias("key")).agg(*(F.sum(c).cast("int").alias(c) for c in kinds)).where(F.col("df") >= LEAST_DOCUMENTS)
+    return total.toPandas().sort_values("key")
+
+
+def _start(counts: pd.DataFrame, totals: pd.DataFrame, names: list[str], seed: int, odds_start: bool) -> Network:
+    """The network before training, from the counts of all documents; ``totals``: documents per label and language."""
+    random = np.random.default_rng(seed)
+    n_pos, n_neg = (max(float(totals["n"][totals["label"] == y].sum()), 1.0) for y in (1, 0))
+    df, positive = (counts[c].to_numpy(float) for c in ("df", "positive"))
+    odds = np.log((positive + 1) / (n_pos + 2)) - np.log((df - positive + 1) / (n_neg + 2))
+    groups = names or ["all"]
+    share = counts[[f"l{k}" for k in range(len(names))]].to_numpy(float) if names else np.zeros((len(df), 1))
+    of_lang = np.array([float(totals["n"][totals["lang"] == x].sum()) for x in groups])
+    share = np.log((share + 0.5) / (of_lang + len(groups)))
+    embedding = random.normal(0, 0.05, (len(df) + 1, DIMENSIONS))
+    embedding[0] = 0
+    filters = [random.normal(0, 0.2, (w, DIMENSIONS, FILTERS)) for w in WIDTHS]
+    if odds_start:
+        embedding[1:, 0] = np.clip(odds, -3, 3) / 3
+        for f in filters:
+            f[:, 0, ::2] += 0.7
+    return Network(counts["key"].to_numpy(np.int64), embedding, filters, [np.zeros(FILTERS) for _ in WIDTHS],
+                   random.normal(0, 0.3, FILTERS * len(WIDTHS)), float(np.log(n_pos / n_neg)),
+                   np.concatenate([np.zeros((1, len(groups))), share - share.mean(axis=1, keepdims=True)]),
+                   np.zeros(len(groups)))
+
+
+def _steps(net: Network, hashed: np.ndarray, starts: np.ndarray, y: np.ndarray, weight: np.ndarray, random, rate: float) -> tuple[Network, np.ndarray]:
+    """``PASSES`` of Adam over some documents, and the entries that took part; others stay as they are."""
+    table = np.zeros(HASHES, np.int32)
+    table[net.keys] = np.arange(1, len(net.keys) + 1)
+    entries = table[hashed]
+    part = np.zeros(len(net.embedding), bool)
+    part[entries] = part[0] = True
+    used = np.flatnonzero(part)
+    entries = (np.cumsum(part, dtype=np.int32) - 1)[entries]
+    state = [net.embedding[used], *(x.copy() for x in _parameters(net)[1:])]
+    moments, step = [(np.zeros_like(p), np.zeros_like(p)) for p in state], 0
+    for _ in range(PASSES):
+        order = random.permutation(len(y))
+        for b in range(0, len(order), BATCH):
+            chosen = order[b : b + BATCH]
+            words = np.concatenate([np.arange(starts[i], starts[i + 1]) for i in chosen])
+            batch_starts = np.concatenate([[0], np.cumsum(starts[chosen + 1] - starts[chosen])])
+            # a step costs what its documents hold: only their rows of the embedding move
+            part = np.zeros(len(used), bool)
+            part[entries[words]] = part[0] = True
+            rows = np.flatnonzero(part)
+            local = (np.cumsum(part, dtype=np.int32) - 1)[entries[words]]
+            now = [state[0][rows], *state[1:]]
+            grads = _gradients(_with_parameters(net, now), local, batch_starts, y[chosen], weight[chosen])
+            step += 1
+            kept = [tuple(x[rows] for x in moments[0]), *moments[1:]]
+            for x, g, (m, v) in zip(now, grads, kept, strict=True):
+                g += DECAY * x
+                m += 0.1 * (g - m)
+                v += 0.01 * (g * g - v)
+                x -= rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)
+            state[0][rows], moments[0][0][rows], moments[0][1][rows] = now[0], *kept[0]
+    net.embedding[used] = state[0]
+    return _with_parameters(net, [net.embedding, *state[1:]]), used
+
+
+def _dense(net: Network) -> np.ndarray:
+    """All parameters but the embedding, in rows as wide as the embedding's."""
+    flat = np.concatenate([x.ravel() for x in _parameters(net)[1:]])
+    return np.append(flat, np.zeros(-len(flat) % DIMENSIONS)).reshape(-1, DIMENSIONS)
+
+
+def _with_dense(net: Network, embedding: np.ndarray, rows: np.ndarray) -> Network:
+    shapes, flat = [x.shape for x in _parameters(net)[1:]], rows.ravel()
+    ends = np.cumsum([int(np.prod(x)) for x in shapes])
+    parts = [flat[b - int(np.prod(x)) : b].reshape(x).copy() for x, b in zip(shapes, ends, strict=True)]
+    return _with_parameters(net, [embedding, *parts])
+
+
+def _round(rows: DataFrame, net: Network, weights: tuple[float, float], seed: int, rate: float) -> Network:
+    """Every task trains on its documents from ``net``; each weight becomes its mean over the tasks that moved it."""
+    values = [f"d{k}" for k in range(DIMENSIONS)]  # sums in double, means as float: half the way to the driver
+    shared = rows.sparkSession.sparkContext.broadcast(tuple(net))
+
+    def learn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        mine, moved, n = None, [], 0
+        for part, hashed, starts in _chunks(batches):
+            if mine is None:
+                mine = Network(*shared.value)
+                mine = mine._replace(embedding=mine.embedding.copy())
+            y = part["label"].to_numpy(float)
+            mine, used = _steps(mine, hashed, starts, y, np.where(y == 1, *weights), np.random.default_rng([seed, n]), rate)
+            moved, n = [np.unique(np.concatenate([*moved, used]))], n + len(part)
+        if n:
+            top = len(mine.embedding)
+            dense = _dense(mine)
+            at = np.concatenate([moved[0], np.arange(top, top + len(dense))])
+            block = np.concatenate([mine.embedding[moved[0]], dense]) * n
+            yield pd.DataFrame(block, columns=values).assign(at=at, n=float(n))
+
+    parts = rows.mapInPandas(learn, ", ".join(f"{c} double" for c in values) + ", at long, n double")
+    mean = parts.groupBy(F.col("at").cast("int").alias("at")).agg(*((F.sum(c) / F.sum("n")).cast("float").alias(c) for c in values)).toPandas()
+    shared.destroy()
+    at, found = mean.pop("at").to_numpy(), mean.to_numpy()
+    top, embedding, dense = len(net.embedding), net.embedding.copy(), _dense(net)
+    embedding[at[at < top]] = found[at < top]
+    dense[at[at >= top] - top] = found[at >= top]
+    return _with_dense(net, embedding, dense)
+
+
+def _calibrate(rows: DataFrame, net: Network) -> Network:
+    """Thresholds from the logits of all documents left for them, counted per language and thousandth."""
+    shared = rows.sparkSession.sparkContext.broadcast(tuple(net))
+
+    def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        model = Network(*shared.value)
+        for part, hashed, starts in _chunks(batches):
+            entries = _entries(model.keys, hashed)
+            group = _languages(model, entries, np.repeat(np.arange(len(part)), np.diff(starts)), len(part))
+            z = np.clip(logits(model, entries, starts), -500, 500)
+            yield pd.DataFrame({"k": group, "bin": np.floor(z * BINS).astype(np.int64), "label": part["label"].to_numpy(np.int64)})
+
+    placed = rows.mapInPandas(place, "k long, bin long, label long")
+    found = placed.groupBy("k", "bin").agg(F.count("*").alias("n"), F.sum("label").alias("hit")).toPandas()
+    shared.destroy()
+
+    def best(part: pd.DataFrame) -> float:
+        part = part.groupby("bin")[["n", "hit"]].sum().sort_index(ascending=False)
+        low, hit = part.index.to_numpy() / BINS, part["hit"].to_numpy().cumsum()
+        i = int(np.argmax(2 * hit / (part["n"].to_numpy().cumsum() + part["hit"].sum())))
+        return float((low[i] + (low[i + 1] + 1 / BINS if i + 1 < len(low) else low[i] - 2)) / 2)
+
+    if not 0 < found["hit"].sum() < found["n"].sum():
+        return net
+    offsets = np.full(len(net.offsets), best(found))
+    for k in range(len(offsets)):
+        part = found[found["k"] == k]
+        if min(part["hit"].sum(), (part["n"] - part["hit"]).sum()) >= 10:  # too few to set a threshold of their own otherwise
+            offsets[k] = best(part)
+    return net._replace(offsets=offsets)
+
+
+def fit(sample: DataFrame, seed: int = SEED, odds_start: bool = True) -> Network:
+    """Train on all rows of ``(id, text, lang, label)``, on the executors.
 
-    hashed = sample.mapInPandas(hash_all, "id long, lang string, label int, words binary").collect()
-    hashed = sorted(hashed, key=lambda r: (r.id, bytes(r.words)))  # training must not depend on the order of tasks
-    texts = [np.frombuffer(bytes(r.words), np.uint32).reshape(-1, 2) for r in hashed]
-    return train(texts, [r.label for r in hashed], [r.lang for r in hashed], seed, odds_start)
+    Texts of any length are read whole. A document labelled more than once counts as toxic if any label says so.
+    Without texts, or with one class only, the network answers with the share of that class.
+    """
+    rows = cut(_hashed(sample))
+    totals = rows.groupBy("fitted", "label", "lang").agg(F.count("*").alias("n")).toPandas()
+    fitted, n = totals[totals["fitted"].astype(bool)], float(totals["n"].sum())
+    n_pos, n_neg = (float(fitted["n"][fitted["label"] == y].sum()) for y in (1, 0))
+    names = sorted(set(fitted["lang"].dropna()))
+    learn = rows.where("fitted")
+    net = _start(_count(learn, names), fitted, names, seed, odds_start)
+    if not n_pos or not n_neg:
+        toxic = float(totals["n"][totals["label"] == 1].sum())
+        return net._replace(out=net.out * 0, bias=float(np.log((toxic + 1) / (n - toxic + 1))))
+    # the same documents in the same order in every run, whatever the tasks that hashed them
+    tasks = int(-(-(n_pos + n_neg) // TASK_DOCUMENTS))
+    total = n_pos + n_neg
+    for k in range(ROUNDS):
+        dealt = learn.repartition(tasks, F.xxhash64("id", F.lit(2))).sortWithinPartitions(F.xxhash64("id", F.lit(3)), "id", "words")
+        net = _round(dealt, net, (total / (2 * n_pos), total / (2 * n_neg)), seed + k, RATE / (k + 1))
+    return _calibrate(rows.where("NOT fitted"), net)
 
 
 def score(docs: DataFrame, net: Network, text_column: str = "text") -> DataFrame:
@@ -292,7 +480,7 @@ def score(docs: DataFrame, net: Network, text_column: str = "text") -> DataFrame
     Only the text is read, all of it. A NULL or empty text gets the score of no words. Repeated texts get
     equal scores; an empty table gives no rows.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(tuple(net))  # size follows the bounded training sample
+    shared = docs.sparkSession.sparkContext.broadcast(tuple(net))  # at most one entry per hash
 
     @F.pandas_udf("double")
     def run(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:

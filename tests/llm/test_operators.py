@@ -515,6 +515,24 @@ def test_contradictory_and_repeated_labels(spark):
     assert sample == {i: i % 2 for i in range(20)}
 
 
+def test_every_labelled_document_is_counted_and_trained_on(spark, monkeypatch):
+    n = 4000  # the first 3,000 documents alone would not tell what the last ones say
+    docs = spark.range(n).select(F.col("id").alias("doc_id"), F.concat(F.lit("common "), F.when(F.col("id") % 2 == 1, "vile").otherwise("mild"),
+                                 F.lit(" only"), F.col("id")).alias("text"), F.when(F.col("id") % 3 > 0, "a").alias("lang"))
+    labels = docs.select("doc_id", (F.col("doc_id") % 2).cast("int").alias("toxic"))
+    sample = toxicity.labelled_sample(docs, labels, F.lit(True))
+    assert sample.count() == n
+    counts = toxicity._count(toxicity._hashed(sample), ["a"]).set_index("key")
+    of = {w: counts.loc[toxicity.hashes(w)[0]].tolist() for w in ("common", "vile")}
+    in_lang = sum(i % 3 > 0 for i in range(n))
+    assert of == {"common": [n, n // 2, in_lang], "vile": [n // 2, n // 2, sum(i % 3 > 0 for i in range(1, n, 2))]}
+    monkeypatch.setattr(toxicity, "TASK_DOCUMENTS", 1000)  # weights of several tasks are averaged
+    net = toxicity.fit(sample)
+    assert all(r.predicted == r.doc_id % 2 for r in toxicity.score(docs, net).collect())
+    again = toxicity.fit(sample.repartition(5))
+    assert np.allclose(again.embedding, net.embedding) and again.offsets == pytest.approx(net.offsets, abs=0.01)
+
+
 OPERATORS = {
     "mix": lambda d: mixing.mix(d),
     "judge": quality_rules.judge,
