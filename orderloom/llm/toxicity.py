@@ -389,14 +389,15 @@ def _with_dense(net: Network, embedding: np.ndarray, rows: np.ndarray) -> Networ
 def _round(rows: DataFrame, net: Network, weights: tuple[float, float], seed: int, rate: float) -> Network:
     """Every task trains on its documents from ``net``; each weight becomes its mean over the tasks that moved it."""
     values = [f"d{k}" for k in range(DIMENSIONS)]  # sums in double, means as float: half the way to the driver
-    shared = rows.sparkSession.sparkContext.broadcast(tuple(net))
+    small = net._replace(embedding=net.embedding.astype(np.float32), language=np.zeros((1, 1)))  # no languages in training
+    shared = rows.sparkSession.sparkContext.broadcast(tuple(small))
 
     def learn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         mine, moved, n = None, [], 0
         for part, hashed, starts in _chunks(batches):
             if mine is None:
                 mine = Network(*shared.value)
-                mine = mine._replace(embedding=mine.embedding.copy())
+                mine = mine._replace(embedding=mine.embedding.astype(float))
             y = part["label"].to_numpy(float)
             mine, used = _steps(mine, hashed, starts, y, np.where(y == 1, *weights), np.random.default_rng([seed, n]), rate)
             moved, n = [np.unique(np.concatenate([*moved, used]))], n + len(part)
