@@ -29,7 +29,7 @@ PREFIX = 4  # letters of a word's beginning
 LEAST_DOCUMENTS = 3  # training documents with an entry before it gets an embedding
 EPOCHS, BATCH, RATE, DECAY = 12, 32, 0.02, 1e-4
 ROUNDS, PASSES = 4, 2  # averages of the weights, and passes of a task over its documents before each
-TASK_DOCUMENTS, CHUNK = 8_000, 1000  # documents a task trains on, and of those in memory at a time
+CHUNK = 1000  # documents a task trains on at a time
 BINS = 1000  # logits are told apart by a thousandth when thresholds are set
 SEED = 20240603
 _WORD = re.compile(r"[^\W_]+")
@@ -388,7 +388,7 @@ def _with_dense(net: Network, embedding: np.ndarray, rows: np.ndarray) -> Networ
 
 def _round(rows: DataFrame, net: Network, weights: tuple[float, float], seed: int, rate: float) -> Network:
     """Every task trains on its documents from ``net``; each weight becomes its mean over the tasks that moved it."""
-    values = [f"d{k}" for k in range(DIMENSIONS)]  # sums in double, means as float: half the way to the driver
+    values = [f"d{k}" for k in range(DIMENSIONS)]  # moved as float, summed as double
     small = net._replace(embedding=net.embedding.astype(np.float32), language=np.zeros((1, 1)))  # no languages in training
     shared = rows.sparkSession.sparkContext.broadcast(tuple(small))
 
@@ -405,11 +405,11 @@ def _round(rows: DataFrame, net: Network, weights: tuple[float, float], seed: in
             top = len(mine.embedding)
             dense = _dense(mine)
             at = np.concatenate([moved[0], np.arange(top, top + len(dense))])
-            block = np.concatenate([mine.embedding[moved[0]], dense]) * n
+            block = np.concatenate([mine.embedding[moved[0]], dense]).astype(np.float32)
             yield pd.DataFrame(block, columns=values).assign(at=at, n=float(n))
 
-    parts = rows.mapInPandas(learn, ", ".join(f"{c} double" for c in values) + ", at long, n double")
-    mean = parts.groupBy(F.col("at").cast("int").alias("at")).agg(*((F.sum(c) / F.sum("n")).cast("float").alias(c) for c in values)).toPandas()
+    parts = rows.mapInPandas(learn, ", ".join(f"{c} float" for c in values) + ", at long, n double")
+    mean = parts.groupBy(F.col("at").cast("int").alias("at")).agg(*((F.sum(F.col(c) * F.col("n")) / F.sum("n")).cast("float").alias(c) for c in values)).toPandas()
     shared.destroy()
     at, found = mean.pop("at").to_numpy(), mean.to_numpy()
     top, embedding, dense = len(net.embedding), net.embedding.copy(), _dense(net)
@@ -456,7 +456,9 @@ def fit(sample: DataFrame, seed: int = SEED, odds_start: bool = True) -> Network
     Texts of any length are read whole. A document labelled more than once counts as toxic if any label says so.
     Without texts, or with one class only, the network answers with the share of that class.
     """
-    rows = cut(_hashed(sample))
+    # stored once in an order of their own, whatever the tasks that hashed them; every round reads the files
+    dealt = _hashed(sample).repartition(F.xxhash64("id", F.lit(2)))
+    rows = cut(dealt.sortWithinPartitions(F.xxhash64("id", F.lit(3)), "id", "words"))
     totals = rows.groupBy("fitted", "label", "lang").agg(F.count("*").alias("n")).toPandas()
     fitted, n = totals[totals["fitted"].astype(bool)], float(totals["n"].sum())
     n_pos, n_neg = (float(fitted["n"][fitted["label"] == y].sum()) for y in (1, 0))
@@ -466,12 +468,9 @@ def fit(sample: DataFrame, seed: int = SEED, odds_start: bool = True) -> Network
     if not n_pos or not n_neg:
         toxic = float(totals["n"][totals["label"] == 1].sum())
         return net._replace(out=net.out * 0, bias=float(np.log((toxic + 1) / (n - toxic + 1))))
-    # the same documents in the same order in every run, whatever the tasks that hashed them
-    tasks = int(-(-(n_pos + n_neg) // TASK_DOCUMENTS))
     total = n_pos + n_neg
     for k in range(ROUNDS):
-        dealt = learn.repartition(tasks, F.xxhash64("id", F.lit(2))).sortWithinPartitions(F.xxhash64("id", F.lit(3)), "id", "words")
-        net = _round(dealt, net, (total / (2 * n_pos), total / (2 * n_neg)), seed + k, RATE / (k + 1))
+        net = _round(learn, net, (total / (2 * n_pos), total / (2 * n_neg)), seed + k, RATE / (k + 1))
     return _calibrate(rows.where("NOT fitted"), net)
 
 

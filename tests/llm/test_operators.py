@@ -14,6 +14,7 @@ import corpus_pipeline
 from orderloom.llm import (
     html_text, language_id, line_dedup, mixing, near_dup, pieces, quality_rules, resampling, toxicity, vector_search,
 )
+from orderloom.session import settings
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, kept string, score string"
 LONG = " ".join(f"w{i % 977}x{i % 31}" for i in range(30_000))
@@ -515,7 +516,7 @@ def test_contradictory_and_repeated_labels(spark):
     assert sample == {i: i % 2 for i in range(20)}
 
 
-def test_every_labelled_document_is_counted_and_trained_on(spark, monkeypatch):
+def test_every_labelled_document_is_counted_and_trained_on(spark):
     n = 4000  # the first 3,000 documents alone would not tell what the last ones say
     docs = spark.range(n).select(F.col("id").alias("doc_id"), F.concat(F.lit("common "), F.when(F.col("id") % 2 == 1, "vile").otherwise("mild"),
                                  F.lit(" only"), F.col("id")).alias("text"), F.when(F.col("id") % 3 > 0, "a").alias("lang"))
@@ -526,7 +527,9 @@ def test_every_labelled_document_is_counted_and_trained_on(spark, monkeypatch):
     of = {w: counts.loc[toxicity.hashes(w)[0]].tolist() for w in ("common", "vile")}
     in_lang = sum(i % 3 > 0 for i in range(n))
     assert of == {"common": [n, n // 2, in_lang], "vile": [n // 2, n // 2, sum(i % 3 > 0 for i in range(1, n, 2))]}
-    monkeypatch.setattr(toxicity, "TASK_DOCUMENTS", 1000)  # weights of several tasks are averaged
+    with settings(spark, {"spark.sql.files.maxPartitionBytes": "30000", "spark.sql.files.openCostInBytes": "1"}):
+        shared = toxicity.fit(sample)  # weights of several tasks are averaged
+    assert all(r.predicted == r.doc_id % 2 for r in toxicity.score(docs, shared).collect())
     net = toxicity.fit(sample)
     assert all(r.predicted == r.doc_id % 2 for r in toxicity.score(docs, net).collect())
     again = toxicity.fit(sample.repartition(5))
