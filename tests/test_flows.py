@@ -128,6 +128,31 @@ def test_stored_mails(spark, tmp_path):
     assert {bytes(r.content) for r in files.collect()} == {(t or "").encode() + b"\n" for _, t in rows}
 
 
+def test_many_mails_share_a_file(spark, tmp_path):
+    box = str(tmp_path / "box")
+    texts = {f"m{i}": f"Subject: {i}\r\n\r\nFrom here\n>From there\r\n\r\n" for i in range(2500)}
+    texts |= {"big1": "x" * (ml.SMALL_MAIL + 1), "big2": "From " + "ä\n" * ml.SMALL_MAIL, "empty": "", "from": "From \nFrom"}
+    twice = [*texts.items(), ("m7", texts["m7"])]
+    ml.write_mail(spark.createDataFrame(twice, "name string, text string"), box, tasks=2)
+    files = ml.read_mail(spark, box, "*.txt", deep=True)
+    assert files.count() <= 2 + 2 * -(-len(texts) // ml.BUNDLE)
+    got = {r.path.rsplit("/", 1)[1]: r for r in ml.stored_mail(files).collect()}
+    wanted = {f"{k}.eml": (v + "\n").encode() for k, v in texts.items()} | {"m7.eml": 2 * (texts["m7"] + "\n").encode()}
+    assert {k: bytes(r.content) for k, r in got.items()} == wanted
+    assert all(r.length == len(r.content) and r.modificationTime is not None for r in got.values())
+
+
+def test_mails_of_a_shared_file_come_once(spark, tmp_path):
+    box, out = str(tmp_path / "box"), str(tmp_path / "out")
+    for lot in range(2):
+        rows = [(f"l{lot}_{i}", f"Subject: Dat hang BH26.{i:04d}\r\n\r\n") for i in range(1500)]
+        ml.write_mail(spark.createDataFrame(rows, "name string, text string"), box, tasks=2)
+        query = st.to_folder(st.new_stored_mails(spark, box).select("file_name", "so_number"), out, str(tmp_path / "c"))
+        assert sum(p["numInputRows"] for p in query.recentProgress) <= 4  # files, not mails
+    rows = spark.read.parquet(out).collect()
+    assert len(rows) == len({r.file_name for r in rows}) == 3000 and {r.so_number for r in rows} == {f"BH26.{i:04d}" for i in range(1500)}
+
+
 def test_facts_of_a_batch_are_compared_with_its_months(spark, tmp_path):
     w = Warehouse(spark, SMALL)
     source, path = str(tmp_path / "lines"), str(tmp_path / "fact")
