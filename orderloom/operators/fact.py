@@ -56,7 +56,7 @@ def with_calendar(df: DataFrame, date: str = "order_date") -> DataFrame:
 def flatten(
     star: Star, columns: list[str] | None = None, keep_orphans: bool = False, late: dict[str, str] | None = None
 ) -> DataFrame:
-    """Lines ⋈ orders ⋈ customers ⟕ province ⋈ product ⟕ line ⟕ group.
+    """Lines ⋈ (product ⟕ line ⟕ group) ⋈ (orders ⋈ customers ⟕ province).
 
     The rows are the same whatever ``columns`` are asked for: the joins that drop lines without order,
     dealer or product are always planned, the outer ones only where a column needs them.
@@ -69,8 +69,18 @@ def flatten(
     need = set(wanted)
     everything = not keep_orphans
     out = star.order_line
+    if need & _PRODUCT or everything:
+        product = star.product
+        if need & _LINE and "line_name" not in product.columns:
+            product = product.join(star.product_line, "line_id", "left")
+            if need & _GROUP:
+                product = product.join(star.product_group, "group_code", "left")
+        product = product.withColumnRenamed("line_id", "line_id_fk")
+        keep = ["product_code"] + [c for c in product.columns if c in need & _PRODUCT]
+        out = out.join(product.select(*keep), "product_code")
     if need & (_ORDER | _CUSTOMER) or everything:
-        # dealer and place join the orders first, so that the many lines are dealt out by order only
+        # dealer and place join the orders first, so that the many lines are dealt out by order only; that comes
+        # last, so that the lines of an order stay together and orders are counted with little to exchange
         orders = star.sales_order.select("order_id", "order_date", "customer_code")
         if need & _CUSTOMER or everything:
             dealer_cols = ["customer_code", "customer_name", "province_id"]
@@ -80,15 +90,6 @@ def flatten(
         if need & _PLACE:
             orders = orders.join(star.province.select("province_id", "province_name", "region"), "province_id", "left")
         out = out.join(orders, "order_id")
-    if need & _PRODUCT or everything:
-        product = star.product
-        if need & _LINE and "line_name" not in product.columns:
-            product = product.join(star.product_line, "line_id", "left")
-            if need & _GROUP:
-                product = product.join(star.product_group, "group_code", "left")
-        product = product.withColumnRenamed("line_id", "line_id_fk")
-        keep = ["product_code"] + [c for c in product.columns if c in need & _PRODUCT]
-        out = out.join(product.select(*keep), "product_code")
     if need & _CALENDAR:
         out = with_calendar(out)
     return out.select(*[F.expr(late[c]).alias(c) if late and c in late else c for c in wanted])

@@ -10,6 +10,7 @@ from orderloom.operators import fact as fa
 from orderloom.operators.fact import Star
 from orderloom.plans import star as base
 from orderloom.plans.star import Warehouse
+from orderloom.session import settings
 from orderloom.sources.sales_store import OPEN_FILES, PERIOD, SalesStore, write_by_month
 
 
@@ -160,3 +161,16 @@ def test_line_columns_are_computed_after_the_joins(spark, tmp_path):
     store.create()
     assert rows_of(store.fact()) == rows_of(fa.flatten(star))
     assert sorted(map(str, store.lines.collect())) == sorted(map(str, SalesStore._line_rows(star).select(*store.lines.columns).collect()))
+
+
+def test_lines_of_an_order_are_joined_last_in_tasks_of_bounded_size(spark, tmp_path):
+    w = Warehouse(spark, SMALL)
+    name = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(name)
+    with settings(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        plan = fa.flatten(w.star)._jdf.queryExecution().executedPlan().toString()
+    joins = [line for line in plan.splitlines() if "SortMergeJoin" in line]
+    assert "[order_id" in joins[0] and "[product_code" in joins[1]
+    with SalesStore(str(tmp_path / "s"), w.star, partitions=9)._sized():
+        assert spark.conf.get(name) == "32m" and spark.conf.get("spark.sql.shuffle.partitions") == "9"
+    assert spark.conf.get(name) == before
