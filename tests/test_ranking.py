@@ -39,3 +39,12 @@ def test_tile_equals_ntile(spark):
         got = order_globally(df, F.col("k"), "k").withColumn("t", tile(F.col("position"), F.col("rows"), 5))
         want = df.withColumn("t", F.ntile(5).over(Window.orderBy("k")))
         assert sorted((r.k, r.t) for r in got.collect()) == sorted((r.k, r.t) for r in want.collect())
+
+
+def test_rows_do_not_carry_the_records_of_all_ranges(spark):
+    df = spark.range(500).selectExpr("id AS k", "id % 7 AS x")
+    got = order_globally(df, F.col("x"), "k", amount="x", ranges=23)
+    plain = order_globally(df, F.col("x"), "k", amount="x")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, plain.collect()))
+    windows = [x for x in plain._jdf.queryExecution().optimizedPlan().toString().split("Window ")[1:]]
+    assert windows and all("scalar-subquery" not in x for x in windows)
