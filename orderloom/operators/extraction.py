@@ -150,7 +150,9 @@ def extract_orders(docs: DataFrame, own: str, pattern: str = tx.ORDER_NUMBER) ->
 
 def explode_lines(records: DataFrame, key: str) -> DataFrame:
     """Record lines as rows with their 1-based position."""
-    return records.select(key, F.posexplode("lines").alias("pos", "line")).select(
+    # for a plain column the optimizer filters on its size below the parsing, which then runs twice for every row
+    lines = F.transform("lines", lambda x: x)
+    return records.select(key, F.posexplode(lines).alias("pos", "line")).select(
         key, (F.col("pos") + 1).alias("line_no"), "line.*"
     )
 

@@ -57,10 +57,10 @@ def slips(w: Warehouse, tasks: int | None = None) -> DataFrame:
     """The values of every document, before rendering.
 
     Rendering and parsing cost far more than reading: lines are dealt out by order over ``tasks`` tasks, the
-    session's number of shuffle partitions unless given, however few files or row groups hold them. A number
-    that is asked for is not merged away for small tables.
+    session's number of shuffle partitions unless given, more where the base files are large, however few files
+    or row groups hold them. A number that is asked for is not merged away for small tables.
     """
-    tasks = tasks or int(w.spark.conf.get("spark.sql.shuffle.partitions"))
+    tasks = tasks or w.partitions
     lines = w.table("lineitem").selectExpr(*[f"{e} AS {n}" for n, e in SLIP.items()])
     heads = w.table("orders").selectExpr(*[f"{e} AS {n}" for n, e in HEAD.items()])
     return lines.repartition(tasks, "order_key").join(heads, "order_key").withColumn("footer", F.col("total1") + F.col("total2"))

@@ -174,3 +174,17 @@ def test_lines_of_an_order_are_joined_last_in_tasks_of_bounded_size(spark, tmp_p
     with SalesStore(str(tmp_path / "s"), w.star, partitions=9)._sized():
         assert spark.conf.get(name) == "32m" and spark.conf.get("spark.sql.shuffle.partitions") == "9"
     assert spark.conf.get(name) == before
+
+
+def test_texts_are_parsed_once_in_tasks_that_follow_the_files(spark, monkeypatch):
+    from orderloom.operators import extraction as ex
+    from orderloom.plans.documents import slips
+
+    docs = spark.createDataFrame([(1, "1 0000000001 xe dap Chiếc 2 3.000 6.000\n2 0000000002 xe Bộ 1 5 5"), (2, "x"), (3, None)], "doc_id int, text string")
+    lines = ex.explode_lines(docs.select("doc_id", ex.text_to_lines(F.col("text")).alias("lines")), "doc_id")
+    assert lines._jdf.queryExecution().optimizedPlan().toString().count("RLIKE") == 1
+    rows = sorted((r.doc_id, r.line_no, r.product_code, r.line_total) for r in lines.collect())
+    assert rows == [(1, 1, "0000000001", 6000), (1, 2, "0000000002", 5)]
+    monkeypatch.setattr(base, "BYTES_PER_PARTITION", 4096)
+    w = Warehouse(spark, SMALL)
+    assert w.partitions > 8 and f", {w.partitions}), REPARTITION" in slips(w)._jdf.queryExecution().executedPlan().toString()
