@@ -30,6 +30,7 @@ LEAST_DOCUMENTS = 3  # training documents with an entry before it gets an embedd
 EPOCHS, BATCH, RATE, DECAY = 12, 32, 0.02, 1e-4
 ROUNDS, PASSES = 4, 2  # averages of the weights, and passes of a task over its documents before each
 CHUNK = 1000  # documents a task trains on at a time
+TASK_BYTES, LEAST_TASKS = 128 << 20, 6  # hashed words that one task counts and trains on; fewer only to have some tasks
 BINS = 1000  # logits are told apart by a thousandth when thresholds are set
 SEED = 20240603
 _WORD = re.compile(r"[^\W_]+")
@@ -295,6 +296,16 @@ def _chunks(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[pd.DataFrame, np.
             yield part, np.concatenate(texts), np.concatenate([[0], np.cumsum([len(t) for t in texts])])
 
 
+def _gathered(df: DataFrame) -> pd.DataFrame:
+    """A bounded table on the driver; as Arrow whatever the session says, not as an object for every value."""
+    return df.toArrow().to_pandas()
+
+
+def _in_tasks(rows: DataFrame, size: int) -> DataFrame:
+    """Rows of ``size`` bytes of words in few tasks: each sends every weight it has moved, a chunk at a time is in memory."""
+    return rows.coalesce(max(LEAST_TASKS, -(-size // TASK_BYTES)))
+
+
 def _count(rows: DataFrame, names: list[str]) -> pd.DataFrame:
     """Per hash that enough documents hold: documents, toxic ones and those of each language."""
     kinds = ["df", "positive", *(f"l{k}" for k in range(len(names)))]
@@ -311,7 +322,7 @@ def _count(rows: DataFrame, names: list[str]) -> pd.DataFrame:
 
     parts = rows.mapInPandas(count, "key long, " + ", ".join(f"{c} long" for c in kinds))
     total = parts.groupBy(F.col("key").cast("int").alias("key")).agg(*(F.sum(c).cast("int").alias(c) for c in kinds)).where(F.col("df") >= LEAST_DOCUMENTS)
-    return total.toPandas().sort_values("key")
+    return _gathered(total).sort_values("key")
 
 
 def _start(counts: pd.DataFrame, totals: pd.DataFrame, names: list[str], seed: int, odds_start: bool) -> Network:
@@ -409,7 +420,9 @@ def _round(rows: DataFrame, net: Network, weights: tuple[float, float], seed: in
             yield pd.DataFrame(block, columns=values).assign(at=at, n=float(n))
 
     parts = rows.mapInPandas(learn, ", ".join(f"{c} float" for c in values) + ", at long, n double")
-    mean = parts.groupBy(F.col("at").cast("int").alias("at")).agg(*((F.sum(F.col(c) * F.col("n")) / F.sum("n")).cast("float").alias(c) for c in values)).toPandas()
+    # a task gives a row once, so nothing is summed before the exchange and floats pass it as floats
+    dealt = parts.withColumn("at", F.col("at").cast("int")).repartition("at")
+    mean = _gathered(dealt.groupBy("at").agg(*((F.sum(F.col(c) * F.col("n")) / F.sum("n")).cast("float").alias(c) for c in values)))
     shared.destroy()
     at, found = mean.pop("at").to_numpy(), mean.to_numpy()
     top, embedding, dense = len(net.embedding), net.embedding.copy(), _dense(net)
@@ -431,7 +444,7 @@ def _calibrate(rows: DataFrame, net: Network) -> Network:
             yield pd.DataFrame({"k": group, "bin": np.floor(z * BINS).astype(np.int64), "label": part["label"].to_numpy(np.int64)})
 
     placed = rows.mapInPandas(place, "k long, bin long, label long")
-    found = placed.groupBy("k", "bin").agg(F.count("*").alias("n"), F.sum("label").alias("hit")).toPandas()
+    found = _gathered(placed.groupBy("k", "bin").agg(F.count("*").alias("n"), F.sum("label").alias("hit")))
     shared.destroy()
 
     def best(part: pd.DataFrame) -> float:
@@ -459,11 +472,12 @@ def fit(sample: DataFrame, seed: int = SEED, odds_start: bool = True) -> Network
     # stored once in an order of their own, whatever the tasks that hashed them; every round reads the files
     dealt = _hashed(sample).repartition(F.xxhash64("id", F.lit(2)))
     rows = cut(dealt.sortWithinPartitions(F.xxhash64("id", F.lit(3)), "id", "words"))
-    totals = rows.groupBy("fitted", "label", "lang").agg(F.count("*").alias("n")).toPandas()
+    size = F.sum(F.octet_length("words")).alias("bytes")
+    totals = _gathered(rows.groupBy("fitted", "label", "lang").agg(F.count("*").alias("n"), size))
     fitted, n = totals[totals["fitted"].astype(bool)], float(totals["n"].sum())
     n_pos, n_neg = (float(fitted["n"][fitted["label"] == y].sum()) for y in (1, 0))
     names = sorted(set(fitted["lang"].dropna()))
-    learn = rows.where("fitted")
+    learn = _in_tasks(rows.where("fitted"), int(fitted["bytes"].sum()))
     net = _start(_count(learn, names), fitted, names, seed, odds_start)
     if not n_pos or not n_neg:
         toxic = float(totals["n"][totals["label"] == 1].sum())

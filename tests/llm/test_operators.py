@@ -443,6 +443,18 @@ def test_toxicity_learns_and_ignores_order(spark):
     assert toxicity.score(docs, empty).count() == 400
 
 
+def test_toxicity_gathers_arrow_and_trains_in_few_tasks(spark, monkeypatch):
+    docs = frame(spark, [(i, f"vile word{i % 9}" if i % 4 == 0 else f"kind word{i % 7}", "a") for i in range(200)])
+    labels = spark.range(200).selectExpr("id AS doc_id", "CAST(id % 4 = 0 AS int) AS toxic")
+    sample = toxicity.labelled_sample(docs.repartition(12), labels, F.lit(True))
+    monkeypatch.setattr(type(docs), "toPandas", lambda self: pytest.fail("an object for every value"))
+    with settings(spark, {"spark.sql.execution.arrow.pyspark.enabled": "false"}):
+        net = toxicity.fit(sample)
+    assert np.mean([r.predicted == (r.doc_id % 4 == 0) for r in toxicity.score(docs, net).collect()]) == 1
+    parts = lambda size: toxicity._in_tasks(docs.repartition(40), size).rdd.getNumPartitions()
+    assert (parts(0), parts(20 * toxicity.TASK_BYTES), parts(20 * toxicity.TASK_BYTES + 1), parts(1 << 50)) == (toxicity.LEAST_TASKS, 20, 21, 40)
+
+
 def toxic_words(seed, n=240):
     rng = random.Random(seed)
     out = []
