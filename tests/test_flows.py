@@ -194,6 +194,31 @@ def test_state_of_finished_mails_expires(spark, tmp_path):
     assert rows["a"] == ("LOADED", day(1, 5), 3) and rows["b"] == ("LOADED", day(10, 1), 2) and n == 2
 
 
+def test_mails_of_a_bucket_expire_one_by_one(spark, tmp_path):
+    source, out = str(tmp_path / "changes"), str(tmp_path / "out")
+    schema = "message_id string, processing_status string, ts timestamp, log_id long"
+    day = lambda d, h=0: datetime.datetime(2026, 1, d, h)
+
+    def run(*rows):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(source)
+        changes = spark.readStream.schema(schema).parquet(source)
+        with settings(spark, st.STATE_ON_DISK):
+            query = st.to_folder(st.expiring_status(changes, buckets=1), out, str(tmp_path / "c"), "update")
+        rows = {r.message_id: (r.processing_status, r.log_id, r.changes) for r in st.latest(spark, out, ["message_id"]).collect()}
+        return rows, query.lastProgress.stateOperators[0].numRowsTotal
+
+    # 20 mails share one state row; half of them are finished
+    mails = [(f"m{i}", "LOADED" if i % 2 else "PENDING", day(1), i) for i in range(20)]
+    assert run(*mails, ("n", None, day(1, 1), 50)) == ({m: (s, i, 1) for m, s, _, i in mails} | {"n": (None, 50, 1)}, 1)
+    assert run(("x", "PENDING", day(10), 60))[1] == 1
+    # a newer change opens a finished mail again with its count from 1, an open one goes on
+    rows, _ = run(("m1", "FAILED", day(11), 61), ("m2", "LOADED", day(11), 62), ("m2", "LOADED", day(11), 62))
+    assert rows["m1"] == ("FAILED", 61, 1) and rows["m2"] == ("LOADED", 62, 2) and rows["m4"] == ("PENDING", 4, 1)
+    # all have gone
+    late = datetime.datetime(2026, 9, 1)
+    assert run(("y", "LOADED", late, 70))[1] == 1 and run(("z", "LOADED", late + datetime.timedelta(days=9), 71))[1] == 1
+
+
 def test_export_is_read_by_its_exact_name(spark, tmp_path):
     a, b = spark.range(3), spark.range(10, 15)
     wh.export_csv({"product": a, "product_line": b}, str(tmp_path))
