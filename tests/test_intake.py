@@ -247,3 +247,26 @@ def test_names_are_never_broadcast(spark):
     found = rs.similar_names(names, names.withColumnRenamed("a", "b"))
     assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
     assert found.where("a = b").count() == 50
+
+
+def test_documents_are_parsed_once(spark):
+    from orderloom.operators.chain import run_intake
+    from orderloom.plans.documents import NUMBER_PATTERN, OWN_TAX_CODE, rendered
+    from orderloom.plans.flows import intake_star
+
+    w = Warehouse(spark, SMALL)
+    seen = spark.sparkContext.accumulator(0)
+    read = F.udf(lambda text: (seen.add(1), text)[1])
+    few = spark.createDataFrame(rendered(w).limit(50).collect(), rendered(w).schema)
+    docs = few.select(F.col("doc_id").alias("log_id"), read("text").alias("text"), "tables", "parse_error", F.lit(None).cast("string").alias("mail_name"))
+    intake = run_intake(docs, intake_star(w), OWN_TAX_CODE, pattern=NUMBER_PATTERN)
+    assert intake.validated.count() == 50 and seen.value == 50
+
+
+def test_a_pattern_is_searched_once_under_a_condition(spark):
+    from orderloom.functions import text as tx
+
+    rows = spark.createDataFrame([("a1", True), ("b", True), (None, True), ("a2", False)], "t string, c boolean")
+    got = rows.select(F.when(F.col("c"), tx.found(F.col("t"), "a(.)")).alias("x"))
+    assert [r.x for r in got.collect()] == ["1", None, None, None]
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("regexp_extract") == 1
