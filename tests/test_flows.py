@@ -104,6 +104,18 @@ def test_facts_survive_a_new_checkpoint(spark, tmp_path):
     assert run("b") == (total, total)  # a lost checkpoint: everything is delivered again
 
 
+def test_stored_lines_are_not_joined_again(spark, tmp_path, monkeypatch):
+    w = Warehouse(spark, SMALL)
+    source, path, joined = str(tmp_path / "lines"), str(tmp_path / "fact"), []
+    flatten = st.flatten
+    monkeypatch.setattr(st, "flatten", lambda star, *a, **k: (joined.append(star.order_line), flatten(star, *a, **k))[1])
+    w.order_line.where("order_id % 2 = 0").write.parquet(source)
+    for checkpoint in ("a", "b"):
+        st.append_facts(spark.readStream.schema(w.order_line.schema).parquet(source), w.star, path, str(tmp_path / checkpoint))
+        rows = joined[-1].count() if checkpoint == "a" else joined[-1].isEmpty()
+    assert rows is True
+
+
 def test_facts_restart_after_a_failed_first_batch(spark, tmp_path):
     w = Warehouse(spark, SMALL)
     path, source = tmp_path / "fact", str(tmp_path / "lines")
