@@ -260,6 +260,16 @@ def test_corrupt_json_is_kept(spark, tmp_path):
     assert got.where("_corrupt_record IS NOT NULL").count() == 1
 
 
+def test_records_are_stored_in_compressed_files_of_bounded_size(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(rc, "PER_FILE", 10)
+    line = F.struct(*[F.lit(None).cast("string").alias(c) for c in ("stt", "product_code")], F.col("id").alias("line_total"))
+    records = spark.range(0, 35, 1, 1).select(F.col("id").cast("string").alias("doc_id"), F.array(line).alias("lines"))
+    rc.write_extracted(records, str(tmp_path / "r"))
+    assert len(list((tmp_path / "r").glob("part-*.json.gz"))) == 4 and not list((tmp_path / "r").glob("part-*.json"))
+    back = rc.read_extracted(spark, str(tmp_path / "r"))
+    assert {(r.doc_id, r.lines[0].line_total, r._corrupt_record) for r in back.collect()} == {(str(i), i, None) for i in range(35)}
+
+
 def test_every_column_of_the_views_has_a_note(spark):
     w = Warehouse(spark, SMALL)
     for star in (w.star, w.snowflake):
