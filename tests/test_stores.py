@@ -6,8 +6,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from orderloom.operators import intake_log as il
+from orderloom.operators import run as run_module
+from orderloom.operators.extraction import extract_orders
 from orderloom.operators.fact import Star
 from orderloom.operators.run import LOG, IntakeRun
+from orderloom.session import settings
 from orderloom.sources.log_store import LogStore
 
 
@@ -139,3 +142,28 @@ def test_run_resumes_and_repeats_without_change(spark, tmp_path, monkeypatch):
     # the third shop's number came with order 3 and is not given twice
     assert len({r.customer_code for r in run.facts().collect()}) == 3
     assert {r.name: r.value for r in run.summary().collect()}["loaded_ok"] == 4
+
+
+def test_a_document_named_by_many_mails_is_parsed_once(spark, tmp_path, monkeypatch):
+    run = new_run(spark, str(tmp_path / "run"))
+    _, docs = folder_of(spark, [1, 2])
+    parsed = []
+    monkeypatch.setattr(run_module, "extract_orders", lambda docs, *a: (parsed.append(docs.count()), extract_orders(docs, *a))[1])
+    waiting = spark.range(1, 7).select(
+        F.col("id").alias("log_id"), F.concat(F.lit("m"), "id").alias("message_id"), F.lit("BH01.0001").alias("so_number"),
+        F.lit("a.pdf").alias("attachment_name"), F.lit(None).cast("string").alias("customer_name_raw"),
+    )
+    out = run._extract(waiting, docs)
+    assert [r.header.so_number for r in out["records"].collect()] == ["BH01.0001"] * 6
+    assert out["results"].where("error IS NULL").count() == 6 and parsed == [1]
+
+
+def test_a_stage_deals_out_the_log_once(spark, tmp_path, monkeypatch):
+    store = LogStore(spark, str(tmp_path), LOG, buckets=8)
+    store.create(log_rows(spark, 100))
+    plans, commit = [], LogStore._commit
+    monkeypatch.setattr(LogStore, "_commit", lambda self, rows, *a: (plans.append(rows._jdf.queryExecution().executedPlan().toString()), commit(self, rows, *a))[1])
+    with settings(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        results = log_rows(spark, 100).select("message_id", "log_id", F.lit(None).cast("string").alias("error"))
+        assert store.advance(results, "LOAD") == 2
+    assert plans[0].count("Exchange hashpartitioning") == 2  # the log and the results, both by bucket
