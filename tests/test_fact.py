@@ -11,6 +11,7 @@ from orderloom.operators.fact import Star
 from orderloom.plans import star as base
 from orderloom.plans.star import Warehouse
 from orderloom.session import settings
+from orderloom.sources import sales_store
 from orderloom.sources.sales_store import OPEN_FILES, PERIOD, SalesStore, write_by_month
 
 
@@ -188,3 +189,17 @@ def test_texts_are_parsed_once_in_tasks_that_follow_the_files(spark, monkeypatch
     monkeypatch.setattr(base, "BYTES_PER_PARTITION", 4096)
     w = Warehouse(spark, SMALL)
     assert w.partitions > 8 and f", {w.partitions}), REPARTITION" in slips(w)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_refresh_joins_fresh_lines_only_and_keeps_no_copy(spark, star, tmp_path, monkeypatch):
+    part = Star(**{**star.__dict__, "order_line": star.order_line.where("order_id % 3 <> 0")})
+    store, plans, write = SalesStore(str(tmp_path / "s"), part).create(), [], sales_store.write_by_month
+    monkeypatch.setattr(sales_store, "write_by_month", lambda df, *a, **k: (plans.append(df._jdf.queryExecution().optimizedPlan().toString()), write(df, *a, **k))[1])
+    raw = star.order_line.drop("line_id").withColumnRenamed("so_number", "number"), {"line_id": "concat(number, '')", "so_number": "number"}
+    lines = star.order_line.withColumn("line_id", F.col("so_number").cast("string"))
+    like = Star(**{**star.__dict__, "order_line": lines})
+    added = store.refresh(like, raw=raw)
+    assert added == fa.flatten(like).count() > 0 and store.refresh(like) == 0 and store.refresh(like, raw=raw) == 0
+    depth = lambda word: [len(x) - len(x.lstrip(" :+-")) for x in plans[0].splitlines() if word in x]
+    assert min(depth("LeftAnti")) > min(depth("Join Inner")) and "RebalancePartitions" not in plans[0]
+    assert not any("/kept/" in f for f in store.fact().inputFiles())
