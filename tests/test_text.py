@@ -1,3 +1,4 @@
+import random
 from decimal import Decimal
 
 import pytest
@@ -100,3 +101,14 @@ def test_cells(spark):
 def test_normalize_name(spark):
     names = ["CÔNG TY CỔ PHẦN  Nam  Tiến", "công ty tnhh cty An", "Cty TNHH", None, "  Minh "]
     assert values(spark, names, tx.normalize_name) == ["nam tiến", "an", "", "", "minh"]
+
+
+def test_labels_are_found_as_with_a_free_start_everywhere(spark):
+    dice = random.Random(5)
+    parts = ["achỉ:", "a chi: ", "địa chỉ: ", "ạch■:x", "i lý: ", "đại  lý: ", "ily:", "MST: 0123456789", "\n\n", "\nSTT", " ", "x", "ế", "\n", "😀"]
+    texts = ["".join(dice.choices(parts, k=dice.randint(1, 9))) for _ in range(3000)]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string")
+    for pattern in (tx.BUYER, tx.ADDRESS):
+        free = pattern.replace(r"(?:\A.{0,5})?", ".{0,5}")
+        both = rows.select(F.regexp_extract("t", pattern, 1).alias("a"), F.regexp_extract("t", free, 1).alias("b")).collect()
+        assert free != pattern and all(r.a == r.b for r in both) and sum(r.a != "" for r in both) > 50
